@@ -5,17 +5,18 @@ has hexagons of 0.74 km²; each coarser level is seven times larger. These ids a
 not ids of any public grid system.
 
 The hierarchy alternates two lattice maps, ``A`` (even level up to odd) and ``B`` (odd level up to
-even), with ``A·B = 7``. For both, ``q + c·r mod 7`` numbers the seven children of a cell, so parent
-and child are exact integer arithmetic without any rounding.
-
-Functions that need several steps are staged as projections on the DataFrame, which keeps every
-expression small and inside generated code.
+even), with ``A·B = 7``. For both, ``q + c·r mod 7`` numbers the seven children of a cell, and the
+parent's coordinates are two linear forms of ``(q, r)`` rounded to the nearest seventh, never a tie.
+Deep ancestors go four levels per step, so that the expression stays short and inside generated code
+wherever the optimizer moves it.
 """
 
 from __future__ import annotations
 
 import math
+from functools import lru_cache, reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -78,76 +79,90 @@ def _digit(q: Column, r: Column, res: int) -> Column:
     return F.pmod(q + r * (5 if res % 2 == 0 else 3), F.lit(7))
 
 
-def add_cell(df: DataFrame, x: str, y: str, res: int, out: str = "cell") -> DataFrame:
+def axial_of(x: Column, y: Column, s: float, turned: bool = False) -> tuple[Column, Column]:
+    """Axial coordinates of the hexagon (side ``s``, or ``s·√7`` when turned) that holds a point.
+
+    A hexagon is cut out by three bands; each coordinate is fixed by the floors of two of them.
+    """
+    a, k = ROOT3 / 3, (7 * s if turned else s)
+    if turned:
+        q_s, q_r = x * (5 * a / k) + y * (1 / k), x * (4 * a / k) - y * (2 / k)
+        r_s = x * (a / k) + y * (3 / k)
+    else:
+        q_s, q_r = x * (2 * a / k), x * (a / k) - y * (1 / k)
+        r_s = x * (a / k) + y * (1 / k)
+    return _whole(F.floor(q_s) + F.floor(q_r) + 2, 3), _whole(F.floor(r_s) + F.floor(-q_r) + 2, 3)
+
+
+def _whole(n: Column, by: int) -> Column:
+    """Floor of an integer over a small number; half a step up keeps it clear of rounding."""
+    return F.floor((n + 0.5) * (1 / by))
+
+
+def cell_of(x: Column, y: Column, res: int) -> Column:
     """The cell that holds a planar point; a missing coordinate gives a NULL cell."""
-    lattice = res if res % 2 == 0 else res + 1
-    s = side(lattice)
-    staged = df.withColumns(
-        {
-            "_qf": (F.col(x) * (ROOT3 / 3) - F.col(y) / 3) / s,
-            "_rf": F.col(y) * (2 / 3) / s,
-        }
-    )
-    if res % 2:
-        staged = staged.withColumns(
-            {
-                "_qf": (F.col("_qf") * 3 + F.col("_rf")) / 7,
-                "_rf": (F.col("_rf") * 2 - F.col("_qf")) / 7,
-            }
-        )
-    staged = cube_round(staged, "_qf", "_rf", "_q", "_r")
-    return staged.withColumn(out, pack(F.col("_q"), F.col("_r"), res)).drop(
-        "_qf", "_rf", "_q", "_r"
-    )
+    turned = res % 2 == 1
+    return pack(*axial_of(x, y, side(res + 1 if turned else res), turned), res)
 
 
-def cube_round(df: DataFrame, qf: str, rf: str, q: str, r: str) -> DataFrame:
-    """Nearest lattice point of fractional axial coordinates."""
-    sf = -F.col(qf) - F.col(rf)
-    staged = df.withColumns(
-        {
-            "_rq": F.floor(F.col(qf) + 0.5),
-            "_rr": F.floor(F.col(rf) + 0.5),
-            "_rs": F.floor(sf + 0.5),
-        }
-    ).withColumns(
-        {
-            "_dq": F.abs(F.col("_rq") - F.col(qf)),
-            "_dr": F.abs(F.col("_rr") - F.col(rf)),
-            "_ds": F.abs(F.col("_rs") - sf),
-        }
-    )
-    q_worst = (F.col("_dq") > F.col("_dr")) & (F.col("_dq") > F.col("_ds"))
-    r_worst = ~q_worst & (F.col("_dr") > F.col("_ds"))
-    return staged.withColumns(
-        {
-            q: F.when(q_worst, -F.col("_rr") - F.col("_rs")).otherwise(F.col("_rq")),
-            r: F.when(r_worst, -F.col("_rq") - F.col("_rs")).otherwise(F.col("_rr")),
-        }
-    ).drop("_rq", "_rr", "_rs", "_dq", "_dr", "_ds")
+def pin(df: DataFrame, out: str, value: Column) -> DataFrame:
+    """Add a computed column that later filters refer to instead of repeating its expression.
 
+    A filter or join on a computed column is normally pushed below it by copying the expression into
+    the condition, where common parts are not shared. Producing the column as a one-element
+    ``explode`` keeps it in generated code and computes it once per row.
+    """
+    return df.drop(out).select("*", F.explode(F.array(value)).alias(out))
 
-def add_parent(df: DataFrame, cell: str, from_res: int, to_res: int, out: str) -> DataFrame:
-    """Ancestor at ``to_res`` of cells that all have resolution ``from_res``."""
-    staged = df.withColumns({"_q": axial_q(F.col(cell)), "_r": axial_r(F.col(cell))})
-    for level in range(from_res, to_res, -1):
-        staged = _one_level_up(staged, level)
-    return staged.withColumn(out, pack(F.col("_q"), F.col("_r"), to_res)).drop("_q", "_r")
 
+def add_cell(df: DataFrame, x: str, y: str, res: int, out: str = "cell") -> DataFrame:
+    """J1 as a column of a table."""
+    return pin(df, out, cell_of(F.col(x), F.col(y), res))
 
-def _one_level_up(df: DataFrame, level: int) -> DataFrame:
-    offsets = CHILD_OF_ODD_PARENT if level % 2 == 0 else CHILD_OF_EVEN_PARENT
-    pick = (F.col("_d") + 1).cast("int")
-    dq = F.element_at(F.array(*[F.lit(o[0]) for o in offsets]), pick)
-    dr = F.element_at(F.array(*[F.lit(o[1]) for o in offsets]), pick)
-    staged = df.withColumn("_d", _digit(F.col("_q"), F.col("_r"), level)).withColumns(
-        {"_cq": F.col("_q") - dq, "_cr": F.col("_r") - dr}
-    )
-    if level % 2 == 0:
-        up = {"_q": "(3 * _cq + _cr) div 7", "_r": "(2 * _cr - _cq) div 7"}
-    else:
-        up = {"_q": "(2 * _cq - _cr) div 7", "_r": "(_cq + 3 * _cr) div 7"}
-    return staged.withColumns({k: F.expr(v) for k, v in up.items()}).drop("_d", "_cq", "_cr")
+
+def parent(cell: Column, from_res: int, to_res: int) -> Column:
+    """Ancestor at ``to_res`` of cells that all have resolution ``from_res``.
+
+    Four (or two) levels at a time are one lookup by the residues of ``q`` and ``r``, because the
+    lattice of every second level is a plain multiple. That keeps a deep ancestor a short expression.
+    """
+    q, r = axial_q(cell), axial_r(cell)
+    level = from_res
+    while level > to_res:
+        step = 4 if level - to_res >= 4 else 2 if level - to_res >= 2 else 1
+        if step == 1:
+            up_q, up_r = _up(q, r, level)
+            q, r = _whole(up_q + 3, 7), _whole(up_r + 3, 7)
+        else:
+            scale = 7 ** (step // 2)
+            at = (F.pmod(q, F.lit(scale)) * scale + F.pmod(r, F.lit(scale))).cast("int")
+            table_q, table_r = _offset_tables(level % 2, step)
+            q = _whole(q - F.get(F.lit(table_q), at), scale)
+            r = _whole(r - F.get(F.lit(table_r), at), scale)
+        level -= step
+    return pack(q, r, to_res)
+
+
+def _up(q, r, level: int):
+    """Seven times the (fractional) coordinates one level up; works on numbers and Columns."""
+    return (q * 3 + r, r * 2 - q) if level % 2 == 0 else (q * 2 - r, q + r * 3)
+
+
+@lru_cache
+def _offset_tables(parity: int, levels: int) -> tuple[np.ndarray, np.ndarray]:
+    """Offset of a cell from the centre descendant of its ancestor, by residues, from the rule."""
+    scale = 7 ** (levels // 2)
+    start_q, start_r = (v.ravel() for v in np.mgrid[0:scale, 0:scale])
+    q, r = start_q, start_r
+    for step in range(levels):
+        up_q, up_r = _up(q, r, parity + step)
+        q, r = (up_q + 3) // 7, (up_r + 3) // 7
+    return (start_q - scale * q).astype("int32"), (start_r - scale * r).astype("int32")
+
+
+def add_parent(df: DataFrame, cell: str, from_res: int, to_res: int, out: str) -> DataFrame:
+    """J2/C13 as a column of a table."""
+    return pin(df, out, parent(F.col(cell), from_res, to_res))
 
 
 def explode_children(
@@ -233,24 +248,26 @@ def explode_disk(
 def compact(df: DataFrame, cell: str, res: int) -> DataFrame:
     """Replace every full set of seven siblings by its parent, level by level.
 
-    Input cells are de-duplicated first. One shuffle per level, on the parent (at most seven rows
-    per key); the number of levels is fixed, so no iteration or checkpoint is needed.
+    Siblings meet as one row per parent with a seven-bit mask, a hash aggregate that combines before
+    its shuffle and makes duplicates harmless. The number of levels is fixed, so nothing iterates.
     """
-    current = df.select(F.col(cell).alias("cell")).where("cell IS NOT NULL").distinct()
+    current = df.select(F.col(cell).alias("cell")).where("cell IS NOT NULL")
     kept = []
     for level in range(res, 0, -1):
-        counted = add_parent(current, "cell", level, level - 1, "parent").withColumn(
-            "siblings", F.count(F.lit(1)).over(Window.partitionBy("parent"))
+        bit = F.shiftleft(F.lit(1), child_digit(F.col("cell"), level))
+        masks = (
+            add_parent(current, "cell", level, level - 1, "parent")
+            .groupBy("parent")
+            .agg(F.bit_or(bit).alias("mask"))
+        )
+        kept.append(
+            explode_children(masks.where("mask < 127"), "parent", level - 1, level, "cell")
+            .where(F.col("mask").bitwiseAND(F.shiftleft(F.lit(1), child_digit(F.col("cell"), level))) != 0)
+            .select("cell")
         )
-        kept.append(counted.where("siblings < 7").select("cell"))
-        current = counted.where(
-            (F.col("siblings") == 7) & (child_digit(F.col("cell"), level) == 0)
-        ).select(F.col("parent").alias("cell"))
-    kept.append(current)
-    out = kept[0]
-    for part in kept[1:]:
-        out = out.unionByName(part)
-    return out.select(F.col("cell").alias(cell))
+        current = masks.where("mask = 127").select(F.col("parent").alias("cell"))
+    kept.append(current.distinct() if res == 0 else current)
+    return reduce(lambda a, b: a.unionByName(b), kept).select(F.col("cell").alias(cell))
 
 
 def uncompact(df: DataFrame, cell: str, res: int) -> DataFrame:

@@ -208,14 +208,9 @@ def hexbin(
     low, high = limit
     inside = df.where(F.col(x).between(low, high) & F.col(y).between(low, high))
     s = width / grid.ROOT3
-    fractional = inside.withColumns(
-        {
-            "_qf": (F.col(x) * (grid.ROOT3 / 3) - F.col(y) / 3) / s,
-            "_rf": F.col(y) * (2 / 3) / s,
-        }
-    )
+    bin_q, bin_r = grid.axial_of(F.col(x), F.col(y), s)
     counts = (
-        grid.cube_round(fractional, "_qf", "_rf", "bin_q", "bin_r")
+        inside.withColumns({"bin_q": bin_q, "bin_r": bin_r})
         .groupBy(*(by or []), "bin_q", "bin_r")
         .agg(F.count(F.lit(1)).alias("n"))
     )
