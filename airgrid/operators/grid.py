@@ -254,7 +254,7 @@ def compact(df: DataFrame, cell: str, res: int) -> DataFrame:
     current = df.select(F.col(cell).alias("cell")).where("cell IS NOT NULL")
     kept = []
     for level in range(res, 0, -1):
-        bit = F.shiftleft(F.lit(1), child_digit(F.col("cell"), level))
+        bit = _digit_bit(level)
         masks = (
             add_parent(current, "cell", level, level - 1, "parent")
             .groupBy("parent")
@@ -262,7 +262,7 @@ def compact(df: DataFrame, cell: str, res: int) -> DataFrame:
         )
         kept.append(
             explode_children(masks.where("mask < 127"), "parent", level - 1, level, "cell")
-            .where(F.col("mask").bitwiseAND(F.shiftleft(F.lit(1), child_digit(F.col("cell"), level))) != 0)
+            .where(F.col("mask").bitwiseAND(_digit_bit(level)) != 0)
             .select("cell")
         )
         current = masks.where("mask = 127").select(F.col("parent").alias("cell"))
@@ -270,6 +270,10 @@ def compact(df: DataFrame, cell: str, res: int) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), kept).select(F.col("cell").alias(cell))
 
 
+def _digit_bit(level: int) -> Column:
+    return F.call_function("shiftleft", F.lit(1), child_digit(F.col("cell"), level))
+
+
 def uncompact(df: DataFrame, cell: str, res: int) -> DataFrame:
     """Expand a mixed-resolution set to resolution ``res`` (finer cells are left out)."""
     ids = df.select(F.col(cell).alias("cell")).withColumn("res", resolution(F.col("cell")))
