@@ -20,8 +20,8 @@ def merge_to_threshold(
     The one-at-a-time order is kept exactly, but independent steps run together: a region may act
     as soon as it is the smallest within two steps of the adjacency graph, because then no other
     merge can change it, its neighbours or its choice. Values must not be negative. Ties follow the
-    row order of the one-at-a-time process (original regions by id, then merged ones in the order
-    they were made).
+    row order of the one-at-a-time process (original regions by hash of the id, then merged ones in
+    the order they were made).
 
     ``regions`` is ``(region STRING, value)``; ``edges`` is ``(a, b)``, both directions. Returns
     ``(region, value, unmet)``: ids of merged regions are joined with ``-``, the acting one first;
@@ -34,12 +34,13 @@ def merge_to_threshold(
             F.col(region).cast("string").alias("id"),
             F.col(region).cast("string").alias("name"),
             F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("size"),
-            # Row order: originals by id; merged regions (marked 1) by the step that made them.
+            # Row order: originals in a fixed scattered order, so that equal sizes do not form long
+            # chains across the map; merged regions (marked 1) by the step that made them.
             F.array(
                 F.struct(
                     F.lit(0).alias("made"),
                     F.lit(0.0).alias("at"),
-                    F.col(region).cast("string").alias("by"),
+                    F.xxhash64(F.col(region).cast("string")).alias("by"),
                 )
             ).alias("born"),
         )
@@ -49,7 +50,7 @@ def merge_to_threshold(
         .where("a <> b")
         .distinct()
     )
-    for _ in range(max_rounds):
+    for _round in range(max_rounds):
         merges = cut_lineage(_independent_merges(state, links, threshold))
         if merges.isEmpty():
             break
@@ -106,7 +107,7 @@ def _apply(state: DataFrame, links: DataFrame, merges: DataFrame) -> tuple[DataF
     )
     p, q, pair = F.col("p"), F.col("q"), F.col("n") == 2
     step = F.struct(
-        F.lit(1).alias("made"), F.col("p.size").alias("at"), F.lit("").alias("by")
+        F.lit(1).alias("made"), F.col("p.size").alias("at"), F.lit(0).cast("bigint").alias("by")
     )
     merged = grouped.select(
         F.col("key").alias("id"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,10 @@ def use_checkpoints(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared checkpoint folder and continue from there."""
-    use_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows once to a table in the shared checkpoint folder and continue from there.
+
+    Unlike a checkpoint this computes the rows a single time, and the next step reads columns.
+    """
+    path = f"{use_checkpoints(df.sparkSession)}/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

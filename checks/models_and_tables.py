@@ -21,12 +21,12 @@ _VINTAGE_SQL = """CAST(CASE WHEN year(date) IN (1995, 1996) THEN 2008 WHEN year(
 
 def _inventory_sql(complete: bool) -> str:
     wide = f"""{ctes('emis', 'county')}, g AS (SELECT fips, nei_year, eis, sum(total) AS t FROM emis GROUP BY ALL),
-        w AS (SELECT fips, nei_year, sum(CASE WHEN eis = 'nonroad' THEN t END) AS a, sum(CASE WHEN eis = 'onroad' THEN t END) AS b,
+        wd AS (SELECT fips, nei_year, sum(CASE WHEN eis = 'nonroad' THEN t END) AS a, sum(CASE WHEN eis = 'onroad' THEN t END) AS b,
         sum(CASE WHEN eis = 'nonpoint' THEN t END) AS c, sum(CASE WHEN eis = 'event' THEN t END) AS d FROM g GROUP BY ALL)"""
     base = (
-        ", k AS (SELECT poly_id AS fips, nei_year FROM county, (SELECT DISTINCT nei_year FROM w)), j AS (SELECT * FROM k LEFT JOIN w USING (fips, nei_year))"
+        ", k AS (SELECT poly_id AS fips, nei_year FROM county, (SELECT DISTINCT nei_year FROM wd)), j AS (SELECT * FROM k LEFT JOIN wd USING (fips, nei_year))"
         if complete
-        else ", k AS (SELECT poly_id AS fips FROM county), j AS (SELECT * FROM k LEFT JOIN w USING (fips))"
+        else ", k AS (SELECT poly_id AS fips FROM county), j AS (SELECT * FROM k LEFT JOIN wd USING (fips))"
     )
     return f"""{wide}{base}, inv AS (SELECT fips, nei_year, coalesce(a, 0) AS nonroad,
         CASE WHEN nei_year = 2017 THEN NULL ELSE coalesce(b, 0) END AS onroad,
@@ -296,14 +296,14 @@ for _match in ("fanout", "cell_mean"):
         f"evaluation_rows_{_match}",
         f"""WITH {ctes('cv')}, c3 AS (SELECT *, {q.cell_items('x', 'y', 1, 'cell')} FROM cv), o AS ({_right}),
             l AS (SELECT seq, cell, date, 'oob' AS oob, pred_oob AS pred, se_oob AS se FROM c3 UNION ALL SELECT seq, cell, date, 'inbag', pred_inbag, se_inbag FROM c3)
-            SELECT oob, CAST(year(date) AS INT) AS year, count(*) AS n, round(sum(o.pm25), 4) AS total FROM l LEFT JOIN o USING (cell, date) GROUP BY 1, 2""",
+            SELECT oob, CAST(year(date) AS INT) AS year, count(*) AS n, round(sum(o.pm25), 3) AS total FROM l LEFT JOIN o USING (cell, date) GROUP BY 1, 2""",
     )
     def _evaluation(spark, sf, match=_match):
         """Rows joined to observations, fanning out or averaged first."""
         cv = grid.add_cell(bind(spark, sf, "cv"), "x", "y", 1).withColumn("year", F.year("date"))
         rows = reports.evaluation_rows(cv, cv, match)
         return rows.groupBy("oob", "year").agg(
-            F.count(F.lit(1)).alias("n"), F.round(F.sum("pm25"), 4).alias("total")
+            F.count(F.lit(1)).alias("n"), F.round(F.sum("pm25"), 3).alias("total")
         )
 
 
@@ -362,10 +362,10 @@ def scored_regions(spark, sf):
 @query("merged_regions")
 def merged_regions(spark, sf):
     """L1: merge to a threshold (checked against the one-at-a-time process in a test)."""
-    cells = grid.add_cell(bind(spark, sf, "site"), "x", "y", 3).groupBy("cell").agg(F.sum("population").alias("population"))
+    cells = grid.add_cell(bind(spark, sf, "site"), "x", "y", 3).groupBy("cell").agg(F.sum(F.abs("total_emissions")).alias("population"))
     named = cells.withColumn("region", F.col("cell").cast("string"))
     edges = grid.region_edges(named, "cell", "region", 3)
-    return regions.merge_to_threshold(named.drop("cell"), edges, threshold=4000.0)
+    return regions.merge_to_threshold(named.drop("cell"), edges, threshold=8000.0)
 
 
 @query("safe_regions")
