@@ -217,20 +217,20 @@ _TRAIN = f"""{_EXPOSURE}, {_inventory_sql(False)}, {ctes('site', 'road', 'cv')},
     oc AS (SELECT * FROM (SELECT seq, date, pm25, pred_oob, se_oob, se_inbag, {q.cell_items('x', 'y', 8, 'cell')} FROM cv)),
     du AS (SELECT cell, date, arg_max_null(se_oob, seq) AS hpbl, arg_max_null(se_inbag, seq) AS air_2m, arg_max_null(pm25 / 150, seq) AS aod,
       arg_max_null(pred_oob, seq) AS fire_pm25, arg_max_null(se_oob, seq) AS fire_area FROM oc GROUP BY 1, 2),
-    d AS (SELECT ob.*, {_VINTAGE_SQL} AS nei_year, CAST(year(date) AS INT) AS year, CAST(dayofyear(date) AS INT) AS doy,
+    tr AS (SELECT ob.*, {_VINTAGE_SQL} AS nei_year, CAST(year(date) AS INT) AS year, CAST(dayofyear(date) AS INT) AS doy,
       {q.parent_items('cell', 8, 5, 'cell5')}, {q.parent_items('cell', 8, 3, 'cell3')} FROM ob)"""
 
 
 @query(
     "training_table",
     f"""WITH {_TRAIN}
-        SELECT d.cell, d.date, d.pm25, d.year, d.doy, d.nei_year, pl.county_fips, round(pl.x, 1) AS x, round(s1100_dist, 3) AS s1100_dist,
+        SELECT tr.cell, tr.date, tr.pm25, tr.year, tr.doy, tr.nei_year, pl.county_fips, round(pl.x, 1) AS x, round(s1100_dist, 3) AS s1100_dist,
         round(nei_dist, 3) AS nei_dist, round(nearby_pm, 4) AS nearby_pm, population_density, coalesce(nei_point, 0) AS nei_point,
         round(nonroad, 2) AS nei_nonroad, round(event, 2) AS nei_event, hpbl, air_2m, impervious,
         round(CASE WHEN aod > 2 THEN NULL ELSE aod END, 6) AS aod, round(coalesce(fire_pm25, 0), 6) AS fire_pm25, coalesce(fire_area, 0) AS fire_area
-        FROM d JOIN pl USING (cell) LEFT JOIN rd USING (cell) LEFT JOIN nd USING (cell, nei_year) LEFT JOIN near USING (cell3, date)
-        LEFT JOIN pp USING (cell5) LEFT JOIN fp USING (cell, nei_year) LEFT JOIN inv ON inv.fips = pl.county_fips AND inv.nei_year = d.nei_year
-        LEFT JOIN lc ON lc.cell = d.cell AND lc.year = d.year LEFT JOIN du ON du.cell = d.cell AND du.date = d.date""",
+        FROM tr JOIN pl USING (cell) LEFT JOIN rd USING (cell) LEFT JOIN nd USING (cell, nei_year) LEFT JOIN near USING (cell3, date)
+        LEFT JOIN pp USING (cell5) LEFT JOIN fp USING (cell, nei_year) LEFT JOIN inv ON inv.fips = pl.county_fips AND inv.nei_year = tr.nei_year
+        LEFT JOIN lc ON lc.cell = tr.cell AND lc.year = tr.year LEFT JOIN du ON du.cell = tr.cell AND du.date = tr.date""",
 )
 def training_table(spark, sf):
     """All predictors, one row per observation."""
