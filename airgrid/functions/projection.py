@@ -72,7 +72,7 @@ def albers(lon: Column, lat: Column, p: AlbersParams = AlbersParams()) -> tuple[
 
 
 def albers_inverse(x: Column, y: Column, p: AlbersParams = AlbersParams()) -> tuple[Column, Column]:
-    """Inverse of :func:`albers`: metres to longitude and latitude (series for the latitude)."""
+    """Inverse of :func:`albers`: metres to longitude and latitude (series, then one Newton step)."""
     k = albers_constants(p)
     down = k["rho0"] - y
     rho = F.sqrt(x * x + down * down)
@@ -86,6 +86,10 @@ def albers_inverse(x: Column, y: Column, p: AlbersParams = AlbersParams()) -> tu
         + (23 * e2**2 / 360 + 251 * e2**3 / 3780) * F.sin(4 * beta)
         + (761 * e2**3 / 45360) * F.sin(6 * beta)
     )
+    s = F.sin(lat)
+    flat = 1 - s * s * e2
+    gap = q / (1 - e2) - s / flat + F.ln((1 - s * p.e) / (1 + s * p.e)) / (2 * p.e)
+    lat = lat + flat * flat / (F.cos(lat) * 2) * gap
     return F.degrees(F.atan2(x, down) / k["n"]) + p.lon_0, F.degrees(lat)
 
 

@@ -259,9 +259,9 @@ def areal_interpolate(
         & (F.col("sy1") <= F.col("dy2"))
         & (F.col("dy1") <= F.col("sy2"))
     )
-    shared = pairs.withColumn(
-        "_part", ring_area(clip_to_convex(F.col("ring"), F.col("_hex")))
-    ).where("_part <> 0")
+    # Pinned, so that the clipped ring is made once per pair and not once per corner.
+    clipped = grid.pin(pairs, "_cut", clip_to_convex(F.col("ring"), F.col("_hex")))
+    shared = grid.pin(clipped, "_part", ring_area(F.col("_cut"))).where("_part <> 0")
     per_pair = shared.groupBy(dst_key, src_key).agg(
         F.abs(F.sum("_part")).alias("_part"),
         F.max("_total").alias("_total"),

@@ -423,12 +423,18 @@ _IDW = f"""{_OBS3}, m AS (SELECT cell, date, avg(pm25) AS v FROM o3 GROUP BY 1,
     idw AS (SELECT cell, date, sum(v * w) / sum(w) AS nearby FROM w GROUP BY 1, 2)"""
 
 
-@query("neighbor_mean", f"WITH {_IDW} SELECT cell, date, round(nearby, 4) AS nearby FROM idw")
+@query(
+    "neighbor_mean",
+    f"""WITH {_IDW} SELECT cell, count(*) AS days, round(min(nearby), 4) AS low, round(avg(nearby), 4) AS mean, round(max(nearby), 4) AS high
+        FROM idw GROUP BY 1""",
+)
 def neighbor_mean(spark, sf):
-    """Inverse-distance-squared mean of neighbours."""
+    """Inverse-distance-squared mean of neighbours, summed up per cell."""
     means = neighbors.cell_day_mean(_obs3(spark, sf), "cell", "date", "pm25")
-    out = neighbors.idw_neighbors(means, 3)
-    return out.select("cell", "date", F.round("nearby", 4).alias("nearby"))
+    out = neighbors.idw_neighbors(means, 3).groupBy("cell").agg(
+        F.count(F.lit(1)).alias("days"), F.min("nearby").alias("low"), F.avg("nearby").alias("mean"), F.max("nearby").alias("high")
+    )
+    return out.select("cell", "days", *[F.round(c, 4).alias(c) for c in ("low", "mean", "high")])
 
 
 _EXPOSURE = f"""{_IDW}, c AS (SELECT DISTINCT cell FROM o3), e AS (SELECT CAST(min(date) AS TIMESTAMP) a, CAST(max(date) AS TIMESTAMP) b FROM obs),
