@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .grid import pin
 from .joins import keyed_join
 
-CUTS = 64
+CUTS = 32
 
 
 def exact_quantiles(
@@ -40,9 +41,8 @@ def exact_quantiles(
         ranks = ranks.withColumns(
             {f"_p{i}": position, f"_lo{i}": F.floor(position), f"_hi{i}": F.ceil(position)}
         )
-    tagged = _null_safe(weighted, ranks, keys).withColumn(
-        "_bin", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    )
+    above = [F.coalesce((F.get("_cuts", F.lit(i)) < F.col("_v")).cast("int"), F.lit(0)) for i in range(CUTS - 1)]
+    tagged = pin(_null_safe(weighted, ranks, keys), "_bin", sum(above[1:], above[0])).drop("_cuts")
     bins = tagged.groupBy(*keys, "_bin").agg(F.sum("_w").alias("_bw"))
     below = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(
         Window.unboundedPreceding, Window.currentRow

@@ -17,24 +17,33 @@ SECTORS = ["nonroad", "onroad", "nonpoint", "event"]
 
 
 def locations(
-    obs: DataFrame, counties: DataFrame, roads: DataFrame, res: int = 8, cell: str = "cell"
+    obs: DataFrame, counties: DataFrame, res: int = 8, cell: str = "cell"
 ) -> DataFrame:
-    """P2, spatial part: each distinct cell once, with coordinates, county and road distance.
+    """P2, spatial part: each distinct cell once, with its centre and county.
 
     Cells whose centre lies in no county are dropped (B6).
     """
     x, y = grid.center(F.col(cell), res)
     spots = obs.select(cell).distinct().withColumns({"x": x, "y": y})
-    placed = spatial_join_pip(spots, counties, poly_id="county_fips", how="inner")
-    near_road = nearest_join(placed, roads, feature_id="road_id", distance="s1100_dist")
-    return near_road.drop("road_id")
+    return spatial_join_pip(spots, counties, poly_id="county_fips", how="inner")
 
 
-def facility_distances(spots: DataFrame, facilities: DataFrame) -> DataFrame:
-    """C11 by inventory year, kept long: ``(cell, nei_year, nei_dist)``."""
+def road_distances(spots: DataFrame, roads: DataFrame, levels: int = 5) -> DataFrame:
+    """C11: distance of each location to the nearest road."""
+    found = nearest_join(spots, roads, feature_id="road_id", levels=levels, distance="s1100_dist")
+    return found.drop("road_id")
+
+
+def facility_distances(spots: DataFrame, facilities: DataFrame, levels: int = 5) -> DataFrame:
+    """C11 by inventory year, kept long: ``(cell, nei_year, nei_dist)``.
+
+    Inventory years are a handful, so they are the broadcast side.
+    """
     years = facilities.select("nei_year").distinct()
     asked = spots.select("cell", "x", "y").crossJoin(F.broadcast(years))
-    found = nearest_join(asked, facilities, ["nei_year"], feature_id="site_id", distance="nei_dist")
+    found = nearest_join(
+        asked, facilities, ["nei_year"], feature_id="site_id", levels=levels, distance="nei_dist"
+    )
     return found.select("cell", "nei_year", "nei_dist")
 
 

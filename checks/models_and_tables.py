@@ -170,8 +170,9 @@ def _train_parts(spark, sf):
     roads = split_segments(bind(spark, sf, "road"), 50_000.0)
     site = grid.add_cell(bind(spark, sf, "site"), "x", "y", 8)
     sites = site.selectExpr("site_id", "nei_year", "x AS x1", "y AS y1", "x AS x2", "y AS y2")
-    spots = tables.locations(obs, counties, roads)
-    distances = tables.facility_distances(spots, sites)
+    placed = tables.locations(obs, counties)
+    spots = tables.road_distances(placed, roads)
+    distances = tables.facility_distances(placed, sites)
     by_order = grid.add_cell(bind(spark, sf, "cv"), "x", "y", 8)
     population = (
         grid.add_cell(bind(spark, sf, "site"), "x", "y", 8)
