@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding
+from . import line_dedup, mixing, packing, sharding
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,20 @@ FROM documents d JOIN shards USING (doc_id) JOIN sums USING (doc_id)
 @_query("op1_sharding", _SHARD_SQL)
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"), shards=24)
+
+
+@_query("op8_mixing", None)
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "source_block", "slot", "position")
+
+
+@_query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), capacity=2048)
+
+
+@_query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
