@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, packing, sharding
+from . import line_dedup, mixing, packing, pseudonyms, sharding
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
+
+
+@_query("op5_pseudonyms")
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = pseudonyms.pseudonymise(read(spark, sf_dir, "documents"), key="corpus release 1")
+    return named.select("doc_id", "text", "n_pseudonyms")
