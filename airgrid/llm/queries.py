@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, packing, pseudonyms, sharding
+from . import line_dedup, mixing, ngram_join, packing, pseudonyms, sharding
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,9 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = pseudonyms.pseudonymise(read(spark, sf_dir, "documents"), key="corpus release 1")
     return named.select("doc_id", "text", "n_pseudonyms")
+
+
+@_query("op3_ngram_join")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    similar = ngram_join.similar_documents(read(spark, sf_dir, "documents"), n=5, threshold=0.8)
+    return similar.select("doc_id", "class_id", "n_links")
