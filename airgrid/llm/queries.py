@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, ngram_join, packing, pseudonyms, sharding
+from . import line_dedup, mixing, ngram_join, packing, pseudonyms, sharding, toxicity
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,10 @@ def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     similar = ngram_join.similar_documents(read(spark, sf_dir, "documents"), n=5, threshold=0.8)
     return similar.select("doc_id", "class_id", "n_links")
+
+
+@_query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit_severity(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score_severity(docs, model, keep=["doc_id"])
