@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, ngram_join, packing, pseudonyms, sharding, toxicity
+from . import (
+    language,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    pseudonyms,
+    sharding,
+    toxicity,
+)
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +106,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.fit_severity(docs, read(spark, sf_dir, "labels"))
     return toxicity.score_severity(docs, model, keep=["doc_id"])
+
+
+@_query("op10_language")
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return language.predict_language(docs, language.fit_languages(docs))
