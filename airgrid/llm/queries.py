@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    fingerprints,
     language,
     line_dedup,
     mixing,
@@ -112,3 +113,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return language.predict_language(docs, language.fit_languages(docs))
+
+
+@_query("op7_fingerprints")
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
