@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (
     fingerprints,
@@ -16,6 +17,7 @@ from . import (
     pseudonyms,
     sharding,
     toxicity,
+    vector_search,
 )
 from .tables import read
 
@@ -118,3 +120,9 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_fingerprints")
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
+
+
+@_query("op9_vector_search")
+def op9_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read(spark, sf_dir, "embeddings")
+    return vector_search.nearest_vectors(table, F.col("vec_id") % 50 == 0, k=5)
