@@ -7,14 +7,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .scalars import nan_to_null
+
 
 def strict_mean(value: Column) -> Column:
-    """Mean that is NULL as soon as one value of the group is NULL."""
+    """Mean that is NULL as soon as one value of the group is NULL or NaN."""
+    value = nan_to_null(value)
     return F.when(F.count(value) == F.count(F.lit(1)), F.avg(value))
 
 
 def strict_sum(value: Column) -> Column:
-    """Sum that is NULL as soon as one value of the group is NULL."""
+    """Sum that is NULL as soon as one value of the group is NULL or NaN."""
+    value = nan_to_null(value)
     return F.when(F.count(value) == F.count(F.lit(1)), F.sum(value))
 
 

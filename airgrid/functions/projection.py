@@ -118,6 +118,19 @@ def lambert(lon: Column, lat: Column, p: LambertParams = LambertParams()) -> tup
     return p.x_0 + rho * F.sin(theta), p.y_0 + k["rho0"] - rho * F.cos(theta)
 
 
+def ring_albers(ring: Column, p: AlbersParams = AlbersParams()) -> Column:
+    """J9 for polygons: an array of corners ``(lon, lat)`` in degrees to corners ``(x, y)``.
+
+    Edges stay straight lines between the projected corners.
+    """
+
+    def corner(c: Column) -> Column:
+        x, y = albers(c["lon"], c["lat"], p)
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    return F.transform(ring, corner)
+
+
 def sinusoidal(lon: Column, lat: Column, radius: float = SINUSOIDAL_RADIUS) -> tuple[Column, Column]:
     """Longitude and latitude to sinusoidal metres (the forward of J11)."""
     phi = F.radians(lat)

@@ -31,9 +31,25 @@ def strip_extension(name: Column) -> Column:
 
 
 def lenient_number(text: Column) -> Column:
-    """A3: first drop everything that cannot belong to a number, then cast; failures are NULL."""
-    kept = F.regexp_replace(text, r"[^0-9.eE+\-]", "")
-    return kept.try_cast("double")
+    """A3: the first number in the text, grouping commas dropped; text without one is NULL."""
+    plain = F.regexp_replace(text, r"(?<=[0-9]),(?=[0-9]{3})", "")
+    found = F.regexp_extract(plain, r"[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?", 0)
+    return found.try_cast("double")
+
+
+def without_comment(line: Column, mark: str = "#") -> Column:
+    """A2: the line up to the first comment mark that is not inside double quotes, without trailing
+    blanks. In a line whose quotes do not close, a mark after the last open quote is text."""
+    m = "\\" + mark if not mark.isalnum() else mark
+    return F.rtrim(F.regexp_replace(line, f'(?s)^((?:[^"{m}]++|"[^"]*+")*+){m}.*$', "$1"))
+
+
+def name_year(path: Column, pattern: str | None = None) -> Column:
+    """A5/H7: the year in a file name: group 1 of ``pattern``, by default the last group of exactly
+    four digits."""
+    return F.regexp_extract(
+        base_name(path), pattern or r"^.*(?<![0-9])([0-9]{4})(?![0-9])", 1
+    ).try_cast("int")
 
 
 def not_in(value: Column, members: Iterable) -> Column:
@@ -68,7 +84,7 @@ def inverse_square_weight(distance: Column, center_weight: float = 100.0) -> Col
 
 def split_text(value: Column, sep: str = "-") -> Column:
     """H5: split on a literal separator."""
-    return F.split(value, "[" + sep + "]" if sep != "^" else r"\^")
+    return F.split(value, r"\Q" + sep + r"\E")
 
 
 def region_size(region: Column) -> Column:

@@ -98,11 +98,18 @@ class YearForests:
         return scored.drop("_features", *[f"_p{g}" for g in range(len(groups))])
 
     def score(self, df: DataFrame, oob: bool = False) -> DataFrame:
-        """All fitted years of a table; rows of other years have no model and are left out."""
+        """Every row of a table with its year's model; rows of years without one get NULLs."""
         parts = [
             self.score_year(df.where(F.col(self.by) == y), y, oob) for y in sorted(self.models)
         ]
-        return reduce(lambda a, b: a.unionByName(b), parts)
+        other = ~F.coalesce(F.col(self.by).isin(list(self.models)), F.lit(False))
+        parts.append(df.where(other))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def missing_years(self, df: DataFrame) -> list[int]:
+        """Years of the table that have no model. Starts a job."""
+        years = df.select(self.by).distinct().where(F.col(self.by).isNotNull()).collect()
+        return sorted(r[0] for r in years if r[0] not in self.models)
 
 
 def _mean(values: list[Column]) -> Column:

@@ -32,12 +32,24 @@ def keyed_join(
 
 
 def one_row_per_key(
-    df: DataFrame, on: list[str], cols: list[str], tie: str = "last", seq: str = "seq"
+    df: DataFrame,
+    on: list[str],
+    cols: list[str],
+    tie: str = "last",
+    seq: str = "seq",
+    unique: bool = False,
 ) -> DataFrame:
-    """Reduce to one row per key. Each column has its own fixed-size buffer, so duplicates are
-    combined before the shuffle and a hot key costs one row per task."""
+    """Reduce to one row per key; duplicates are combined before the shuffle, so a hot key costs one
+    row per task.
+
+    Rows of one key with an equal ``seq`` are ordered by a hash of ``cols``, so that all columns come
+    from the same row. ``unique=True`` vouches that there are none, which allows a hash aggregation.
+    """
     reduce = _REDUCERS[tie]
-    return df.groupBy(*on).agg(*[reduce(c, seq).alias(c) for c in cols])
+    if tie not in ("last", "first") or unique:
+        return df.groupBy(*on).agg(*[reduce(c, seq).alias(c) for c in cols])
+    order = F.when(F.col(seq).isNotNull(), F.struct(seq, F.xxhash64(*cols)))
+    return df.groupBy(*on).agg(*[reduce(c, order).alias(c) for c in cols])
 
 
 def update_join(
@@ -48,10 +60,12 @@ def update_join(
     tie: str = "last",
     seq: str = "seq",
     validate: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Set ``cols`` on the left rows from the matching right row; never changes the row count.
 
-    With several matches the one with the highest ``seq`` wins, including its missing values.
+    With several matches the one with the highest ``seq`` wins, including its missing values; equal
+    ``seq`` and ``unique`` are as in :func:`one_row_per_key`.
     ``validate=True`` runs a job that fails when ``seq`` is missing or repeated within a key.
     """
     if validate:
@@ -61,15 +75,9 @@ def update_join(
         if not bad.where("n <> d").isEmpty():
             raise ValueError(f"{seq} must be present and unique within each key")
     keep = [c for c in left.columns if c not in cols]
-    return left.select(*keep).join(one_row_per_key(right, on, cols, tie, seq), on, "left")
-
-
-def update_many(left: DataFrame, sources: list[tuple[DataFrame, list[str], list[str]]]) -> DataFrame:
-    """Several update-joins in sequence, one per source however many columns it brings."""
-    out = left
-    for right, on, cols in sources:
-        out = update_join(out, right, on, cols)
-    return out
+    return left.select(*keep).join(
+        one_row_per_key(right, on, cols, tie, seq, unique), on, "left"
+    )
 
 
 def nearest_vintage(year: Column, vintages: list[int]) -> Column:

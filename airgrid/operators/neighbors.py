@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.scalars import inverse_square_weight
+from ..functions.scalars import inverse_square_weight, nan_to_null
 from . import grid
 
 
 def cell_day_mean(obs: DataFrame, cell: str, date: str, value: str) -> DataFrame:
-    """Mean per cell and day, missing values skipped."""
-    return obs.groupBy(cell, date).agg(F.avg(value).alias(value))
+    """Mean per cell and day, missing values (also NaN) skipped."""
+    return obs.groupBy(cell, date).agg(F.avg(nan_to_null(F.col(value))).alias(value))
 
 
 def idw_neighbors(
@@ -33,7 +33,8 @@ def idw_neighbors(
     nearby cells), so neighbours of one block meet in one task and the partial sums shrink again
     before the final shuffle; only block rims travel twice. A hot day is spread over its blocks.
     """
-    present = cell_day.where(F.col(value).isNotNull()).select(cell, date, value)
+    clean = cell_day.withColumn(value, nan_to_null(F.col(value)))
+    present = clean.where(F.col(value).isNotNull()).select(cell, date, value)
     blocked = grid.add_parent(present, cell, res, max(res - block_levels, 0), "_block")
     together = blocked.repartition(F.col(date), F.col("_block")).drop("_block")
     scattered = grid.explode_disk(together, cell, res, k, "_target", "_distance").withColumn(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.quality import quality_keep
+from ..functions.scalars import nan_to_null
 
 
 @dataclass(frozen=True)
@@ -63,7 +64,7 @@ def composite(
     pixels: DataFrame, bit_order: str = "documented", by: tuple[str, ...] = ("date", "tile", "row", "col")
 ) -> DataFrame:
     """Mean over layers of the pixels whose quality flag allows them; none left gives NULL."""
-    kept = F.when(quality_keep(F.col("qa"), bit_order), F.col("value"))
+    kept = F.when(quality_keep(F.col("qa"), bit_order), nan_to_null(F.col("value")))
     return pixels.groupBy(*by).agg(F.avg(kept).alias("value"))
 
 

@@ -13,7 +13,6 @@ def merge_to_threshold(
     region: str = "region",
     value: str = "population",
     threshold: float = 20000.0,
-    max_rounds: int = 10_000,
 ) -> DataFrame:
     """L1: repeatedly merge the smallest region with its smallest neighbour.
 
@@ -50,7 +49,7 @@ def merge_to_threshold(
         .where("a <> b")
         .distinct()
     )
-    for _round in range(max_rounds):
+    while True:  # a round with a merge leaves fewer regions, so this ends
         merges = cut_lineage(_independent_merges(state, links, threshold))
         if merges.isEmpty():
             break

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from ..functions.scalars import nan_to_null
 
 
 def _by_day(by: list[str], date: str):
@@ -30,7 +32,7 @@ def moving_mean(
     days: int = 1,
     gapless: bool = True,
 ) -> DataFrame:
-    """Mean over neighbouring days, missing values skipped.
+    """Mean over neighbouring days, missing values (also NaN) skipped.
 
     ``centred`` uses ``days`` on both sides (it looks into the future); ``trailing`` uses only the
     past. With ``gapless=False`` the frame is counted in days, so absent rows are not bridged.
@@ -42,7 +44,7 @@ def moving_mean(
     else:
         number = F.datediff(F.col(date), F.lit("1970-01-01").cast("date"))
         frame = Window.partitionBy(*by).orderBy(number).rangeBetween(-days, ahead)
-    return df.withColumn(out, F.avg(value).over(frame))
+    return df.withColumn(out, F.avg(nan_to_null(F.col(value))).over(frame))
 
 
 def share_of_total(df: DataFrame, count: str, out: str = "percent") -> DataFrame:
@@ -50,7 +52,3 @@ def share_of_total(df: DataFrame, count: str, out: str = "percent") -> DataFrame
     total = df.agg(F.sum(count).alias("_total"))
     share = F.try_divide(F.col(count) * F.lit(100.0), F.col("_total"))
     return df.crossJoin(F.broadcast(total)).withColumn(out, share).drop("_total")
-
-
-def percent_of(part: Column, whole: Column) -> Column:
-    return F.try_divide(part * F.lit(100.0), whole)

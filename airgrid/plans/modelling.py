@@ -65,8 +65,11 @@ def score_regions(
     """Score the unfinished (region, year) pairs and write one folder per pair.
 
     ``done`` is the table of finished pairs. Output is spread by month as well, so that one very large
-    region is written by many tasks. Folders of other pairs are not touched.
+    region is written by many tasks. Folders of other pairs are not touched. A year without a model
+    is an error, as its folders would otherwise look finished or stay missing without a word.
     """
     todo = pending(grid_rows, done, ["region", "year"], force)
+    if missing := forests.missing_years(todo):
+        raise ValueError(f"no model for {missing}")
     out = predictions(todo, forests).withColumn("month", F.month("date"))
     write_partitioned(out, path, ["region", "year"], spread=["month"])

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.projection import albers, sinusoidal_inverse
+from ..functions.projection import albers, albers_inverse, lambert, sinusoidal_inverse
 from ..operators import grid
-from ..operators.joins import expand_interval, map_distinct, nearest_vintage, update_join
+from ..operators.joins import expand_interval, nearest_vintage, update_join
 from ..operators.polygons import areal_interpolate, cells_touching
 from ..operators.raster import (
     WEATHER_FRAME,
@@ -54,28 +54,44 @@ def land_cover_years(
     return tagged.join(land_cover, ["cell", "nlcd_year"], "left").select("cell", "year", *measures)
 
 
+def add_weather_cell(
+    df: DataFrame,
+    x: str = "x",
+    y: str = "y",
+    frame: RasterFrame = WEATHER_FRAME,
+    out: str = "weather_cell",
+) -> DataFrame:
+    """The weather raster's cell under each point of the equal-area plane.
+
+    The raster lies in its own conic plane, so points go to degrees and from there into that plane.
+    Points outside the raster get NULL.
+    """
+    lon, lat = albers_inverse(F.col(x), F.col(y))
+    degrees = grid.pin(df, "_deg", F.struct(lon.alias("lon"), lat.alias("lat")))
+    wx, wy = lambert(F.col("_deg.lon"), F.col("_deg.lat"))
+    there = grid.pin(degrees, "_cone", F.struct(wx.alias("x"), wy.alias("y")))
+    at = raster_cell(F.col("_cone.x"), F.col("_cone.y"), frame)
+    return grid.pin(there, out, at).drop("_deg", "_cone")
+
+
 def weather_days(
     obs: DataFrame,
     weather: DataFrame,
     measures: list[str],
+    res: int = 8,
     frame: RasterFrame = WEATHER_FRAME,
-    x: str = "x",
-    y: str = "y",
 ) -> DataFrame:
-    """Weather of the raster cell under each observation's point.
+    """Weather on every day of each observation, from the raster cell under its cell's centre.
 
-    ``obs`` is ``(cell, x, y, start_date, end_date)`` with the point in weather coordinates. Each
-    (weather cell, day) is looked up once.
+    ``obs`` is ``(cell, start_date, end_date)``.
     """
-    daily = expand_interval(obs, "start_date", "end_date", "date").withColumn(
-        "weather_cell", raster_cell(F.col(x), F.col(y), frame)
+    x, y = grid.center(F.col("cell"), res)
+    placed = add_weather_cell(obs.withColumns({"_x": x, "_y": y}), "_x", "_y", frame)
+    daily = expand_interval(placed.drop("_x", "_y"), "start_date", "end_date", "date")
+    return update_join(daily, weather, ["weather_cell", "date"], measures).drop(
+        "start_date", "end_date"
     )
 
-    def look_up(keys: DataFrame) -> DataFrame:
-        return update_join(keys, weather, ["weather_cell", "date"], measures)
-
-    return map_distinct(daily, ["weather_cell", "date"], look_up).drop("start_date", "end_date")
-
 
 def population_density(
     cells: DataFrame, tracts: DataFrame, res: int = 5, cell: str = "cell"

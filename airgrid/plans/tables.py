@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.calendar import is_major_holiday, weekday_text
 from ..functions.scalars import set_missing
 from ..operators import grid
-from ..operators.joins import cell_days, update_join
+from ..operators.joins import update_join
 from ..operators.nearest import nearest_join
 from ..operators.polygons import spatial_join_pip
-from ..operators.raster import WEATHER_FRAME, RasterFrame, raster_cell
+from ..operators.raster import WEATHER_FRAME, RasterFrame
 from ..sources.lookups import EMISSION_VINTAGES, vintage_of
+from .surfaces import add_weather_cell
 
 SECTORS = ["nonroad", "onroad", "nonpoint", "event"]
 
@@ -85,9 +86,14 @@ def training_table(
     d = d.join(nearby.select(F.col("cell").alias("cell3"), "date", "nearby_pm"), ["cell3", "date"], "left")
     d = update_join(
         d,
-        population.select(F.col("cell").alias("cell5"), "population_density", F.lit(0).alias("seq")),
+        population.select(
+            F.col("cell").alias("cell5"),
+            "population_density",
+            F.xxhash64("population_density").alias("seq"),
+        ),
         ["cell5"],
         ["population_density"],
+        unique=True,
     )
     d = update_join(
         d,
@@ -100,9 +106,10 @@ def training_table(
         F.col("fips").alias("county_fips"),
         "nei_year",
         *[F.col(s).alias(f"nei_{s}") for s in SECTORS],
-        F.lit(0).alias("seq"),
+        # Of repeated keys, whole rows are chosen by their content and not by chance.
+        F.xxhash64(*SECTORS).alias("seq"),
     )
-    d = update_join(d, county, ["county_fips", "nei_year"], sectors)
+    d = update_join(d, county, ["county_fips", "nei_year"], sectors, unique=True)
     d = update_join(d, weather, ["cell", "date"], weather_cols)
     d = update_join(d, land_cover, ["cell", "year"], land_cols)
     d = update_join(d, aerosol, ["cell", "date"], ["aod"])
@@ -116,44 +123,62 @@ def training_table(
     return d.drop("cell5", "cell3").fillna(0, subset=["nei_point", "fire_pm25", "fire_area"])
 
 
-def prediction_table(
+def prediction_cells(
     regions: DataFrame,
-    days: DataFrame,
     counties: DataFrame,
-    nearby: DataFrame,
-    county_emissions: DataFrame,
-    weather: DataFrame,
-    weather_cols: list[str],
     region_res: int = 3,
     res: int = 8,
     frame: RasterFrame = WEATHER_FRAME,
-    vintages: dict[int, tuple[int, int]] = EMISSION_VINTAGES,
 ) -> DataFrame:
-    """Every fine cell of the regions on every day, with the chosen predictors.
+    """P3, spatial part: every fine cell of the regions once, with centre, county and weather cell.
 
-    ``regions`` is ``(region, cell)`` from ``region_cells``. Neighbour exposure is an INNER join:
-    cells outside the neighbour grid are dropped. Cells without a county are kept. The spatial steps
-    run on cells, before days multiply the rows.
+    ``regions`` is ``(region, cell)`` from ``region_cells``. Cells without a county are kept.
     """
     fine = grid.explode_children(
         regions.withColumnRenamed("cell", "cell3"), "cell3", region_res, res, "cell"
     )
     x, y = grid.center(F.col("cell"), res)
-    spots = fine.withColumns({"x": x, "y": y})
-    spots = spatial_join_pip(spots, counties, poly_id="county_fips").withColumn(
-        "weather_cell", raster_cell(F.col("x"), F.col("y"), frame)
+    spots = spatial_join_pip(fine.withColumns({"x": x, "y": y}), counties, poly_id="county_fips")
+    return add_weather_cell(spots, "x", "y", frame)
+
+
+def prediction_table(
+    spots: DataFrame,
+    nearby: DataFrame,
+    county_emissions: DataFrame,
+    weather: DataFrame,
+    weather_cols: list[str],
+    vintages: dict[int, tuple[int, int]] = EMISSION_VINTAGES,
+) -> DataFrame:
+    """Every fine cell of ``prediction_cells`` on every day, with the chosen predictors.
+
+    The days of a cell are those of its neighbour exposure: cells and days outside the neighbour
+    grid are dropped. Everything that varies by day is joined per (region cell, weather cell), of
+    which there are thousands of times fewer than fine cells, and everything that varies by county
+    per cell. The fan-out to cells and days is the last join, and its rows are not shuffled again.
+    """
+    # NULL (outside the raster) would not meet itself in a join.
+    no_cell = F.lit(-1).cast("bigint")
+    spots = spots.withColumn("_wx", F.coalesce("weather_cell", no_cell))
+    daily = spots.select("cell3", "_wx", "weather_cell").distinct().join(
+        nearby.select(F.col("cell").alias("cell3"), "date", "nearby_pm"), "cell3"
     )
-    d = cell_days(spots, days.select("date")).withColumns(
-        {"year": F.year("date"), "doy": F.dayofyear("date")}
+    daily = update_join(daily, weather, ["weather_cell", "date"], weather_cols)
+    daily = daily.withColumns({"year": F.year("date"), "doy": F.dayofyear("date")}).withColumn(
+        "_vintage", vintage_of(F.col("year"), vintages)
     )
-    d = d.join(nearby.select(F.col("cell").alias("cell3"), "date", "nearby_pm"), ["cell3", "date"])
-    d = d.withColumn("nei_year", vintage_of(F.col("year"), vintages))
-    events = county_emissions.select(
-        F.col("fips").alias("county_fips"),
-        "nei_year",
-        F.col("event").alias("nei_event"),
-        F.lit(0).alias("seq"),
+    # A county's few inventory years side by side.
+    events = county_emissions.where(F.col("nei_year").isNotNull()).groupBy(
+        F.col("fips").alias("county_fips")
+    ).agg(
+        *[
+            F.max(F.when(F.col("nei_year") == v, F.col("event"))).alias(f"_event_{v}")
+            for v in vintages
+        ]
+    )
+    placed = spots.join(events, "county_fips", "left")
+    out = placed.join(daily.drop("weather_cell"), ["cell3", "_wx"])
+    event = F.coalesce(*[F.when(F.col("_vintage") == v, F.col(f"_event_{v}")) for v in vintages])
+    return out.withColumn("nei_event", event).drop(
+        "cell3", "_wx", "_vintage", *[f"_event_{v}" for v in vintages]
     )
-    d = update_join(d, events, ["county_fips", "nei_year"], ["nei_event"])
-    d = update_join(d, weather, ["weather_cell", "date"], weather_cols)
-    return d.drop("cell3", "nei_year")

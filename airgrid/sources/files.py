@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.scalars import base_name, lenient_number
+from ..functions.scalars import lenient_number, name_year, without_comment
 
 BAD = "_bad_record"
 
@@ -55,19 +55,35 @@ def read_text_columns(
 def cut_comments(spark: SparkSession, paths: str | list[str], comment: str = "#") -> DataFrame:
     """A2: lines with everything from the comment mark on removed, and empty lines dropped.
 
-    Feed the ``value`` column to ``from_csv`` when a file has comments in the middle of lines.
+    Feed the ``value`` column to :func:`parse_lines` when a file has comments in the middle of
+    lines. A mark inside double quotes is text.
     """
-    marked = F.split("value", "[" + comment + "]", 2).getItem(0)
-    return spark.read.text(paths).select(F.rtrim(marked).alias("value")).where("value <> ''")
+    return clean_lines(spark.read.text(paths), comment)
+
+
+def clean_lines(lines: DataFrame, comment: str = "#") -> DataFrame:
+    """A2 for lines in a ``value`` column; other columns pass through."""
+    cut = lines.withColumn("value", without_comment(F.col("value"), comment))
+    return cut.where("value <> ''")
 
 
 def parse_lines(lines: DataFrame, schema: str) -> DataFrame:
-    """Rows of ``cut_comments`` lines; the header line is recognised by its first column name."""
-    first = T.StructType.fromDDL(schema).fields[0].name
-    body = lines.where(~F.col("value").startswith(first))
+    """Rows of ``cut_comments`` lines. A line that consists of exactly the schema's column names is
+    a header, whichever file it comes from; blanks and quotes around the names do not matter."""
+    names = T.StructType.fromDDL(schema).fieldNames()
+    bare = F.regexp_replace("value", '[ "]', "")
+    body = lines.where(bare != ",".join(n.replace(" ", "") for n in names))
     return body.select(F.from_csv("value", schema).alias("row")).select("row.*")
 
 
+def read_records(lines: DataFrame, schema: str, text: str = "value") -> DataFrame:
+    """A16 for lines in a column: the other columns, the parsed fields, and ``_bad_record`` with
+    the text of a line that does not fit the schema."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+    read = lines.withColumn("_row", F.from_csv(text, f"{schema}, {BAD} string", options))
+    return read.drop(text).select("*", "_row.*").drop("_row")
+
+
 def read_many(spark: SparkSession, parts: dict[str, str]) -> DataFrame:
     """A4: files with different columns as one table, missing columns NULL.
 
@@ -77,10 +93,11 @@ def read_many(spark: SparkSession, parts: dict[str, str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def with_file_year(df: DataFrame, out: str = "year") -> DataFrame:
-    """A5/H7: the four-digit year in the name of the file a row came from."""
-    name = base_name(F.col("_metadata.file_path"))
-    return df.withColumn(out, F.regexp_extract(name, r"(\d{4})", 1).try_cast("int"))
+def with_file_year(
+    df: DataFrame, out: str = "year", pattern: str | None = None
+) -> DataFrame:
+    """A5/H7: the year in the name of the file a row came from, as :func:`name_year` finds it."""
+    return df.withColumn(out, name_year(F.col("_metadata.file_path"), pattern))
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:

@@ -20,13 +20,43 @@ from .registry import query
 def csv_fields_lenient(spark, sf):
     """A1, A3: lines of text, split by a stated schema, numbers read leniently."""
     rows = table(spark, sf, "lineitem").select(
-        "l_orderkey",
-        F.to_csv(F.struct("l_linenumber", F.concat(F.lit("$ "), "l_extendedprice"))).alias("line"),
+        F.col("l_orderkey").alias("k"),
+        F.to_csv(F.struct("l_linenumber", F.concat(F.lit("$ "), "l_extendedprice"))).alias("line_text"),
     )
-    parsed = rows.select(
-        F.col("l_orderkey").alias("k"), F.from_csv("line", "line string, price string").alias("r")
+    parsed = files.read_records(rows, "line string, price string", "line_text")
+    return parsed.select("k", "line", sc.lenient_number(F.col("price")).alias("price"))
+
+
+@query(
+    "lenient_numbers",
+    """SELECT event_id, kind, CASE kind WHEN 5 THEN NULL WHEN 6 THEN -v WHEN 7 THEN v * 1000 + 1234000 ELSE v END AS number
+       FROM (SELECT event_id, event_id % 8 AS kind, CAST(user_id AS DOUBLE) AS v FROM events)""",
+)
+def lenient_numbers(spark, sf):
+    """A3: the number in a text, whatever stands around it."""
+    texts = """CASE event_id % 8 WHEN 0 THEN concat(user_id, '.0 each') WHEN 1 THEN concat('$', user_id, ' per')
+        WHEN 2 THEN concat(user_id, ' (est)') WHEN 3 THEN concat('see: ', user_id, 'e0') WHEN 4 THEN concat(user_id, '')
+        WHEN 5 THEN 'none, see e-mail' WHEN 6 THEN concat('about -', user_id, '.') ELSE
+        concat('1,', substr(cast(1234000 + user_id * 1000 as string), 2, 3), ',', substr(cast(1234000 + user_id * 1000 as string), 5, 3), ' in all') END"""
+    rows = table(spark, sf, "events")
+    rows = rows.selectExpr("event_id", "cast(event_id % 8 as bigint) AS kind", f"{texts} AS t")
+    return rows.select("event_id", "kind", sc.lenient_number(F.col("t")).alias("number"))
+
+
+@query(
+    "file_years",
+    """SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE year(CAST(o_orderdate AS DATE)) END AS INT) AS year
+       FROM orders""",
+)
+def file_years(spark, sf):
+    """A5, H7: the year in a file name, also after longer numbers."""
+    names = """CASE o_orderkey % 4 WHEN 0 THEN concat('/in.2031/daily_88101_', year(o_orderdate), '.csv')
+        WHEN 1 THEN concat('file:/a/', year(o_orderdate), '.csv.gz') WHEN 2 THEN concat('1850_', year(o_orderdate), '_v12345')
+        ELSE '/2004/daily_88101_12345x' END"""
+    rows = table(spark, sf, "orders")
+    return rows.selectExpr("o_orderkey", f"{names} AS name").select(
+        "o_orderkey", sc.name_year(F.col("name")).alias("year")
     )
-    return parsed.select("k", "r.line", sc.lenient_number(F.col("r.price")).alias("price"))
 
 
 @query(
@@ -39,27 +69,33 @@ def csv_bad_rows(spark, sf):
     text = F.when(F.col("event_id") % 5 == 0, F.lit("no-number,x")).otherwise(
         F.to_csv(F.struct("event_id", "value"))
     )
-    rows = table(spark, sf, "events").select("event_type", text.alias("line"))
-    schema = f"id bigint, v double, {files.BAD} string"
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": files.BAD}
-    read = rows.select("event_type", F.from_csv("line", schema, options).alias("r"))
-    bad = F.col(f"r.{files.BAD}").isNotNull()
-    return read.groupBy("event_type").agg(
-        F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad")
+    rows = table(spark, sf, "events").select("event_type", text.alias("value"))
+    good, bad = files.split_rejects(files.read_records(rows, "id bigint, v double"))
+    both = good.select("event_type", F.lit(1).alias("g")).union(bad.select("event_type", F.lit(0)))
+    return both.groupBy("event_type").agg(
+        F.count_if(F.col("g") == 1).alias("good"), F.count_if(F.col("g") == 0).alias("bad")
     )
 
 
 @query(
     "comment_cut",
-    """SELECT doc_id, rtrim(split_part(text, '.', 1), ' ') AS value FROM documents
-       WHERE rtrim(split_part(text, '.', 1), ' ') <> ''""",
+    """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
+       v AS (SELECT doc_id, n, CASE n % 3 WHEN 0 THEN '"a # b", ' || line WHEN 1 THEN line || ' # late, "x"' ELSE '# ' || line END AS v FROM l),
+       p AS (SELECT doc_id, n, v, list_filter(range(1, len(v) + 1), lambda i: v[i] = '#' AND
+         (len(left(v, i - 1)) - len(replace(left(v, i - 1), '"', ''))) % 2 = 0)[1] AS cut FROM v)
+       SELECT doc_id, CAST(n AS INT) AS n, rtrim(CASE WHEN cut IS NULL THEN v ELSE left(v, cut - 1) END, ' ') AS value
+       FROM p WHERE rtrim(CASE WHEN cut IS NULL THEN v ELSE left(v, cut - 1) END, ' ') <> ''""",
 )
 def comment_cut(spark, sf):
-    """A2: everything after a mark is dropped, empty lines too."""
-    cut = table(spark, sf, "documents").select(
-        "doc_id", F.rtrim(F.split("text", "[.]", 2).getItem(0)).alias("value")
+    """A2: everything after a mark outside quotes is dropped, empty lines too."""
+    lines = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)))
+    n, line = F.col("pos") + 1, F.col("col")
+    marked = (
+        F.when(n % 3 == 0, F.concat(F.lit('"a # b", '), line))
+        .when(n % 3 == 1, F.concat(line, F.lit(' # late, "x"')))
+        .otherwise(F.concat(F.lit("# "), line))
     )
-    return cut.where("value <> ''")
+    return files.clean_lines(lines.select("doc_id", n.alias("n"), marked.alias("value")))
 
 
 @query(
@@ -118,14 +154,19 @@ def page_links(spark, sf):
 
 @query(
     "chosen_links",
-    """SELECT page_id, href, CAST(try_strptime(regexp_extract(href, '(\\d{4}\\.\\d{2}\\.\\d{2})', 1),
-       '%Y.%m.%d') AS DATE) AS day FROM (SELECT page_id,
+    """SELECT page_id, href || '/' || '2' || lpad(CAST(page_id % 1000 AS VARCHAR), 3, '0') || '.'
+       || lpad(CAST(page_id % 14 AS VARCHAR), 2, '0') || '.' || lpad(CAST(page_id % 33 AS VARCHAR), 2, '0') AS href,
+       TRY_CAST('2' || lpad(CAST(page_id % 1000 AS VARCHAR), 3, '0') || '-' || lpad(CAST(page_id % 14 AS VARCHAR), 2, '0')
+       || '-' || lpad(CAST(page_id % 33 AS VARCHAR), 2, '0') AS DATE) AS day FROM (SELECT page_id,
        unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href FROM pages)
        WHERE contains(href, '/') AND NOT contains(href, 'x')""",
 )
 def chosen_links(spark, sf):
     """Links by substring, and the date in them."""
     found = links.choose_links(links.page_links(table(spark, sf, "pages")), ["/"], ["x"])
+    # The pages' links hold no dates, so one made from the page's number is added; some are no days.
+    dated = "concat(href, '/2', lpad(page_id % 1000, 3, '0'), '.', lpad(page_id % 14, 2, '0'), '.', lpad(page_id % 33, 2, '0'))"
+    found = found.withColumn("href", F.expr(dated))
     return found.select("page_id", "href", links.date_in_text(F.col("href")).alias("day"))
 
 

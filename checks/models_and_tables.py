@@ -114,37 +114,41 @@ def land_cover_years(spark, sf):
     return out.select("cell", "year", F.round("impervious", 4).alias("impervious"))
 
 
-_RC = """CASE WHEN px BETWEEN -16231.49e0 AND 11313351e0 AND py BETWEEN -16231.5e0 AND 8976020e0 THEN
-    CAST((CASE WHEN py = -16231.5e0 THEN 276 ELSE floor((8976020e0 - py) / ((8976020e0 - -16231.5e0) / 277)) END) * 349
-    + (CASE WHEN px = 11313351e0 THEN 348 ELSE floor((px - -16231.49e0) / ((11313351e0 - -16231.49e0) / 349)) END) + 1 AS BIGINT) END"""
-
-
 def _weather_rows(spark, sf):
     """Daily weather per weather cell, several rows per key; the last order wins."""
-    from airgrid.operators.raster import raster_cell
-
-    cv = bind(spark, sf, "cv").select(
-        "date", "seq", (F.col("x") + 5000000).alias("px"), (F.col("y") + 3000000).alias("py"),
-        F.col("pm25").alias("hpbl"), F.expr("if(seq % 5 = 0, null, se_oob)").alias("air_2m"),
+    cv = surfaces.add_weather_cell(bind(spark, sf, "cv"))
+    return cv.select(
+        "date", "seq", "weather_cell", F.col("pm25").alias("hpbl"),
+        F.expr("if(seq % 5 = 0, null, se_oob)").alias("air_2m"),
     )
-    return cv.withColumn("weather_cell", raster_cell(F.col("px"), F.col("py")))
 
 
 _WEATHER = f"""wx AS (SELECT weather_cell, date, arg_max_null(pm25, seq) AS hpbl, arg_max_null(CASE WHEN seq % 5 = 0 THEN NULL ELSE se_oob END, seq) AS air_2m
-    FROM (SELECT *, x + 5000000 AS px, y + 3000000 AS py, {_RC} AS weather_cell FROM cv) GROUP BY ALL)"""
+    FROM {q.with_weather_cell('cv', 'x', 'y')} GROUP BY ALL)"""
+_XC, _YC = q.center_exprs("cell", 8)
+
+
+@query(
+    "weather_cells",
+    f"""WITH {ctes('site', 'cv')} SELECT site_id, weather_cell FROM {q.with_weather_cell('site', 'x', 'y')}""",
+)
+def weather_cells(spark, sf):
+    """The weather raster's cell under points of the equal-area plane."""
+    return surfaces.add_weather_cell(bind(spark, sf, "site")).select("site_id", "weather_cell")
 
 
 @query(
     "weather_days",
-    f"""WITH {ctes('cv')}, {_WEATHER}, o AS (SELECT seq, x + 5000000 AS px, y + 3000000 AS py, {_RC} AS weather_cell,
-        CAST(unnest(generate_series(CAST(date AS TIMESTAMP), CAST(date AS TIMESTAMP) + to_days(CAST(seq % 3 AS INT)), INTERVAL 1 DAY)) AS DATE) AS date FROM cv)
-        SELECT seq, weather_cell, date, hpbl, air_2m FROM o LEFT JOIN wx USING (weather_cell, date)""",
+    f"""WITH {ctes('cv')}, {_WEATHER}, c8 AS (SELECT seq, date, {q.cell_items('x', 'y', 8, 'cell')} FROM cv),
+        p8 AS (SELECT seq, date, {_XC} AS cx, {_YC} AS cy FROM c8),
+        o AS (SELECT seq, weather_cell, CAST(unnest(generate_series(CAST(date AS TIMESTAMP), CAST(date AS TIMESTAMP) + to_days(CAST(seq % 3 AS INT)), INTERVAL 1 DAY)) AS DATE) AS date FROM {q.with_weather_cell('p8', 'cx', 'cy')})
+        SELECT seq, weather_cell, o.date, hpbl, air_2m FROM o LEFT JOIN wx USING (weather_cell, date)""",
 )
 def weather_days(spark, sf):
-    """Raster cell under each point, one look-up per cell and day."""
-    obs = bind(spark, sf, "cv").select(
-        "seq", (F.col("x") + 5000000).alias("x"), (F.col("y") + 3000000).alias("y"),
-        F.col("date").alias("start_date"), F.date_add("date", (F.col("seq") % 3).cast("int")).alias("end_date"),
+    """Raster cell under each cell's centre, one look-up per cell and day."""
+    obs = grid.add_cell(bind(spark, sf, "cv"), "x", "y", 8).select(
+        "seq", "cell", F.col("date").alias("start_date"),
+        F.date_add("date", (F.col("seq") % 3).cast("int")).alias("end_date"),
     )
     out = surfaces.weather_days(obs, _weather_rows(spark, sf), ["hpbl", "air_2m"])
     return out.select("seq", "weather_cell", "date", "hpbl", "air_2m")
@@ -245,22 +249,51 @@ def training_table(spark, sf):
 
 
 def _regions(spark, sf):
-    """Merged ids over the coarse cells of the stations, two per id at most."""
+    """Merged ids over the coarse cells of the stations: all cells under one ancestor together."""
     cells = grid.add_cell(bind(spark, sf, "stn"), "x", "y", 3).select("cell").distinct()
     pair = grid.add_parent(cells, "cell", 3, 1, "up")
     ids = pair.groupBy("up").agg(F.array_sort(F.collect_set("cell")).alias("m"))
     return ids.select(F.array_join(F.transform("m", lambda c: c.cast("string")), "-").alias("region"))
 
 
-def grid_rows(spark, sf, res=4):
+def _prediction_cells(spark, sf, res):
     cells = regions.region_cells(_regions(spark, sf)).withColumn("cell", F.col("cell").cast("bigint"))
-    nearby = neighbor_exposure_rows(spark, sf)
-    weather = _weather_rows(spark, sf)
-    days = nearby.select("date").distinct()
     counties = rectangle(bind(spark, sf, "county")).withColumnRenamed("poly_id", "county_fips")
+    return tables.prediction_cells(cells, counties, region_res=3, res=res)
+
+
+def grid_rows(spark, sf, res=4):
     return tables.prediction_table(
-        cells, days, counties, nearby, _inventory(spark, sf), weather, ["hpbl", "air_2m"],
-        region_res=3, res=res, vintages=VINTAGES,
+        _prediction_cells(spark, sf, res), neighbor_exposure_rows(spark, sf), _inventory(spark, sf),
+        _weather_rows(spark, sf), ["hpbl", "air_2m"], vintages=VINTAGES,
+    )
+
+
+def _children_sql(coarse: int, fine: int) -> str:
+    """Tables ``g<level>`` of all cells under the region cells ``c3``, level by level."""
+    steps = [f"g{coarse} AS (SELECT cell3, cell3 AS cell FROM c3)"]
+    for level in range(coarse, fine):
+        a, b = f"({q.q_of('cell')})", f"({q.r_of('cell')})"
+        down = (f"2 * {a} - {b}", f"{a} + 3 * {b}") if level % 2 else (f"3 * {a} + {b}", f"2 * {b} - {a}")
+        cell = q.pack(f"{down[0]} + dq", f"{down[1]} + dr", level + 1)
+        steps.append(f"g{level + 1} AS (SELECT cell3, {cell} AS cell FROM g{level}, ({q.disk(1)}))")
+    return ", ".join(steps)
+
+
+@query(
+    "prediction_cells",
+    f"""WITH {ctes('stn', 'county')},
+        c3 AS (SELECT DISTINCT cell3 FROM (SELECT {q.cell_items('x', 'y', 3, 'cell3')} FROM stn)), {_children_sql(3, 8)},
+        p8 AS (SELECT *, {_XC} AS px, {_YC} AS py FROM g8),
+        s8 AS (SELECT * FROM {q.with_weather_cell('p8', 'px', 'py')})
+        SELECT cell3, weather_cell, poly_id AS county_fips, count(*) AS n, min(cell) AS first_cell, max(cell) AS last_cell
+        FROM s8 LEFT JOIN county ON px >= xmin AND px < xmax AND py >= ymin AND py < ymax GROUP BY ALL""",
+)
+def prediction_cells(spark, sf):
+    """P3, spatial part at the finest resolution: all cells of all regions, summed per place."""
+    cells = _prediction_cells(spark, sf, 8)
+    return cells.groupBy("cell3", "weather_cell", "county_fips").agg(
+        F.count(F.lit(1)).alias("n"), F.min("cell").alias("first_cell"), F.max("cell").alias("last_cell")
     )
 
 
@@ -269,7 +302,7 @@ _PRED = f"""{_EXPOSURE}, {_inventory_sql(False)}, {ctes('stn', 'cv')}, {_WEATHER
     near AS (SELECT cell AS cell3, date, nearby_pm FROM x),
     c3 AS (SELECT DISTINCT cell3 FROM (SELECT {q.cell_items('x', 'y', 3, 'cell3')} FROM stn)),
     c4 AS (SELECT cell3, {q.pack(f"2 * ({q.q_of('cell3')}) - ({q.r_of('cell3')}) + dq", f"({q.q_of('cell3')}) + 3 * ({q.r_of('cell3')}) + dr", 4)} AS cell FROM c3, ({q.disk(1)})),
-    s4 AS (SELECT *, {_X4} AS px, {_Y4} AS py, {_RC} AS weather_cell FROM c4),
+    x4 AS (SELECT *, {_X4} AS px, {_Y4} AS py FROM c4), s4 AS (SELECT * FROM {q.with_weather_cell('x4', 'px', 'py')}),
     p4 AS (SELECT s4.*, poly_id AS county_fips FROM s4 LEFT JOIN county ON px >= xmin AND px < xmax AND py >= ymin AND py < ymax)"""
 
 
@@ -354,7 +387,7 @@ def scored_regions(spark, sf):
     train = training_rows(spark, sf).where("pm25 IS NOT NULL")
     features = ["nearby_pm", "x", "doy", "air_2m", "nei_event", "hpbl", "y"]
     forests = forest.cluster_forest(train, features, "pm25", "cell", **{**_SMALL, "groups": 2})
-    scored = modelling.predictions(grid_rows(spark, sf, 3), forests)
+    scored = modelling.predictions(grid_rows(spark, sf), forests)
     return scored.groupBy("region", "year").agg(
         F.count(F.lit(1)).alias("n"), F.avg("pm_pred").alias("mean_pred"), F.avg("pm_se").alias("mean_se")
     )

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from airgrid.functions import aggregates as agg, calendar as cal, projection, quality, scalars as sc
-from airgrid.operators import joins, metrics, quantiles, raster, reshape, rollup
-from airgrid.plans import inventories
+from airgrid.operators import grid, joins, metrics, neighbors, quantiles, raster, reshape, rollup
+from airgrid.plans import inventories, surfaces
+from airgrid.sources import files
 
 
 def one(df):
@@ -151,3 +152,54 @@ def test_projection_round_trips(spark):
     lx, ly = projection.lambert(F.col("lon"), F.col("lat"))
     got = origin.select(lx, ly).head()
     assert math.isclose(got[0], 5632642.22547, abs_tol=1e-6) and math.isclose(got[1], 4612545.65137, abs_tol=1e-3)
+
+
+def test_weather_cell_of_known_places(spark):
+    places = spark.createDataFrame([(-96.0, 37.0, 61978), (-118.0, 34.0, 65405), (-80.0, 40.0, 54340)], "lon double, lat double, want long")
+    x, y = projection.albers(F.col("lon"), F.col("lat"))
+    got = surfaces.add_weather_cell(places.withColumns({"x": x, "y": y})).collect()
+    assert [r.weather_cell for r in got] == [r.want for r in got]
+
+
+def test_rings_are_projected(spark):
+    ring = spark.sql("SELECT array(named_struct('lon', -96D, 'lat', 23D), named_struct('lon', -90D, 'lat', 40D)) AS ring")
+    x, y = projection.albers(F.lit(-90.0), F.lit(40.0))
+    row = ring.select(projection.ring_albers(F.col("ring")).alias("r"), x.alias("x"), y.alias("y")).head()
+    assert abs(row.r[0].x) < 1e-6 and abs(row.r[0].y) < 1e-6
+    assert (row.r[1].x, row.r[1].y) == pytest.approx((row.x, row.y))
+
+
+def test_numbers_years_and_comments_in_text(spark):
+    texts = ["12.5 each", "$1,200 per", "3.5 (est)", "1,234,567.8", "-.5e2x", "e-mail", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in rows.select(sc.lenient_number(F.col("t"))).collect()]
+    assert got == [12.5, 1200.0, 3.5, 1234567.8, -50.0, None, None, None]
+    names = ["daily_88101_2004.csv", "/a/1999/x_2003_12345", "no_88101", "2011", "a2005b.csv.gz"]
+    rows = spark.createDataFrame([(t,) for t in names], "t string")
+    assert [r[0] for r in rows.select(sc.name_year(F.col("t"))).collect()] == [2004, 2003, None, 2011, 2005]
+    assert one(rows.where("t = '2011'").select(sc.name_year(F.col("t"), r"(\d{2})$"))) == 11
+    lines = ['"Plant #4, north",7', "a,1 # b", "#", 'x "y # z', "no mark  "]
+    rows = spark.createDataFrame([(t,) for t in lines], "value string")
+    assert [r.value for r in files.clean_lines(rows).collect()] == [lines[0], "a,1", lines[3], "no mark"]
+
+
+def test_only_whole_header_lines_are_headers(spark):
+    lines = spark.createDataFrame([("id,v",), ("idaho,3",), ('"id", v',), ("id,4",)], "value string")
+    got = files.parse_lines(lines, "id string, v double").collect()
+    assert sorted(tuple(r) for r in got) == [("id", 4.0), ("idaho", 3.0)]
+
+
+def test_nan_is_missing(spark):
+    rows = spark.sql("SELECT 1 AS k, DATE '2020-01-01' AS d, explode(array(double('NaN'), 2.0D)) AS v")
+    assert one(neighbors.cell_day_mean(rows, "k", "d", "v").select("v")) == 2.0
+    assert one(rows.agg(agg.strict_mean(F.col("v")))) is None
+    centre = grid.add_cell(spark.sql("SELECT 0D AS x, 0D AS y, DATE '2020-01-01' AS date, explode(array(double('NaN'), 2.0D)) AS pm25"), "x", "y", 3)
+    near = neighbors.idw_neighbors(centre, 3, k=1).collect()
+    assert len(near) == 7 and all(r.nearby == 2.0 for r in near)
+
+
+def test_equal_order_never_mixes_rows(spark):
+    left = spark.createDataFrame([(1,)], "k int")
+    right = spark.createDataFrame([(1, i, -i, 5) for i in range(40)], "k int, a int, b int, seq int").repartition(8)
+    row = joins.update_join(left, right, ["k"], ["a", "b"]).head()
+    assert row.a == -row.b

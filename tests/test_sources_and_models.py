@@ -1,5 +1,6 @@
 """Files, work lists, forests and scoring on small inputs."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from airgrid.operators import forest
@@ -89,6 +90,11 @@ def test_forest_out_of_bag_and_scoring(spark, tmp_path):
     assert left.where("region = 'r0'").count() == 0 and left.count() == grid_rows.where("region = 'r1'").count()
     modelling.score_regions(spark, grid_rows, forests, out, done)
     assert spark.read.parquet(out).count() == train.count()
+    # Years without a model stay, without a prediction, and are refused when regions are written.
+    later = grid_rows.limit(5).withColumn("year", F.lit(2050))
+    assert [r.pred for r in forests.score(grid_rows.limit(3).unionByName(later)).where("year = 2050").collect()] == [None] * 5
+    with pytest.raises(ValueError, match="2050"):
+        modelling.score_regions(spark, later, forests, out, done)
 
 
 def test_two_ways_to_match_observations(spark):
