@@ -109,13 +109,13 @@ def least_agreements(values: int, threshold: float, tolerance: float) -> np.ndar
 
 
 def document_sets(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, set_id (null without words), signature and band hashes of every document."""
+    """doc_id, text_hash, set_id (null without words), signature and band hashes of every document."""
     factors = _multipliers(bands * rows)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, signatures, hashes = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 grams = ngram_set(text.as_py(), n)
                 if not len(grams):
                     ids.append(None)
@@ -132,17 +132,18 @@ def document_sets(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(ids, pa.int64()),
                     pa.array(signatures, pa.binary()),
                     pa.array(hashes, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "set_id", "signature", "bands"],
+                ["doc_id", "text_hash", "set_id", "signature", "bands"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        sets, f"doc_id {kind}, set_id long, signature binary, bands array<long>"
-    )
+    schema = f"doc_id {kind}, text_hash long, set_id long, signature binary, bands array<long>"
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text).mapInArrow(sets, schema)
 
 
 def _likely(left: np.ndarray, right: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -314,12 +315,11 @@ def similar_documents(
     hot: int = 32,
     block: int = 256,
 ) -> DataFrame:
-    """One row per document: doc_id, set_id, class_id and n_links.
+    """One row per document: doc_id, text_hash, set_id, group_id, class_id and n_links.
 
-    n_links is the number of other documents with a similarity of at least `threshold`; copies
-    with an equal set count. class_id is the least doc_id among all documents that a chain of links
-    reaches. Documents without words (also null texts) have no links, no set_id, and their own
-    doc_id as class_id. Repeated rows are documents of their own and link to each other. Null ids
+    Documents that a chain of links connects share a group_id. n_links is the number of other documents with a similarity of at least `threshold`; copies
+    with an equal set count. class_id is the least doc_id of the group. Documents without words
+    (also null texts) have no links, no set_id, no group_id, and their own doc_id as class_id. Repeated rows are documents of their own and link to each other. Null ids
     take part and are never a class_id unless a whole class has none.
     """
     sets = cut_lineage(document_sets(docs, n, bands, rows))
@@ -355,15 +355,18 @@ def similar_documents(
     least = named.groupBy("group").agg(F.min("least_id").alias("class_id"))
     by_set = named.join(least, "group").select(
         "set_id",
+        F.col("group").alias("group_id"),
         "class_id",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
     return (
-        sets.select("doc_id", "set_id")
+        sets.select("doc_id", "text_hash", "set_id")
         .join(by_set, "set_id", "left")
         .select(
             "doc_id",
+            "text_hash",
             "set_id",
+            "group_id",
             F.when(F.col("set_id").isNull(), F.col("doc_id"))
             .otherwise(F.col("class_id"))
             .alias("class_id"),
@@ -388,17 +391,24 @@ def _of_their_set(found: DataFrame, n: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, similar: DataFrame) -> DataFrame:
-    """`docs` without all but one document of each class: that of the least doc_id and, where rows
-    share that id, the one whose text has the least hash. Documents without words all stay."""
+    """`docs` without all but one document of each group of `similar`: the one with the least
+    doc_id (null ids last) and, where texts share that id, the least hash. Of repeated rows one
+    stays. Documents without words all stay."""
 
     def named(column: str) -> Column:
         return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
 
-    kept = similar.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = kept.select(named("class_id").alias("__id")).distinct()
-    joined = docs.withColumn("__id", named("doc_id")).join(kept, "__id", "left_semi")
-    place = F.row_number().over(Window.partitionBy("__id").orderBy(F.xxhash64("text")))
-    wordless = ~F.coalesce(F.col("text").rlike(r"(?U)\w"), F.lit(False))
-    return joined.withColumn("__place", place).where((F.col("__place") == 1) | wordless).drop(
-        "__id", "__place"
+    me = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    grouped = similar.where(F.col("group_id").isNotNull()).groupBy("group_id")
+    first = grouped.agg(F.min(me).alias("first")).select("first.*", F.lit(True).alias("__once"))
+    wordless = similar.where(F.col("group_id").isNull()).select("doc_id", "text_hash").distinct()
+    kept = first.drop("last").unionByName(wordless.withColumn("__once", F.lit(False)))
+    kept = kept.select(named("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__once")
+    keyed = docs.withColumns(
+        {"__id": named("doc_id"), "__hash": F.xxhash64(F.col("text").cast("string"))}
+    )
+    joined = keyed.join(kept, ["__id", "__hash"])
+    copy = F.row_number().over(Window.partitionBy("__id", "__hash").orderBy(F.lit(0)))
+    return joined.withColumn("__copy", copy).where((F.col("__copy") == 1) | ~F.col("__once")).select(
+        *docs.columns
     )

@@ -82,23 +82,17 @@ def test_mixture_is_the_pfair_schedule(spark):
     rows = [(i, f"t{i}", s) for s, n in sizes.items() for i in range(n)]
     docs = spark.createDataFrame(rows, DOCS).withColumns({"slot": F.lit("x"), "units": F.lit(1)})
     weights = {"a": 0.5, "b": 0.3, "c": 0.1, "": 0.05}
-    got = mix(docs, weights, frame=40, block_rows=2, numbering_rows=8).collect()
+    got = mix(docs, weights, frame=41, block_rows=2, numbering_rows=8).collect()
     assert Counter((r.doc_id, r.source) for r in got) == Counter((i, s) for i, _, s in rows)
     got.sort(key=lambda r: r.position)
     assert [r.position for r in got] == list(range(len(rows)))
     assert [r.slot for r in got] == sorted(r.slot for r in got)
-    # Shares 0.5, 0.3, 0.1, 0.05, 0.05: null weighs like the lightest source. 40 slots, one each
-    # first, the other 35 by share with largest remainders, ties to the smaller name.
-    units = {"=a": 19, "=b": 11, "=c": 4, "=": 3, "null": 3}
-    spare = {"=a": 17.5, "=b": 10.5, "=c": 3.5, "=": 1.75, "null": 1.75}
-    floors = {s: 1 + int(x) for s, x in spare.items()}
-    left = 40 - sum(floors.values())
-    for s in sorted(spare, key=lambda s: (-(spare[s] % 1), s))[:left]:
-        floors[s] += 1
-    units = floors
-    order = earliest_deadline_first(units, 40)
+    # Shares 0.5, 0.3, 0.1, 0.05, 0.05 (null weighs like the lightest source) of the 36 slots that
+    # are left after one for each: 18, 10.8, 3.6, 1.8, 1.8; three more by largest remainders.
+    units = {"=a": 19, "=b": 12, "=c": 4, "=": 3, "null": 3}
+    order = earliest_deadline_first(units, 41)
     key = lambda s: "null" if s is None else f"={s}"
-    assert all(order[r.slot % 40] == key(r.source) for r in got)
+    assert all(order[r.slot % 41] == key(r.source) for r in got)
     turns = defaultdict(set)
     for r in got:
         turns[r.source].add((r.source_block, r.slot))
