@@ -92,6 +92,12 @@ def _set_id(grams: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(grams.tobytes()) - 2**63
 
 
+def _text_id(text: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(text.encode(), seed=1) - 2**63
+
+
 def least_agreements(values: int, threshold: float, tolerance: float) -> np.ndarray:
     """For n = 0..values: the fewest agreements among n values at which a pair is not dropped.
 
@@ -109,16 +115,18 @@ def least_agreements(values: int, threshold: float, tolerance: float) -> np.ndar
 
 
 def document_sets(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, text_hash, set_id (null without words), signature and band hashes of every document."""
+    """doc_id, text_hash, set_id (null for null texts), signature and band hashes of every document."""
     factors = _multipliers(bands * rows)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, signatures, hashes = [], [], []
             for text in batch.column(2):
-                grams = ngram_set(text.as_py(), n)
+                text = text.as_py()
+                grams = ngram_set(text, n)
                 if not len(grams):
-                    ids.append(None)
+                    # No n-grams to compare: only an equal text is like it, and nothing like null.
+                    ids.append(None if text is None else _text_id(text))
                     signatures.append(None)
                     hashes.append(None)
                     continue
@@ -318,14 +326,15 @@ def similar_documents(
     """One row per document: doc_id, text_hash, set_id, group_id, class_id and n_links.
 
     Documents that a chain of links connects share a group_id. n_links is the number of other documents with a similarity of at least `threshold`; copies
-    with an equal set count. class_id is the least doc_id of the group. Documents without words
-    (also null texts) have no links, no set_id, no group_id, and their own doc_id as class_id. Repeated rows are documents of their own and link to each other. Null ids
+    with an equal set count. class_id is the least doc_id of the group. A text without words is only
+    linked to equal texts. Null texts have no links, no set_id, no group_id, and their own doc_id as
+    class_id. Repeated rows are documents of their own and link to each other. Null ids
     take part and are never a class_id unless a whole class has none.
     """
     sets = cut_lineage(document_sets(docs, n, bands, rows))
-    worded = sets.where(F.col("set_id").isNotNull())
+    with_text = sets.where(F.col("set_id").isNotNull())
     classes = cut_lineage(
-        worded.groupBy("set_id").agg(
+        with_text.groupBy("set_id").agg(
             F.count(F.lit(1)).alias("copies"),
             F.min("doc_id").alias("least_id"),
             F.first("signature").alias("signature"),
@@ -393,7 +402,7 @@ def _of_their_set(found: DataFrame, n: int) -> DataFrame:
 def one_of_each(docs: DataFrame, similar: DataFrame) -> DataFrame:
     """`docs` without all but one document of each group of `similar`: the one with the least
     doc_id (null ids last) and, where texts share that id, the least hash. Of repeated rows one
-    stays. Documents without words all stay."""
+    stays. Documents with a null text all stay."""
 
     def named(column: str) -> Column:
         return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
@@ -401,8 +410,8 @@ def one_of_each(docs: DataFrame, similar: DataFrame) -> DataFrame:
     me = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
     grouped = similar.where(F.col("group_id").isNotNull()).groupBy("group_id")
     first = grouped.agg(F.min(me).alias("first")).select("first.*", F.lit(True).alias("__once"))
-    wordless = similar.where(F.col("group_id").isNull()).select("doc_id", "text_hash").distinct()
-    kept = first.drop("last").unionByName(wordless.withColumn("__once", F.lit(False)))
+    null = similar.where(F.col("group_id").isNull()).select("doc_id", "text_hash").distinct()
+    kept = first.drop("last").unionByName(null.withColumn("__once", F.lit(False)))
     kept = kept.select(named("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__once")
     keyed = docs.withColumns(
         {"__id": named("doc_id"), "__hash": F.xxhash64(F.col("text").cast("string"))}

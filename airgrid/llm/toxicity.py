@@ -51,7 +51,7 @@ def fit_ordinal(
     values: np.ndarray,
     grades: np.ndarray,
     width: int,
-    ridge: float = 1e-4,
+    ridge: float = 1e-5,
     steps: int = 400,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and cuts of the proportional-odds model on a sparse matrix in triplets.
@@ -123,11 +123,13 @@ def _counted(text: str) -> Counter:
     return found
 
 
-def vocabulary(sample: DataFrame, size: int, min_docs: int) -> DataFrame:
-    """The `size` features of sample(text, toxic) that tell most about toxicity: feature, ratio.
+def vocabulary(sample: DataFrame, size: int, min_docs: int, least_ratio: float) -> DataFrame:
+    """The `size` features of sample(text, toxic) that speak most for toxicity: feature, ratio.
 
-    Most by the likelihood ratio of document counts, among those in at least `min_docs` toxic
-    documents; ratio is the logarithm of the (smoothed) rates in toxic and other documents.
+    ratio is the logarithm of the (smoothed) rates in toxic and other documents, and a feature's
+    weight is ratio times its toxic documents. Only features with at least `min_docs` of those and
+    a ratio of `least_ratio` count: common words differ by chance in a small sample, and the many
+    words of an otherwise clean document must not speak against the toxic ones.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,13 +157,14 @@ def vocabulary(sample: DataFrame, size: int, min_docs: int) -> DataFrame:
     in_toxic = (F.col("toxic") + smooth) / (F.col("all_toxic") + 2 * smooth)
     in_other = (F.col("other") + smooth) / (F.col("all_other") + 2 * smooth)
     ratio = F.log(in_toxic / in_other)
-    weight = F.col("toxic") * F.abs(ratio)
+    weight = F.col("toxic") * ratio
     return (
         counts.groupBy("feature")
         .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
         .where(F.col("toxic") >= min_docs)
         .join(F.broadcast(totals))  # one row
         .select("feature", ratio.alias("ratio"), weight.alias("weight"))
+        .where(F.col("ratio") >= least_ratio)
         .orderBy(F.desc("weight"), "feature")
         .limit(size)
         .select("feature", "ratio")
@@ -174,6 +177,7 @@ def fit_severity(
     sample_rows: int = 20_000,
     size: int = 2048,
     min_docs: int = 3,
+    least_ratio: float = 1.5,
     marker_ratio: float = 3.0,
 ) -> SeverityModel:
     """Fit grades 0 (not toxic), 1 and 2 (toxic, with fewer or more marker words) to 0/1 marks.
@@ -183,7 +187,7 @@ def fit_severity(
     the model finds nothing toxic. What reaches the driver is bounded by `sample_rows` and `size`.
     """
     sample = cut_lineage(labelled_sample(docs, labels, sample_rows))
-    chosen = vocabulary(sample, size, min_docs).collect()
+    chosen = vocabulary(sample, size, min_docs, least_ratio).collect()
     if not chosen:
         return SeverityModel({}, (20.0, 21.0))
     index = {row["feature"]: i for i, row in enumerate(chosen)}

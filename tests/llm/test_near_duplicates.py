@@ -15,12 +15,14 @@ DOCS = "doc_id long, text string"
 
 def grams(text):
     words = re.findall(r"\w+", (text or "").lower())
-    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else None
+    if text is None:
+        return None
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else text
 
 
 def linked(a, b):
-    if a is None or b is None:
-        return False
+    if not (isinstance(a, frozenset) and isinstance(b, frozenset)):
+        return a is not None and a == b
     common = len(a & b)
     return 5 * common >= 4 * (len(a) + len(b) - common)
 
@@ -41,7 +43,7 @@ def check_similar(docs, rows, **options):
         members.setdefault(r, []).append(rows[i][0])
     least = {r: min((d for d in ids if d is not None), default=None) for r, ids in members.items()}
     want = sorted(
-        (repr(d), repr(least[root[i]] if sets[i] else d), len(links[i])) for i, (d, _) in enumerate(rows)
+        (repr(d), repr(d if sets[i] is None else least[root[i]]), len(links[i])) for i, (d, _) in enumerate(rows)
     )
     got = similar_documents(docs, **options)
     found = sorted((repr(r.doc_id), repr(r.class_id), r.n_links) for r in got.collect())
