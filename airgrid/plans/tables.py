@@ -70,6 +70,9 @@ def training_table(
     """One row per observation with all predictors; never more rows than observations.
 
     Each source is reduced to one row per key and joined once, whatever the number of its columns.
+    What depends on the cell, or on cell and year, is put together on those keys first; the
+    observations themselves are dealt three times: by (cell, year), by (region cell, date) and by
+    (cell, date), where weather, aerosol and fires meet them without another shuffle.
     Neighbour exposure is a LEFT join: a row without it stays.
     """
     d = obs.withColumns(
@@ -80,12 +83,50 @@ def training_table(
             "holiday": is_major_holiday(F.col("date")),
         }
     ).withColumn("nei_year", vintage_of(F.col("year"), vintages))
-    d = d.join(spots, "cell", "inner").join(distances, ["cell", "nei_year"], "left")
-    d = grid.add_parent(d, "cell", res, pop_res, "cell5")
+    by_year = _cell_years(
+        d.select("cell", "year", "nei_year").distinct(),
+        spots,
+        distances,
+        population,
+        facilities,
+        county_emissions,
+        land_cover,
+        land_cols,
+        (res, pop_res),
+    )
+    d = d.join(by_year.drop("nei_year"), ["cell", "year"], "inner")
     d = grid.add_parent(d, "cell", res, near_res, "cell3")
     d = d.join(nearby.select(F.col("cell").alias("cell3"), "date", "nearby_pm"), ["cell3", "date"], "left")
+    d = update_join(d, weather, ["cell", "date"], weather_cols)
+    d = update_join(d, aerosol, ["cell", "date"], ["aod"])
     d = update_join(
         d,
+        fires.select("cell", "date", "fire_pm25", F.col("area").alias("fire_area"), "seq"),
+        ["cell", "date"],
+        ["fire_pm25", "fire_area"],
+    )
+    d = d.withColumn("aod", set_missing(F.col("aod"), F.col("aod") > 2))
+    return d.drop("cell3").fillna(0, subset=["nei_point", "fire_pm25", "fire_area"])
+
+
+def _cell_years(
+    wanted: DataFrame,
+    spots: DataFrame,
+    distances: DataFrame,
+    population: DataFrame,
+    facilities: DataFrame,
+    county_emissions: DataFrame,
+    land_cover: DataFrame,
+    land_cols: list[str],
+    levels: tuple[int, int],
+) -> DataFrame:
+    """All predictors of the wanted ``(cell, year, nei_year)`` that do not depend on the day.
+
+    Cells without a place in ``spots`` are dropped.
+    """
+    places = grid.add_parent(spots, "cell", *levels, "cell5")
+    places = update_join(
+        places,
         population.select(
             F.col("cell").alias("cell5"),
             "population_density",
@@ -94,13 +135,7 @@ def training_table(
         ["cell5"],
         ["population_density"],
         unique=True,
-    )
-    d = update_join(
-        d,
-        facilities.select("cell", "nei_year", F.col("total_emissions").alias("nei_point"), "seq"),
-        ["cell", "nei_year"],
-        ["nei_point"],
-    )
+    ).drop("cell5")
     sectors = [f"nei_{s}" for s in SECTORS]
     county = county_emissions.select(
         F.col("fips").alias("county_fips"),
@@ -109,18 +144,16 @@ def training_table(
         # Of repeated keys, whole rows are chosen by their content and not by chance.
         F.xxhash64(*SECTORS).alias("seq"),
     )
+    d = wanted.join(places, "cell", "inner")
     d = update_join(d, county, ["county_fips", "nei_year"], sectors, unique=True)
-    d = update_join(d, weather, ["cell", "date"], weather_cols)
-    d = update_join(d, land_cover, ["cell", "year"], land_cols)
-    d = update_join(d, aerosol, ["cell", "date"], ["aod"])
+    d = d.join(distances, ["cell", "nei_year"], "left")
     d = update_join(
         d,
-        fires.select("cell", "date", "fire_pm25", F.col("area").alias("fire_area"), "seq"),
-        ["cell", "date"],
-        ["fire_pm25", "fire_area"],
+        facilities.select("cell", "nei_year", F.col("total_emissions").alias("nei_point"), "seq"),
+        ["cell", "nei_year"],
+        ["nei_point"],
     )
-    d = d.withColumn("aod", set_missing(F.col("aod"), F.col("aod") > 2))
-    return d.drop("cell5", "cell3").fillna(0, subset=["nei_point", "fire_pm25", "fire_area"])
+    return update_join(d, land_cover, ["cell", "year"], land_cols)
 
 
 def prediction_cells(

@@ -313,13 +313,13 @@ def point_in_polygon(spark, sf):
 
 @query(
     "points_within_boundary",
-    f"""WITH {ctes('site', 'county')} SELECT site_id FROM site s WHERE EXISTS (SELECT 1 FROM county
-        WHERE CAST(poly_id AS INT) % 2 = 0 AND x >= xmin AND x < xmax AND y >= ymin AND y < ymax)""",
+    f"""WITH {ctes('site', 'county')} SELECT site_id FROM (SELECT site_id, x - 700000 AS x, y + 900000 AS y FROM site) s
+        WHERE EXISTS (SELECT 1 FROM county WHERE x >= xmin AND x < xmax AND y >= ymin AND y < ymax)""",
 )
 def points_within_boundary(spark, sf):
     """Points inside any part of a boundary."""
-    parts = rectangle(bind(spark, sf, "county")).where("cast(poly_id AS INT) % 2 = 0")
-    return polygons.within_boundary(bind(spark, sf, "site"), parts).select("site_id")
+    points = bind(spark, sf, "site").selectExpr("site_id", "x - 700000 AS x", "y + 900000 AS y")
+    return polygons.within_boundary(points, rectangle(bind(spark, sf, "county"))).select("site_id")
 
 
 @query("cells_touching_boundary")
@@ -328,8 +328,7 @@ def cells_touching_boundary(spark, sf):
     cells = grid.explode_disk(
         grid.add_cell(bind(spark, sf, "site"), "x", "y", 4).select("cell").distinct(), "cell", 4, 1
     ).select(F.col("neighbor").alias("cell")).distinct()
-    parts = rectangle(bind(spark, sf, "county")).where("cast(poly_id AS INT) % 2 = 0")
-    return polygons.cells_touching(cells, parts, "cell", 4, tile=100_000.0)
+    return polygons.cells_touching(cells, rectangle(bind(spark, sf, "county")), "cell", 4, tile=100_000.0)
 
 
 @query(

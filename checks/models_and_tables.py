@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from airgrid.operators import forest, grid, quantiles, regions
 from airgrid.operators.nearest import split_segments
 from airgrid.plans import inventories, modelling, reports, surfaces, tables
+from airgrid.session import cut_lineage
 
 from . import sqltext as q
 from .bindings import bind, ctes, rectangle, table
@@ -174,7 +175,8 @@ def _train_parts(spark, sf):
     roads = split_segments(bind(spark, sf, "road"), 50_000.0)
     site = grid.add_cell(bind(spark, sf, "site"), "x", "y", 8)
     sites = site.selectExpr("site_id", "nei_year", "x AS x1", "y AS y1", "x AS x2", "y AS y2")
-    placed = tables.locations(obs, counties)
+    # Read three times below; without the table, the geometry would be worked out each time.
+    placed = cut_lineage(tables.locations(obs, counties))
     spots = tables.road_distances(placed, roads)
     distances = tables.facility_distances(placed, sites)
     by_order = grid.add_cell(bind(spark, sf, "cv"), "x", "y", 8)
