@@ -9,6 +9,7 @@ from ..functions.scalars import pad_left, set_missing, within_box
 from ..operators import grid
 from ..operators.reshape import wide_by
 from ..operators.rollup import sector_totals
+from .observations import place
 
 # Sectors, and the inventory years whose sector was never published.
 SECTORS = ["nonroad", "onroad", "nonpoint", "event"]
@@ -44,14 +45,25 @@ def county_inventory(
 
 
 def facility_inventory(sites: DataFrame, res: int = 8) -> DataFrame:
-    """Facilities with complete records, with their cell."""
+    """Facilities with complete records, with their cell.
+
+    ``sites`` has either ``x`` and ``y`` or ``lon`` and ``lat`` in degrees.
+    """
+    if "x" not in sites.columns:
+        sites = place(sites.dropna("any"))
     return grid.add_cell(sites.dropna("any"), "x", "y", res).withColumn("eis", F.lit("point"))
 
 
 def fire_inventory(
     fires: DataFrame, box: tuple[float, float, float, float], res: int = 8
 ) -> DataFrame:
-    """Fire detections with date and cell, inside the bounding box (xmin, xmax, ymin, ymax)."""
+    """Fire detections with date and cell, inside the bounding box (xmin, xmax, ymin, ymax).
+
+    ``fires`` has either ``x`` and ``y`` or ``lon`` and ``lat`` in degrees; the box is in the
+    equal-area plane either way.
+    """
+    if "x" not in fires.columns:
+        fires = place(fires)
     dated = fires.withColumn("date", date_of_year_day(F.col("yr"), F.col("doy")))
     inside = dated.where(within_box(F.col("x"), F.col("y"), *box))
     return grid.add_cell(inside, "x", "y", res).drop("yr", "doy")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.aggregates import strict_mean
 from ..operators import grid
 from ..operators.metrics import (
     accuracy_metrics,
@@ -31,7 +32,7 @@ def evaluation_rows(predicted: DataFrame, obs: DataFrame, match: str = "fanout")
 def accuracy_report(rows: DataFrame, digits: int = 2) -> dict[str, DataFrame]:
     """The report tables, rounded."""
     overall = accuracy_metrics(rows, ["oob"])
-    yearly = accuracy_metrics(rows.where("oob = 'oob'"), ["year"])
+    yearly = yearly_accuracy(rows)
     by_time = across_cells(cell_errors(temporal_rollup(rows)))
     return {
         "overall": rounded(overall, digits),
@@ -40,6 +41,13 @@ def accuracy_report(rows: DataFrame, digits: int = 2) -> dict[str, DataFrame]:
     }
 
 
+def yearly_accuracy(rows: DataFrame) -> DataFrame:
+    """Out-of-bag accuracy and mean measured value per year."""
+    oob = rows.where("oob = 'oob'")
+    measured = oob.groupBy("year").agg(strict_mean(F.col("pm25")).alias("mean_measured_pm"))
+    return accuracy_metrics(oob, ["year"]).join(measured, "year", "left")
+
+
 def rounded(df: DataFrame, digits: int = 2) -> DataFrame:
     """All floating-point columns rounded for a report."""
     return df.select(

@@ -16,7 +16,7 @@ from airgrid.operators import (
     rollup,
     windows,
 )
-from airgrid.plans import exposure
+from airgrid.plans import exposure, reports
 from airgrid.sources import lookups
 
 from . import sqltext as q
@@ -246,18 +246,10 @@ def _lonlat(spark, sf):
     )
 
 
-_P, _AC = projection.AlbersParams(), projection.albers_constants()
-_L, _LC = projection.LambertParams(), projection.lambert_constants()
-
-
 @query(
     "albers_projection",
-    f"""WITH p AS (SELECT o_orderkey AS k, {_LL} FROM orders),
-        s AS (SELECT k, lon, sin(radians(lat)) AS s, {q.num(_P.e)} AS e FROM p),
-        g AS (SELECT k, lon, (1 - e * e) * (s / (1 - e * e * s * s) - ln((1 - e * s) / (1 + e * s)) / (2 * e)) AS qq FROM s),
-        r AS (SELECT k, {q.num(_P.a)} * sqrt({q.num(_AC['c'])} - {q.num(_AC['n'])} * qq) / {q.num(_AC['n'])} AS rho,
-          {q.num(_AC['n'])} * radians(lon + 96) AS th FROM g)
-        SELECT k, round(rho * sin(th), 2) AS x, round({q.num(_AC['rho0'])} - rho * cos(th), 2) AS y FROM r""",
+    f"""WITH p AS (SELECT o_orderkey AS k_, {_LL} FROM orders)
+        SELECT k_ AS k, round(x, 2) AS x, round(y, 2) AS y FROM {q.with_albers('p')}""",
 )
 def albers_projection(spark, sf):
     """Equal-area metres."""
@@ -267,11 +259,8 @@ def albers_projection(spark, sf):
 
 @query(
     "lambert_projection",
-    f"""WITH p AS (SELECT o_orderkey AS k, {_LL} FROM orders),
-        s AS (SELECT k, lon, radians(lat) AS f, {q.num(_L.e)} * sin(radians(lat)) AS es FROM p),
-        t AS (SELECT k, {q.num(_L.a * _LC['f'])} * pow(tan({q.num(3.141592653589793 / 4)} - f / 2) / pow((1 - es) / (1 + es), {q.num(_L.e / 2)}), {q.num(_LC['n'])}) AS rho,
-          {q.num(_LC['n'])} * radians(lon + 107) AS th FROM s)
-        SELECT k, round({q.num(_L.x_0)} + rho * sin(th), 2) AS x, round({q.num(_L.y_0 + _LC['rho0'])} - rho * cos(th), 2) AS y FROM t""",
+    f"""WITH p AS (SELECT * FROM (SELECT o_orderkey AS key, {_LL} FROM orders), {q.CONES})
+        SELECT key AS k, round(x, 2) AS x, round(y, 2) AS y FROM {q.with_lambert('p', 'radians(lat)', 'radians(lon + 107)', ('x', 'y'))}""",
 )
 def lambert_projection(spark, sf):
     """Metres of the weather grid."""
@@ -579,12 +568,15 @@ def accuracy_one_slope(spark, sf):
 
 @query(
     "accuracy_by_year",
-    f"WITH {_EV}, y AS (SELECT *, CAST(year(date) AS INT) AS year FROM ev WHERE oob = 'oob') {_acc('year', 'y', 'sum(pm25 * pred) / sum(pm25 * pm25)')}",
+    f"""WITH {_EV}, y AS (SELECT *, CAST(year(date) AS INT) AS year FROM ev WHERE oob = 'oob'),
+        g AS (SELECT year, round(avg(pm25) + 3.1416e-6, 4) AS mean_measured_pm FROM y GROUP BY 1),
+        a AS ({_acc('year', 'y', 'sum(pm25 * pred) / sum(pm25 * pm25)')}) SELECT * FROM a JOIN g USING (year)""",
 )
 def accuracy_by_year(spark, sf):
-    """Out-of-bag accuracy per year."""
-    rows = evaluation(spark, sf).where("oob = 'oob'").withColumn("year", F.year("date"))
-    return _acc_cols(metrics.accuracy_metrics(rows, ["year"]), "year")
+    """Out-of-bag accuracy and mean measured value per year."""
+    rows = evaluation(spark, sf).withColumn("year", F.year("date"))
+    out = reports.yearly_accuracy(rows)
+    return _acc_cols(out, "year").join(out.select("year", off_tie("mean_measured_pm")), "year")
 
 
 _LEVELS = (

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from airgrid.operators import forest, grid, quantiles, regions
 from airgrid.operators.nearest import split_segments
-from airgrid.plans import inventories, modelling, reports, surfaces, tables
+from airgrid.plans import inventories, modelling, observations, reports, surfaces, tables
 from airgrid.session import cut_lineage
 
 from . import sqltext as q
@@ -78,6 +78,60 @@ def fire_inventory(spark, sf):
     return out.select("seq", "date", "area", "fire_pm25", "cell")
 
 
+# Places in degrees for the plans that start from them; the duration and missing readings vary.
+_DEGREES = "-125 + ({k} * 3319 % 4600) / 80.0e0 AS lon, 25 + ({k} * 329 % 2900) / 120.0e0 AS lat"
+
+
+def _degrees(key):
+    return _DEGREES.format(k=key).replace("e0", "D")
+
+
+@query(
+    "station_observations",
+    f"""WITH {ctes('county')}, r AS (SELECT s_suppkey, CAST(l_shipdate AS DATE) AS date, {_DEGREES.format(k='s_suppkey')},
+        CASE WHEN l_linenumber = 7 THEN NULL ELSE l_quantity END AS pm25 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_linenumber <> 3),
+        d AS (SELECT s_suppkey, lon, lat, date, CASE WHEN count(pm25) = count(*) THEN avg(pm25) END AS pm25 FROM r GROUP BY ALL),
+        p AS (SELECT * FROM {q.with_albers('d')} WHERE EXISTS (SELECT 1 FROM county WHERE x >= xmin AND x < xmax AND y >= ymin AND y < ymax))
+        SELECT cell, date, round(pm25, 6) AS pm25 FROM (SELECT date, pm25, {q.cell_items('x', 'y', 8, 'cell')} FROM p)""",
+)
+def station_observations(spark, sf):
+    """Readings in degrees to station days on the grid: duration, id, strict mean, projection, boundary, cell."""
+    rows = table(spark, sf, "lineitem").join(table(spark, sf, "supplier"), F.expr("l_suppkey = s_suppkey"))
+    readings = rows.selectExpr(
+        "if(l_linenumber = 3, '1 HOUR', '24 HOUR') AS duration", "s_nationkey AS state", "1 AS county",
+        "s_suppkey AS site", _degrees("s_suppkey").split(" AS lon, ")[0] + " AS lon",
+        _degrees("s_suppkey").split(" AS lon, ")[1], "if(l_linenumber = 7, null, l_quantity) AS pm25",
+        "cast(l_shipdate AS date) AS date",
+    )
+    out = observations.observations(readings, rectangle(bind(spark, sf, "county")))
+    return out.select("cell", "date", F.round("pm25", 6).alias("pm25"))
+
+
+@query(
+    "inventories_from_degrees",
+    f"""WITH s AS (SELECT c_custkey, c_acctbal, {_DEGREES.format(k='c_custkey')} FROM customer WHERE c_acctbal > 0),
+        f AS (SELECT event_id, CAST(ts AS DATE) AS date, {_DEGREES.format(k='user_id')} FROM events)
+        SELECT 'point' AS kind, c_custkey AS id, NULL::DATE AS date, cell FROM (SELECT c_custkey, {q.cell_items('x', 'y', 8, 'cell')} FROM {q.with_albers('s')})
+        UNION ALL SELECT 'fire', event_id, date, cell FROM (SELECT event_id, date, {q.cell_items('x', 'y', 8, 'cell')}
+        FROM {q.with_albers('f')} WHERE x BETWEEN -1800000 AND 1800000 AND y BETWEEN 400000 AND 3000000)""",
+)
+def inventories_from_degrees(spark, sf):
+    """Facilities and fires given in degrees, with their cells."""
+    lon, lat = _degrees("c_custkey").split(" AS lon, ")
+    site = table(spark, sf, "customer").selectExpr(
+        "c_custkey AS id", "if(c_acctbal > 0, c_acctbal, null) AS total_emissions", lon + " AS lon", lat
+    )
+    lon, lat = _degrees("user_id").split(" AS lon, ")
+    fires = table(spark, sf, "events").selectExpr(
+        "event_id AS id", "year(ts) AS yr", "dayofyear(ts) AS doy", lon + " AS lon", lat
+    )
+    points = inventories.facility_inventory(site).select(
+        F.lit("point").alias("kind"), "id", F.lit(None).cast("date").alias("date"), "cell"
+    )
+    burnt = inventories.fire_inventory(fires, (-1.8e6, 1.8e6, 4e5, 3e6))
+    return points.union(burnt.select(F.lit("fire"), "id", "date", "cell"))
+
+
 @query(
     "clean_aerosol",
     f"""WITH {ctes('pix')}, t AS (SELECT date, tile_rank, row, col, avg(CASE WHEN (qa & 7) IN (1, 2) AND ((qa >> 5) & 7) IN (0, 3) THEN value END) AS v

@@ -82,31 +82,52 @@ def center_exprs(cell: str, res: int) -> tuple[str, str]:
     return f"({q} * {num(ROOT3)} + {r} * {num(ROOT3 / 2)}) * {s}", f"{r} * 1.5e0 * {s}"
 
 
-def with_weather_cell(source: str, x: str, y: str, out: str = "weather_cell") -> str:
-    """``source`` (a table or a bracketed query) with the weather raster's cell under each point.
+def _qs(s: str, e: str) -> str:
+    return f"((1 - {e}*{e}) * ({s} / (1 - {e}*{e}*{s}*{s}) - ln((1 - {e}*{s}) / (1 + {e}*{s})) / (2*{e})))"
+
+
+def _ms(lat: str, e: str) -> str:
+    return f"(cos({lat}) / sqrt(1 - {e}*{e}*sin({lat})*sin({lat})))"
+
+
+def _cone(lat: str) -> str:
+    return f"(tan(pi()/4 - ({lat})/2) / pow((1 - e2*sin({lat})) / (1 + e2*sin({lat})), e2/2))"
 
-    Equal-area metres go to degrees by iterating the authalic latitude, degrees to the weather cone,
-    and the cone's metres to the raster cell. Written from the published formulas and parameters;
-    shares nothing with the library. One nested query per step, as names used often would otherwise
-    be written out again and again.
-    """
 
-    def qs(s: str, e: str) -> str:
-        return f"((1 - {e}*{e}) * ({s} / (1 - {e}*{e}*{s}*{s}) - ln((1 - {e}*{s}) / (1 + {e}*{s})) / (2*{e})))"
+_ONE, _TWO, _ZERO, _BASE = (f"radians({v}e0)" for v in (29.5, 45.5, 23, 50))
+# One row with what both cones need, worked out in SQL from the published formulas and parameters:
+# nothing here comes from the library. e1, n, c, r0 are the equal-area cone's, e2, m, k the other's.
+CONES = f"""(SELECT *, 6378137e0 * sqrt(c - n * {_qs(f'sin({_ZERO})', 'e1')}) / n AS r0,
+    sin({_BASE}) AS m, 6378137e0 * {_ms(_BASE, 'e2')} / (sin({_BASE}) * pow({_cone(_BASE)}, sin({_BASE}))) AS k
+    FROM (SELECT *, {_ms(_ONE, 'e1')}*{_ms(_ONE, 'e1')} + n * {_qs(f'sin({_ONE})', 'e1')} AS c
+    FROM (SELECT *, ({_ms(_ONE, 'e1')}*{_ms(_ONE, 'e1')} - {_ms(_TWO, 'e1')}*{_ms(_TWO, 'e1')}) / ({_qs(f'sin({_TWO})', 'e1')} - {_qs(f'sin({_ONE})', 'e1')}) AS n
+    FROM (SELECT sqrt(2 / 298.257222101e0 - 1 / (298.257222101e0 * 298.257222101e0)) AS e1,
+    sqrt(2 / 298.257223563e0 - 1 / (298.257223563e0 * 298.257223563e0)) AS e2))))"""
+_CONE_NAMES = "e1, e2, n, c, r0, m, k"
 
-    def ms(lat: str, e: str) -> str:
-        return f"(cos({lat}) / sqrt(1 - {e}*{e}*sin({lat})*sin({lat})))"
 
-    def cone(lat: str) -> str:
-        return f"(tan(pi()/4 - ({lat})/2) / pow((1 - e2*sin({lat})) / (1 + e2*sin({lat})), e2/2))"
+def with_albers(source: str, lon: str = "lon", lat: str = "lat") -> str:
+    """``source`` with the equal-area metres ``x`` and ``y`` of its degrees."""
+    rho = f"6378137e0 * sqrt(c - n * {_qs(f'sin(radians({lat}))', 'e1')}) / n AS arho"
+    xy = f"arho * sin(n * radians({lon} + 96)) AS x, r0 - arho * cos(n * radians({lon} + 96)) AS y"
+    return f"(SELECT * EXCLUDE ({_CONE_NAMES}, arho), {xy} FROM (SELECT *, {rho} FROM {source}, {CONES}))"
 
-    one, two, zero, base = (f"radians({v}e0)" for v in (29.5, 45.5, 23, 50))
-    constants = f"""(SELECT *, 6378137e0 * sqrt(c - n * {qs(f'sin({zero})', 'e1')}) / n AS r0,
-        sin({base}) AS m, 6378137e0 * {ms(base, 'e2')} / (sin({base}) * pow({cone(base)}, sin({base}))) AS k
-        FROM (SELECT *, {ms(one, 'e1')}*{ms(one, 'e1')} + n * {qs(f'sin({one})', 'e1')} AS c
-        FROM (SELECT *, ({ms(one, 'e1')}*{ms(one, 'e1')} - {ms(two, 'e1')}*{ms(two, 'e1')}) / ({qs(f'sin({two})', 'e1')} - {qs(f'sin({one})', 'e1')}) AS n
-        FROM (SELECT sqrt(2 / 298.257222101e0 - 1 / (298.257222101e0 * 298.257222101e0)) AS e1,
-        sqrt(2 / 298.257223563e0 - 1 / (298.257223563e0 * 298.257223563e0)) AS e2))))"""
+
+def with_lambert(source: str, lat: str, turn: str, out: tuple[str, str]) -> str:
+    """``source``, already joined with CONES, with metres in the weather cone. ``lat`` and ``turn``
+    (the longitude from the cone's meridian) are in radians."""
+    place = f"""5632642.22547e0 + k * pow({_cone(lat)}, m) * sin(m * {turn}) AS {out[0]},
+        4612545.65137e0 + k * pow({_cone(_BASE)}, m) - k * pow({_cone(lat)}, m) * cos(m * {turn}) AS {out[1]}"""
+    return f"(SELECT *, {place} FROM {source})"
+
+
+def with_weather_cell(source: str, x: str, y: str, out: str = "weather_cell") -> str:
+    """``source`` (a table or a bracketed query) with the weather raster's cell under each point.
+
+    Equal-area metres go to degrees by iterating the latitude, degrees to the weather cone, and the
+    cone's metres to the raster cell. One nested query per step, as names used often would otherwise
+    be written out again and again.
+    """
     steps = [
         f"sqrt({x}*{x} + (r0 - {y})*(r0 - {y})) AS wrho",
         f"(c - wrho*wrho*n*n / (6378137e0 * 6378137e0)) / n AS wq, -96 + degrees(atan2({x}, r0 - {y}) / n) AS wlon",
@@ -114,19 +135,17 @@ def with_weather_cell(source: str, x: str, y: str, out: str = "weather_cell") ->
     ]
     refine = """wf + (1 - e1*e1*sin(wf)*sin(wf)) * (1 - e1*e1*sin(wf)*sin(wf)) / (2*cos(wf)) * (wq / (1 - e1*e1)
         - sin(wf) / (1 - e1*e1*sin(wf)*sin(wf)) + ln((1 - e1*sin(wf)) / (1 + e1*sin(wf))) / (2*e1)) AS wf"""
-    place = f"""5632642.22547e0 + k * pow({cone('wf')}, m) * sin(m * radians(wlon + 107)) AS wpx,
-        4612545.65137e0 + k * pow({cone(base)}, m) - k * pow({cone('wf')}, m) * cos(m * radians(wlon + 107)) AS wpy"""
     cell = f"""CASE WHEN wpx BETWEEN -16231.49e0 AND 11313351e0 AND wpy BETWEEN -16231.5e0 AND 8976020e0 THEN
         CAST((CASE WHEN wpy = -16231.5e0 THEN 276 ELSE floor((8976020e0 - wpy) / ((8976020e0 + 16231.5e0) / 277)) END) * 349
         + (CASE WHEN wpx = 11313351e0 THEN 348 ELSE floor((wpx + 16231.49e0) / ((11313351e0 + 16231.49e0) / 349)) END) + 1
         AS BIGINT) END AS {out}"""
-    text = f"(SELECT * FROM {source}, {constants})"
+    text = f"(SELECT * FROM {source}, {CONES})"
     for step in steps:
         text = f"(SELECT *, {step} FROM {text})"
     for _ in range(6):
         text = f"(SELECT * EXCLUDE (wf), {refine} FROM {text})"
-    text = f"(SELECT *, {cell} FROM (SELECT *, {place} FROM {text}))"
-    return f"(SELECT * EXCLUDE (e1, e2, n, c, r0, m, k, wrho, wq, wlon, wf, wpx, wpy) FROM {text})"
+    text = with_lambert(text, "wf", "radians(wlon + 107)", ("wpx", "wpy"))
+    return f"(SELECT * EXCLUDE ({_CONE_NAMES}, wrho, wq, wlon, wf, wpx, wpy), {cell} FROM {text})"
 
 
 def disk(k: int) -> str:
