@@ -35,11 +35,6 @@ def date_of_year_day(year: Column, day_of_year: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("yyyy-DDD")).cast("date")
 
 
-def parse_day(text: Column, pattern: str = "yyyy.MM.dd") -> Column:
-    """Text to date; unparseable text gives NULL."""
-    return F.try_to_timestamp(text, F.lit(pattern)).cast("date")
-
-
 def is_major_holiday(day: Column) -> Column:
     """Seven major US holidays on their actual (unshifted) date, decided by rule."""
     month, number, weekday = F.month(day), F.dayofmonth(day), F.dayofweek(day)

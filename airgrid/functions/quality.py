@@ -20,8 +20,3 @@ def quality_keep(flag: Column, bit_order: str = "documented") -> Column:
     cloud = F.shiftright(flag, cloud_shift).bitwiseAND(7)
     adjacency = F.shiftright(flag, adjacency_shift).bitwiseAND(7)
     return F.coalesce(cloud.isin(*CLOUD_KEEP) & adjacency.isin(*ADJACENCY_KEEP), F.lit(False))
-
-
-def bit_text(flag: Column) -> Column:
-    """The low 16 bits as text, most significant first."""
-    return F.lpad(F.bin(flag.bitwiseAND(65535)), 16, "0")

@@ -7,6 +7,7 @@ storing anything. Splits, bagging and scoring are MLlib's; every fit is a distri
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -51,29 +52,35 @@ class YearForests:
     models: dict[int, list[RandomForestRegressionModel]] = field(default_factory=dict)
 
     def save(self, path: str) -> None:
+        """Models by year and group, with the description they must be used with."""
         for year, groups in self.models.items():
             for g, model in enumerate(groups):
                 model.write().overwrite().save(f"{path}/year={year}/group={g}")
+        told = {
+            "features": self.features,
+            "cluster": self.cluster,
+            "seed": self.seed,
+            "by": self.by,
+            "groups": {str(year): len(groups) for year, groups in self.models.items()},
+        }
+        spark = SparkSession.active()
+        row = spark.createDataFrame([(json.dumps(told),)], "value string").coalesce(1)
+        row.write.mode("overwrite").text(f"{path}/description")
 
     @classmethod
-    def load(
-        cls,
-        path: str,
-        years: list[int],
-        groups: int,
-        features: list[str],
-        cluster: str,
-        by: str = "year",
-        seed: int = 224,
-    ) -> YearForests:
+    def load(cls, path: str, years: list[int] | None = None) -> YearForests:
+        """What :meth:`save` wrote, or only some years of it. Features, cluster and seed come from
+        the saved description, so out-of-bag flags are those of the fit."""
+        told = json.loads(SparkSession.active().read.text(f"{path}/description").first()[0])
+        groups = {int(year): n for year, n in told["groups"].items()}
         models = {
             y: [
                 RandomForestRegressionModel.load(f"{path}/year={y}/group={g}")
-                for g in range(groups)
+                for g in range(groups[y])
             ]
-            for y in years
+            for y in (sorted(groups) if years is None else years)
         }
-        return cls(features, cluster, seed, by, models)
+        return cls(told["features"], told["cluster"], told["seed"], told["by"], models)
 
     def score_year(self, df: DataFrame, year: int, oob: bool = False) -> DataFrame:
         """K2-K4: predictions of one year's rows; narrow, no shuffle.

@@ -68,13 +68,6 @@ def child_digit(cell: Column, res: int) -> Column:
     return _digit(axial_q(cell), axial_r(cell), res).cast("int")
 
 
-def ring_distance(one: Column, other: Column) -> Column:
-    """Number of steps between two cells of one resolution."""
-    dq = axial_q(one) - axial_q(other)
-    dr = axial_r(one) - axial_r(other)
-    return ((F.abs(dq) + F.abs(dr) + F.abs(dq + dr)) / 2).cast("int")
-
-
 def _digit(q: Column, r: Column, res: int) -> Column:
     return F.pmod(q + r * (5 if res % 2 == 0 else 3), F.lit(7))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.aggregates import missing_count, strict_mean, strict_sum
+from ..functions.aggregates import strict_mean, strict_sum
 from . import grid
 from .quantiles import profile
 from .windows import share_of_total
@@ -20,11 +20,6 @@ def sector_totals(emissions: DataFrame, by: list[str], value: str = "total") ->
     return emissions.groupBy(*by).agg(strict_sum(F.col(value)).alias(value))
 
 
-def missing_by_group(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Number of missing values per group."""
-    return df.groupBy(*by).agg(missing_count(F.col(value)).alias("n_missing"))
-
-
 def count_share(df: DataFrame, by: list[str]) -> DataFrame:
     """Rows and percent of all rows per class."""
     return share_of_total(df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")), "n")
@@ -93,3 +88,8 @@ def ratio_profile(df: DataFrame, by: list[str], top: str, bottom: str) -> DataFr
 def below_threshold(df: DataFrame, value: str, threshold: float) -> DataFrame:
     """Rows at or under a size threshold."""
     return df.where(F.col(value) <= threshold)
+
+
+def ranked(df: DataFrame, value: str) -> DataFrame:
+    """T5: a report table, largest first; equal values in the order of the other columns."""
+    return df.orderBy(F.desc(value), *[c for c in df.columns if c != value])

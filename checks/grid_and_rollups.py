@@ -818,4 +818,4 @@ def value_classes(spark, sf):
 def ranked_by_value(spark, sf):
     """T5: a small report table in descending order."""
     out = table(spark, sf, "part").groupBy(F.col("p_type").alias("variable")).agg(F.avg("p_retailprice").alias("v"))
-    return out.select("variable", F.round("v", 4).alias("var_imp")).orderBy(F.desc("var_imp"))
+    return rollup.ranked(out.select("variable", F.round("v", 4).alias("var_imp")), "var_imp")

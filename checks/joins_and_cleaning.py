@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from airgrid.functions import calendar as cal, quality, scalars as sc
-from airgrid.operators import joins, metrics, raster, reshape, windows
+from airgrid.operators import joins, metrics, raster, reshape, rollup, windows
 from airgrid.sources import files, links, lookups, worklog
 
 from .bindings import bind, ctes, rectangle, table
@@ -302,7 +302,7 @@ def fires_in_box(spark, sf):
 def named_columns(spark, sf):
     """A list of columns, and a size threshold."""
     names = ["site_id", "x", "y"]
-    return bind(spark, sf, "site").where(F.col("total_emissions") <= 20000).select(*names)
+    return rollup.below_threshold(bind(spark, sf, "site"), "total_emissions", 20000).select(*names)
 
 
 @query(

@@ -72,7 +72,8 @@ def test_forest_out_of_bag_and_scoring(spark, tmp_path):
     assert train.where("a IS NULL").count() > 0
     path = str(tmp_path / "models")
     forests.save(path)
-    again = forest.YearForests.load(path, [2019, 2020], 3, ["a", "b"], "cell")
+    again = forest.YearForests.load(path)
+    assert (again.features, again.cluster, again.seed) == (["a", "b"], "cell", 224)
     first = forests.score(train).groupBy("year").agg(F.sum("pred").alias("s"))
     second = again.score(train).groupBy("year").agg(F.sum("pred").alias("s"))
     assert {r.year: round(r.s, 6) for r in first.collect()} == {r.year: round(r.s, 6) for r in second.collect()}
