@@ -311,9 +311,18 @@ def points_within_boundary(spark, sf):
     return polygons.within_boundary(points, rectangle(bind(spark, sf, "county"))).select("site_id")
 
 
-@query("cells_touching_boundary")
+_X4, _Y4 = q.center_exprs("cell", 4)
+
+
+@query(
+    "cells_touching_boundary",
+    f"""WITH {ctes('site', 'county')}, c AS (SELECT DISTINCT cell FROM (SELECT {q.cell_items('x', 'y', 4, 'cell')} FROM site)),
+        n AS (SELECT DISTINCT {q.pack(f"{q.q_of('cell')} + dq", f"{q.r_of('cell')} + dr", 4)} AS cell FROM c, ({q.disk(1)})),
+        p AS (SELECT cell, {_X4} AS hx, {_Y4} AS hy FROM n)
+        SELECT DISTINCT cell FROM p, county WHERE {q.hexagon_meets_rectangle('hx', 'hy', 4)}""",
+)
 def cells_touching_boundary(spark, sf):
-    """Hexagons that touch a boundary (checked by a property test)."""
+    """Hexagons that touch a boundary."""
     cells = grid.explode_disk(
         grid.add_cell(bind(spark, sf, "site"), "x", "y", 4).select("cell").distinct(), "cell", 4, 1
     ).select(F.col("neighbor").alias("cell")).distinct()

@@ -217,10 +217,24 @@ def population_density(spark, sf):
     return surfaces.population_density(cells, tracts, 3)
 
 
-@query("grid_cover")
+_X2, _Y2 = q.center_exprs("cell", 2)
+
+
+@query(
+    "grid_cover",
+    f"""WITH {ctes('county')}, c AS (SELECT {q.pack('a', 'b', 2)} AS cell FROM range(-40, 41) s(a), range(-40, 41) t(b)),
+        p AS (SELECT cell, {_X2} AS hx, {_Y2} AS hy FROM c),
+        s2 AS (SELECT DISTINCT cell FROM p, county WHERE {q.hexagon_meets_rectangle('hx', 'hy', 2)}),
+        u2 AS (SELECT cell, {q.parent_items('cell', 2, 1, 'up')} FROM s2),
+        s1 AS (SELECT up AS cell FROM u2 GROUP BY 1 HAVING count(*) = 7),
+        u1 AS (SELECT cell, {q.parent_items('cell', 1, 0, 'up')} FROM s1),
+        s0 AS (SELECT up AS cell FROM u1 GROUP BY 1 HAVING count(*) = 7)
+        SELECT cell AS fine FROM u2 WHERE up NOT IN (SELECT cell FROM s1)
+        UNION ALL SELECT cell FROM u1 WHERE up NOT IN (SELECT cell FROM s0) UNION ALL SELECT cell FROM s0""",
+)
 def grid_cover(spark, sf):
-    """Compact cover of a boundary (checked by a property test)."""
-    return surfaces.grid_cover(rectangle(bind(spark, sf, "county")), coarse=2, fine=4)
+    """Compact cover of a boundary, from coarse cells down to the finest resolution and up again."""
+    return surfaces.grid_cover(rectangle(bind(spark, sf, "county")), coarse=2, fine=8)
 
 
 def _train_parts(spark, sf):

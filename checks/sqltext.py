@@ -148,6 +148,21 @@ def with_weather_cell(source: str, x: str, y: str, out: str = "weather_cell") ->
     return f"(SELECT * EXCLUDE ({_CONE_NAMES}, wrho, wq, wlon, wf, wpx, wpy), {cell} FROM {text})"
 
 
+def hexagon_meets_rectangle(x: str, y: str, res: int) -> str:
+    """Whether the hexagon of an even resolution around a centre shares a point with the rectangle
+    xmin..xmax, ymin..ymax: no axis of either shape separates them."""
+    s = side(res)
+    a, root = num(s * ROOT3 / 2), num(ROOT3 / 2)
+    tests = [
+        f"{x} + {a} >= xmin AND {x} - {a} <= xmax",
+        f"{y} + {num(s)} >= ymin AND {y} - {num(s)} <= ymax",
+    ]
+    reach = f"({a} + (xmax - xmin) / 4 + (ymax - ymin) / 2 * {root})"
+    for sign in ("+", "-"):
+        tests.append(f"abs(({x} - (xmin + xmax) / 2) / 2 {sign} ({y} - (ymin + ymax) / 2) * {root}) <= {reach}")
+    return " AND ".join(tests)
+
+
 def disk(k: int) -> str:
     """A query for all (dq, dr, d) within ``k`` steps."""
     return (
