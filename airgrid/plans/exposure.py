@@ -20,8 +20,9 @@ def neighbor_exposure(
     """Three-day mean of the inverse-distance neighbour mean, for every cell and day.
 
     ``obs`` is ``(cell, date, pm25)`` with cells at ``res``; ``cells`` and ``days`` span the output.
-    Shuffles: by cell-day, by (day, block), by target cell-day, and by cell for the day window; the
-    two last carry rows of the output grid only, whose size is cells times calendar days.
+    Shuffles: by cell-day, by (day, block), by target cell-day, and by cell for the day window. The
+    third also carries targets outside the output, at most one ring of ``k`` steps; the last one
+    carries rows of the output grid only, whose size is cells times calendar days.
     """
     today = idw_neighbors(cell_day_mean(obs, "cell", "date", "pm25"), res, k=k, out="today")
     full = cell_days(cells.select("cell"), days.select("date")).join(

@@ -9,11 +9,11 @@ EMISSION_VINTAGES = {2008: (2000, 2009), 2011: (2010, 2012), 2014: (2013, 2015),
 LAND_COVER_VINTAGES = {2001: (2000, 2003), 2006: (2004, 2008), 2011: (2009, 2013), 2016: (2014, 2020)}
 
 # Tiles of the satellite product that cover the study area, in merging order.
-SATELLITE_TILES = tuple(
-    f"h{h:02d}v{v:02d}"
-    for v, columns in ((4, range(8, 14)), (5, range(8, 13)), (6, range(8, 11)))
-    for h in columns
-)
+SATELLITE_TILES = (
+    "h08v04", "h09v04", "h10v04", "h11v04", "h12v04", "h13v04",
+    "h08v05", "h09v05", "h10v05", "h11v05", "h12v05",
+    "h08v06", "h09v06", "h10v06",
+)
 
 
 def vintage_years(spark: SparkSession, vintages: dict[int, tuple[int, int]]) -> DataFrame:

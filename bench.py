@@ -33,6 +33,10 @@ HEADLINE = [
     "areal_interpolation",
     "compact_counts",
     "training_table",
+    "prediction_cells",
+    "prediction_table",
+    "station_observations",
+    "merged_regions",
 ]
 
 
