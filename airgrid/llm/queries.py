@@ -75,7 +75,40 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"), shards=24)
 
 
-@_query("op8_mixing", None)
+# One frame slot by slot: of the sources that may start, the one with the earliest deadline.
+_MIXING_SQL = """
+WITH RECURSIVE counts AS (
+  SELECT coalesce('=' || source, 'null') AS s, count(*) AS rows FROM documents GROUP BY 1),
+spare AS (
+  SELECT s, (1024 - count(*) OVER ()) * (pow(rows, 0.7e0) / sum(pow(rows, 0.7e0)) OVER ()) AS x,
+         count(*) OVER () AS sources FROM counts),
+units AS (
+  SELECT s, CAST(1 + floor(x) AS BIGINT) + CASE WHEN row_number() OVER (ORDER BY x - floor(x) DESC, s)
+           <= 1024 - sources - sum(CAST(floor(x) AS BIGINT)) OVER () THEN 1 ELSE 0 END AS u FROM spare),
+lists AS (SELECT list(s ORDER BY s) AS names, list(u ORDER BY s) AS u FROM units),
+frame AS (
+  SELECT -1 AS slot, list_transform(u, lambda x: CAST(0 AS BIGINT)) AS used, CAST(0 AS BIGINT) AS pick FROM lists
+  UNION ALL
+  SELECT slot + 1, list_transform(used, lambda x, i: x + CASE WHEN i = next THEN 1 ELSE 0 END), next
+  FROM (SELECT slot, used, list_min(list_transform(u, lambda x, i:
+          CASE WHEN used[i] < x AND used[i] * 1024 // x <= slot + 1
+               THEN ((used[i] + 1) * 1024 + x - 1) // x * 100000 + i END)) % 100000 AS next
+        FROM frame, lists WHERE slot < 1023)),
+slots AS (
+  SELECT names[pick] AS s, u[pick] AS u, slot, row_number() OVER (PARTITION BY pick ORDER BY slot) - 1 AS turn
+  FROM frame, lists WHERE slot >= 0),
+rows AS (
+  SELECT doc_id, source, coalesce('=' || source, 'null') AS s,
+         row_number() OVER (PARTITION BY source ORDER BY md5('0:' || doc_id)) - 1 AS n FROM documents),
+placed AS (
+  SELECT doc_id, source, n, n // 8 AS source_block, (n // 8) // u * 1024 + slot AS slot
+  FROM rows JOIN slots USING (s) WHERE (n // 8) % u = turn)
+SELECT doc_id, source, CAST(source_block AS BIGINT) AS source_block, CAST(slot AS BIGINT) AS slot,
+       CAST(row_number() OVER (ORDER BY slot, n) - 1 AS BIGINT) AS position FROM placed
+"""
+
+
+@_query("op8_mixing", _MIXING_SQL)
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "source_block", "slot", "position")
@@ -86,7 +119,40 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), capacity=2048)
 
 
-@_query("op6_line_dedup")
+# Distinct lines meet where they agree on one half, and are then compared character by character.
+_LINES_SQL = """
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
+         unnest(string_split(text, chr(10))) AS raw FROM documents),
+trimmed AS (
+  SELECT doc_id, pos, raw, trim(raw, ' ' || chr(9) || chr(13) || chr(12) || chr(11)) AS line FROM lines),
+firsts AS (SELECT line, min({'doc': doc_id, 'pos': pos}) AS place FROM trimmed WHERE line <> '' GROUP BY line),
+halves AS (
+  SELECT line, place, len(line) = size AS own, size, half,
+         CASE half WHEN 0 THEN right(line, size - size // 2) ELSE left(line, size // 2) END AS piece
+  FROM (SELECT *, unnest([len(line), len(line) - 1]) AS size FROM firsts), (VALUES (0), (1)) AS h(half)
+  WHERE size >= 16),
+pairs AS (
+  SELECT DISTINCT a.line AS a, a.place AS a_place, b.line AS b, b.place AS b_place, b.own AS same_size
+  FROM halves a JOIN halves b USING (size, half, piece) WHERE a.own AND a.line <> b.line),
+near AS (
+  SELECT a, a_place, b, b_place FROM pairs
+  WHERE len(list_filter(range(0, len(a) + 1), lambda p: left(a, p) = left(b, p)
+        AND substr(a, p + CASE WHEN same_size THEN 2 ELSE 1 END) = substr(b, p + 2))) > 0),
+gone AS (
+  SELECT b AS line FROM near WHERE a_place < b_place UNION SELECT a FROM near WHERE b_place < a_place),
+kept AS (
+  SELECT t.doc_id, t.pos, t.raw FROM trimmed t LEFT JOIN firsts f USING (line)
+  WHERE t.line = '' OR (f.place = {'doc': t.doc_id, 'pos': t.pos} AND t.line NOT IN (SELECT line FROM gone)))
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS INTEGER) AS n_lines,
+       CAST(coalesce(len(string_split(d.text, chr(10))) - coalesce(k.n, 0), 0) AS INTEGER) AS n_dropped
+FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(raw, chr(10) ORDER BY pos) AS text, count(*) AS n FROM kept GROUP BY 1) k USING (doc_id)
+"""
+
+
+@_query("op6_line_dedup", _LINES_SQL)
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
