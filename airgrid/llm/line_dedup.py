@@ -129,12 +129,11 @@ def near_earlier(lines: DataFrame, min_chars: int) -> DataFrame:
     """
     halves = _shared_holes(_half_holes(lines, min_chars))
     wanted = halves.groupBy("id").agg(F.collect_set(F.struct("own", "half")).alias("holes"))
-    # The texts of the few lines that go on; one row per distinct line, its earliest place.
+    # The texts of the few lines that go on; one row per distinct line, its earliest place. Equal
+    # lines are combined before they are dealt, so that a very common one is one row per task.
+    distinct = lines.groupBy("id").agg(F.min(F.struct("at", "line")).alias("first"))
     texts = cut_lineage(
-        lines.join(wanted, "id")
-        .groupBy("id")
-        .agg(F.min(F.struct("at", "line")).alias("first"), F.first("holes").alias("holes"))
-        .select("id", "first.at", "first.line", "holes")
+        distinct.join(wanted, "id").select("id", "first.at", "first.line", "holes")
     )
     by_half = texts.select("id", "line", F.explode("holes").alias("h")).select(
         "id", "line", "h.own", "h.half"
