@@ -8,7 +8,6 @@ without any known n-gram say nothing. A text's score for a language is the sum o
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -140,17 +139,22 @@ def fit_languages(
     languages = sorted({lang for _, lang in totals})
     names: dict[int, list[str]] = {}
     scores: dict[int, np.ndarray] = {}
-    place = {lang: i for i, lang in enumerate(languages)}
+
+    def times_in(lang: str) -> Column:
+        mine = F.get(F.filter("langs", lambda x: x["lang"] == lang), F.lit(0))
+        return F.coalesce(mine["times"], F.lit(0)).cast("double")
+
+    counted = [times_in(lang).alias(f"_{i}") for i, lang in enumerate(languages)]
     for n in (0, *orders):
         top = per_gram.where(F.col("n") == n).orderBy(F.desc("all"), "gram")
-        rows = top.limit(max_grams if n else max_words).collect()
-        size = [totals.get((n, lang), 0) + smooth * (len(rows) + 1) for lang in languages]
-        floor = np.array([math.log(smooth / s) for s in size])
-        names[n] = [row["gram"] for row in rows]
-        scores[n] = np.tile(floor, (len(rows), 1))
-        for i, row in enumerate(rows):
-            for lang, times in row["langs"]:
-                scores[n][i, place[lang]] = math.log((times + smooth) / size[place[lang]])
+        # Columnar, one number per language: a row object for each would be several times as large.
+        kept = top.limit(max_grams if n else max_words).select("gram", *counted).toArrow()
+        names[n] = kept.column(0).to_pylist()
+        times = np.empty((len(names[n]), len(languages)))
+        for i in range(len(languages)):
+            times[:, i] = kept.column(i + 1).to_numpy()
+        size = [totals.get((n, lang), 0) + smooth * (len(names[n]) + 1) for lang in languages]
+        scores[n] = np.log((times + smooth) / np.array(size))
     return LanguageModel(languages, orders, names, scores)
 
 
