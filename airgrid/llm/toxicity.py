@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -198,7 +199,7 @@ def fit_severity(
             found = []
             for text in batch.column(0):
                 counts = _counted(text.as_py())
-                found.append({index[f]: n for f, n in counts.items() if f in index})
+                found.append(dict(sorted((index[f], n) for f, n in counts.items() if f in index)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(1).cast(pa.int32()),
@@ -211,13 +212,14 @@ def fit_severity(
     matrix = sample.select("text", "toxic").mapInArrow(
         rows, "toxic int, columns array<int>, counts array<int>"
     )
-    got = sorted(matrix.collect())  # the order of rows must not matter to the fit
-    toxic = np.array([r["toxic"] for r in got])
-    lengths = [len(r["columns"]) for r in got]
-    where = np.repeat(np.arange(len(got)), lengths)
-    columns = np.array([c for r in got for c in r["columns"]], np.int64)
-    counts = np.array([c for r in got for c in r["counts"]], np.float64)
-    markers = np.bincount(where, counts * marker[columns], minlength=len(got))
+    # In a fixed order, as sums of doubles depend on it.
+    got = matrix.orderBy("toxic", "columns", "counts").toArrow().combine_chunks()
+    toxic = got["toxic"].to_numpy()
+    lengths = pc.list_value_length(got["columns"]).to_numpy()
+    where = np.repeat(np.arange(len(toxic)), lengths)
+    columns = pc.list_flatten(got["columns"]).to_numpy().astype(np.int64)
+    counts = pc.list_flatten(got["counts"]).to_numpy().astype(np.float64)
+    markers = np.bincount(where, counts * marker[columns], minlength=len(toxic))
     middle = np.median(markers[toxic > 0]) if (toxic > 0).any() else 0
     grades = np.where(toxic > 0, 1 + (markers > middle), 0).astype(np.int64)
     grades_used = max(2, int(grades.max()))
