@@ -113,7 +113,7 @@ def mix(
     power: float = 0.7,
     frame: int = 1024,
     block_rows: int = 8,
-    numbering_rows: int = 50_000,
+    numbering_rows: int = 2_000,
     seed: int = 0,
 ) -> DataFrame:
     """All rows of `docs` with their place in the mixture; no row is dropped or repeated.
