@@ -264,19 +264,17 @@ def _roots(count: int, pairs: tuple[np.ndarray, np.ndarray]) -> list[int]:
 def verified_links(
     members: DataFrame, n: int, values: int, threshold: float, tolerance: float, block: int
 ) -> DataFrame:
-    """Exact links inside families(set_id, family, copies, text): set_id, links, linked_to.
+    """Exact links inside families(set_id, family, size, copies, text): set_id, links, linked_to.
 
-    A family is dealt into chunks of about `block` classes, and every two chunks meet in one task.
+    `size` is the family's number of classes. A family is dealt into chunks of about `block` classes, and every two chunks meet in one task.
     One row per class and block with the documents it is linked to there (links) and the least
     class it is connected with there (linked_to).
     """
     least = least_agreements(values, threshold, tolerance)
     factors = _multipliers(values)
-    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
     chunks = F.ceil(F.col("size") / block).cast("int")
     dealt = (
-        members.join(sizes, "family")
-        .withColumn("chunks", chunks)
+        members.withColumn("chunks", chunks)
         .withColumn("chunk", F.pmod(F.xxhash64("set_id"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select(
@@ -345,11 +343,13 @@ def similar_documents(
     families = components(edges).select(
         F.col("node").alias("set_id"), F.col("component").alias("family")
     )
-    # The text of one document of each class that has a candidate.
+    sizes = families.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
+    families = families.join(sizes, "family")
+    # The text of one document of each class that has a candidate; texts are never dealt by family.
     wanted = families.join(classes.select("set_id", "copies", "least_id"), "set_id")
     texts = docs.select(F.col("doc_id").alias("least_id"), F.col("text").cast("string"))
     found = wanted.join(texts, wanted["least_id"].eqNullSafe(texts["least_id"])).select(
-        "set_id", "family", "copies", "text"
+        "set_id", "family", "size", "copies", "text"
     )
     members = _of_their_set(found, n)
     linked = cut_lineage(
@@ -389,7 +389,7 @@ def _of_their_set(found: DataFrame, n: int) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(3)
+            ids, texts = batch.column(0).to_pylist(), batch.column(4)
             fits = [
                 _set_id(grams) == i if len(grams := ngram_set(t.as_py(), n)) else False
                 for i, t in zip(ids, texts, strict=True)
