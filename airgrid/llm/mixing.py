@@ -8,10 +8,19 @@ each source's share to within less than one block, as long as all sources have b
 Weights are whole units out of `frame` slots. After `frame` slots every source is exactly at its
 share, so the schedule repeats, and one frame decides the place of every block by arithmetic.
 Column expressions only.
+
+The units are rounded, each source has one at least, and the frame repeats the error (law `frame`).
+Law `weights` follows the weights themselves without an end and has no frame: a binary tree of sources is
+built, lightest first, and each node deals its slots to its two halves in proportion, so that the
+left half has round(n * share) of the first n. A block's slot is worked out by going up from its
+source, in whole numbers. Every prefix holds each share to within less than two blocks, whatever the
+number of sources and rows, as long as all sources have blocks left.
 """
 
 from __future__ import annotations
 
+import heapq
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,14 +34,13 @@ def _source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
 
 
-def source_units(
-    docs: DataFrame, weights: Mapping[str, float] | None, power: float, frame: int
+def source_weights(
+    docs: DataFrame, weights: Mapping[str, float] | None, power: float
 ) -> DataFrame:
-    """One row per source: source_key, rows, units; units add up to `frame`, each at least 1.
+    """One row per source: source_key, rows, weight.
 
     Without `weights` a source weighs rows ** power. Sources absent from `weights` weigh as much
-    as the lightest one named. Units are rounded by largest remainders, ties to the smaller name.
-    The number of sources must not exceed `frame`; the query fails if it does.
+    as the lightest one named.
     """
     counts = docs.groupBy(_source_key(F.col("source")).alias("source_key")).agg(
         F.count(F.lit(1)).alias("rows")
@@ -44,8 +52,19 @@ def source_units(
         weight = F.coalesce(named[F.col("source_key")], F.lit(float(min(weights.values()))))
     else:
         weight = F.pow(F.col("rows").cast("double"), F.lit(power))
+    return counts.withColumn("weight", weight)
+
+
+def source_units(
+    docs: DataFrame, weights: Mapping[str, float] | None, power: float, frame: int
+) -> DataFrame:
+    """One row per source: source_key, rows, units; units add up to `frame`, each at least 1.
+
+    Units are rounded by largest remainders, ties to the smaller name. The number of sources must
+    not exceed `frame`; the query fails if it does.
+    """
     everything = Window.partitionBy(F.lit(0))  # one row per source
-    shares = counts.withColumn("weight", weight).select(
+    shares = source_weights(docs, weights, power).select(
         "source_key",
         "rows",
         F.count(F.lit(1)).over(everything).alias("sources"),
@@ -107,6 +126,86 @@ def frame_schedule(units: DataFrame, frame: int) -> DataFrame:
     )
 
 
+def _frame_slots(
+    docs: DataFrame,
+    ranked: DataFrame,
+    weights: Mapping[str, float] | None,
+    power: float,
+    frame: int,
+) -> DataFrame:
+    """Add __frame and slot to rows with __source and source_block, by the repeated frame."""
+    plan = frame_schedule(source_units(docs, weights, power, frame), frame)
+    per_source = plan.groupBy(F.col("source_key").alias("__source")).agg(
+        F.first("units").alias("__units"), F.array_sort(F.collect_list("slot")).alias("__slots")
+    )  # at most `frame` numbers in all
+    return (
+        ranked.join(F.broadcast(per_source), "__source")
+        .withColumn("__frame", F.floor(F.col("source_block") / F.col("__units")).cast("long"))
+        .withColumn(
+            "slot",
+            F.col("__frame") * frame
+            + F.get("__slots", (F.col("source_block") % F.col("__units")).cast("int")),
+        )
+        .drop("__units", "__slots")
+    )
+
+
+def tree_paths(weights: Mapping[str, int]) -> dict[str, list[tuple[int, int, int]]]:
+    """For every source the steps (own, whole, left) from its leaf of the tree up to the root.
+
+    `own` and `whole` are the weights of a node and of its parent; `left` is 1 in a left half. The
+    two lightest nodes are joined first, ties to the smaller name and then to the older node.
+    """
+    heap = [(w, i, i) for i, (_, w) in enumerate(sorted(weights.items()))]
+    heapq.heapify(heap)
+    up: dict[int, tuple[int, int, int, int]] = {}  # node: parent and its step
+    made = len(heap)
+    while len(heap) > 1:
+        right_weight, _, right = heapq.heappop(heap)
+        left_weight, _, left = heapq.heappop(heap)
+        whole = left_weight + right_weight
+        up[left], up[right] = (made, left_weight, whole, 1), (made, right_weight, whole, 0)
+        heapq.heappush(heap, (whole, made, made))
+        made += 1
+    paths = {}
+    for node, name in enumerate(sorted(weights)):
+        steps = []
+        while node in up:
+            node, *step = up[node]
+            steps.append(tuple(step))
+        paths[name] = steps
+    return paths
+
+
+def _tree_slots(
+    docs: DataFrame, placed: DataFrame, weights: Mapping[str, float] | None, power: float
+) -> DataFrame:
+    """Add slot to rows with __source and source_block, by the tree of sources."""
+    found = source_weights(docs, weights, power).select("source_key", "weight").collect()
+    total = sum(sorted(r["weight"] for r in found))
+    # Whole numbers below 2 ** 31 in all, so that no product of two exceeds 62 bits.
+    whole = {r["source_key"]: max(1, round(r["weight"] / total * 2**30)) for r in found}
+    paths = [{"s": s, "p": [list(step) for step in steps]} for s, steps in tree_paths(whole).items()]
+    spark = docs.sparkSession
+    schema = "array<struct<s:string,p:array<array<bigint>>>>"
+    table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(paths)), schema)))
+
+    def div(a: Column, b: Column) -> Column:
+        return F.call_function("div", a, b)
+
+    def up(n: Column, step: Column) -> Column:
+        """Place in the parent of a node's block n: whole * (2n + 1) - left over 2 * own."""
+        own, whole_, left = step[0], step[1], step[2]
+        rest = div(whole_ * (n % own * 2 + 1) - left, own * 2)
+        return whole_ * div(n, own) + rest
+
+    return (
+        placed.join(F.broadcast(table), F.col("__source") == F.col("s"))
+        .withColumn("slot", F.aggregate("p", F.col("source_block"), up))
+        .drop("s", "p")
+    )
+
+
 def mix(
     docs: DataFrame,
     weights: Mapping[str, float] | None = None,
@@ -115,6 +214,7 @@ def mix(
     block_rows: int = 8,
     numbering_rows: int = 2_000,
     seed: int = 0,
+    law: str = "frame",
 ) -> DataFrame:
     """All rows of `docs` with their place in the mixture; no row is dropped or repeated.
 
@@ -123,10 +223,14 @@ def mix(
     pseudo-random order of doc_id. When a source runs out, its slots stay empty and the others
     keep their proportions. A null source is a source of its own. Repeated rows each get a place.
     Columns of these names in the input are replaced. An empty table gives no rows.
+
+    Law `frame` repeats a frame of rounded units, which bounds the number of sources; law `weights`
+    follows the weights over any number of rows and sources, and `frame` only cuts its numbering.
     """
+    if law not in ("frame", "weights"):
+        raise ValueError(f"no law {law}")
     docs = docs.drop("source_block", "slot", "position")
     rows = docs.count()
-    plan = frame_schedule(source_units(docs, weights, power, frame), frame)
     digits = prefix_digits(rows, numbering_rows)
     keyed = (
         docs.withColumn("__source", _source_key(F.col("source")))
@@ -137,23 +241,17 @@ def mix(
     ranked = number_rows(
         keyed, "__row", ["__source"], "__digits", [F.col("__order"), F.xxhash64("text")]
     )
-    per_source = plan.groupBy(F.col("source_key").alias("__source")).agg(
-        F.first("units").alias("__units"), F.array_sort(F.collect_list("slot")).alias("__slots")
-    )  # at most `frame` numbers in all
     block = F.floor(F.col("__row") / block_rows).cast("long")
-    placed = (
-        ranked.join(F.broadcast(per_source), "__source")
-        .withColumn("source_block", block)
-        .withColumn("__frame", F.floor(F.col("source_block") / F.col("__units")).cast("long"))
-        .withColumn(
-            "slot",
-            F.col("__frame") * frame
-            + F.get("__slots", (F.col("source_block") % F.col("__units")).cast("int")),
+    ranked = ranked.withColumn("source_block", block)
+    if law == "weights":
+        placed = _tree_slots(docs, ranked, weights, power).withColumn(
+            "__frame", F.floor(F.col("slot") / frame).cast("long")
         )
-    )
+    else:
+        placed = _frame_slots(docs, ranked, weights, power, frame)
     in_order = [F.col("slot"), F.col("__row")]
     return number_rows(placed, "position", [], "__frame", in_order).drop(
-        "__source", "__units", "__slots", "__order", "__digits", "__row", "__frame"
+        "__source", "__order", "__digits", "__row", "__frame"
     )
 
 

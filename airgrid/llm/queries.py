@@ -114,6 +114,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "source_block", "slot", "position")
 
 
+@_query("op8_mixing_by_weight")
+def op8_mixing_by_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op8_mixing, but the schedule keeps to the target weights themselves."""
+    mixed = mixing.mix(read(spark, sf_dir, "documents"), law="weights")
+    return mixed.select("doc_id", "source", "source_block", "slot", "position")
+
+
 @_query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), capacity=2048)

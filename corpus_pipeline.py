@@ -39,7 +39,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, laid out in the order of the mixture."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return mixing.in_mixture_order(mixing.mix(docs), parts).select(*docs.columns)
+    mixed = mixing.mix(docs, law="weights")
+    return mixing.in_mixture_order(mixed, parts).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

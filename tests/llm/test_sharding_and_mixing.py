@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from airgrid.llm.mixing import mix
+from airgrid.llm.mixing import mix, tree_paths
 from airgrid.llm.numbering import number_rows, scatter
 from airgrid.llm.sharding import assign_shards, jump_shards, shard_documents
 
@@ -117,3 +117,51 @@ def test_mixture_edge_cases(spark):
     assert sorted(r.position for r in mix(one, frame=4).collect()) == [0, 1, 2]
     with pytest.raises(ValueError):
         mix(one, {"a": 0.0})
+
+
+def climbed(path, n):
+    for own, whole, left in path:
+        n = (whole * (2 * n + 1) - left) // (2 * own)
+    return n
+
+
+def test_tree_keeps_to_the_target_weights_over_many_frames():
+    hot = {n: [(n / 2) ** 0.7] + [1.0] * (n - 1) for n in (2, 20, 200, 800, 1500)}
+    for weights in [*hot.values(), [0.5] + [0.5 / 99] * 99, [0.49, 0.5, 0.01], [1e-9, 1.0], [5.0]]:
+        total = sum(weights)
+        whole = {f"s{i}": max(1, round(w / total * 2**30)) for i, w in enumerate(weights)}
+        paths, slots = tree_paths(whole), 20 * 1024
+        taken = []
+        for i, w in enumerate(weights):
+            turn = 0
+            while (slot := climbed(paths[f"s{i}"], turn)) < slots:
+                # Before and after each block, against the weight itself.
+                assert abs(turn - slot * w / total) < 2 and abs(turn + 1 - (slot + 1) * w / total) < 2
+                taken.append(slot)
+                turn += 1
+            assert abs(turn - slots * w / total) < 2
+        assert sorted(taken) == list(range(slots))
+
+
+def test_mixture_by_weights_has_target_shares_and_any_number_of_sources(spark):
+    sizes = {"hot": 3000} | {f"s{i:02d}": 30 for i in range(99)} | {None: 5}
+    rows = [(i, f"t{i}", s) for s, n in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame(rows, DOCS)
+    weights = {"hot": 0.5} | {f"s{i:02d}": 0.5 / 100 for i in range(99)}
+    got = mix(docs, weights, frame=16, block_rows=2, numbering_rows=64, law="weights").collect()
+    assert Counter((r.doc_id, r.source) for r in got) == Counter((i, s) for i, _, s in rows)
+    got.sort(key=lambda r: r.position)
+    assert [r.position for r in got] == list(range(len(rows)))
+    assert [r.slot for r in got] == sorted(r.slot for r in got)
+    key = lambda s: "null" if s is None else f"={s}"
+    total = sum(weights.values()) + 0.5 / 100
+    whole = {key(s): round(weights.get(s, 0.5 / 100) / total * 2**30) for s in sizes}
+    paths = tree_paths(whole)
+    assert all(r.slot == climbed(paths[key(r.source)], r.source_block) for r in got)
+    used, last = Counter(), 3 * 100 * 2  # slots in which no source has run out
+    for slot, s in sorted({(r.slot, r.source) for r in got})[:last]:
+        used[s] += 1
+        assert abs(used["hot"] - (slot + 1) * 0.5 / total) < 2
+    assert mix(docs.limit(0), law="weights").count() == 0
+    with pytest.raises(ValueError):
+        mix(docs, law="other")
