@@ -42,6 +42,8 @@ SHAPES = {
     "phone": r"(?:\+?1[ .-]?)?\(?\d{3}\)?[ .-]?\d{3}[ .-]\d{4}(?!\w)",
     "international": r"\+\d{8,15}+(?!\w)",
 }
+# Every shape has one of these; most texts have none and are not searched further.
+ANY_SIGN = r"[0-9@]|(?:password|passwd|pwd|secret|token|api_key)[=:]|AKIA[A-Z]{16}|[a-f]{32}"
 ANY_SHAPE = r"(?<!\w)(?:" + "|".join(SHAPES.values()) + ")"
 
 
@@ -293,9 +295,8 @@ def pseudonymise(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
     text = F.col(column)
     split = docs.drop("n_pseudonyms").withColumn(
         "__cut",
-        # All kinds have a digit or an @; most texts have neither and are not searched further.
         F.when(
-            text.rlike("[0-9@]"),
+            text.rlike(ANY_SIGN),
             F.struct(
                 F.split(text, ANY_SHAPE, -1).alias("between"),
                 F.regexp_extract_all(text, F.lit(ANY_SHAPE), F.lit(0)).alias("values"),
