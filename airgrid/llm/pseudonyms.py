@@ -8,14 +8,14 @@ ones; without the key the values cannot be told back. Column expressions only, n
 | kind | check | what is permuted |
 |---|---|---|
 | card | check digit (Luhn) | all digits between the first and the check digit, which is set anew |
-| iban | remainder 1 modulo 97 | the digits of the account; the check digits are set anew |
+| iban | remainder 1 modulo 97, also in printed groups of four | the digits of the account; the check digits are set anew |
 | ssn | no 000, 666 or 9xx area, no 00 group, no 0000 serial | the whole number among valid ones |
-| phone | area and exchange start with 2 to 9 | the ten national digits |
-| international | + and 8 to 15 digits | all digits but the first two |
+| phone | exchange starts with 2 to 9, or the number has a + or a bracket | the ten national digits among those of its class: area and exchange from 200, only the area below, exchange below |
+| international | + and 8 to 15 digits, also in groups | all digits but the first two |
 | ip | four numbers up to 255 | the 32-bit address |
 | date | a day between 1900 and 2099 | the day among those 73,049 |
 | email | name, @, domain | letters and digits of the name; the domain stays |
-| key | AWS-style id, 32 to 64 hex digits, value after `password=` and the like | its letters and digits |
+| key | AWS-style id, 32 or more hex digits, value after `password=` and the like | its letters and digits |
 """
 
 from __future__ import annotations
@@ -28,19 +28,58 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 _FIRST_DAY, _DAYS = "1900-01-01", 73049  # 17 * 4297
 
+# Lengths of IBANs by country, so that a printed one does not take in the word or number after it.
+_IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+
+
+def _printed_iban() -> str:
+    """Groups of four, the last one shorter; other countries' end at the last group."""
+    known = [
+        f"(?:{'|'.join(names.split())})\\d{{2}}(?: [A-Z0-9]{{4}}){{{size // 4 - 1}}}"
+        + (f" [A-Z0-9]{{{size % 4}}}" if size % 4 else "")
+        for size, names in _IBAN_LENGTHS.items()
+    ]
+    others = "(?!" + "|".join(n for names in _IBAN_LENGTHS.values() for n in names.split()) + ")"
+    rest = others + r"[A-Z]{2}\d{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?"
+    return "(?:" + "|".join([*known, rest]) + r")(?!\w)"
+
+
+_PRINTED_IBAN = _printed_iban()
+
 # The shapes of values, tried in this order at every place that does not follow a
 # letter, a digit or an underscore.
 SHAPES = {
     "email": r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}+(?!\w)",
-    "key": r"AKIA[0-9A-Z]{16}(?!\w)|[0-9a-f]{32,64}+(?!\w)"
-    r"|(?<=(?:password|passwd|pwd|secret|token|api_key)[=:]\s?)[A-Za-z0-9+/_-]{6,64}+",
-    "iban": r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}+(?!\w)",
+    # Runs of more than 64 digits without a letter are numbers, not keys.
+    "key": r"AKIA[0-9A-Z]{16}(?!\w)|[0-9a-f]{32,64}+(?!\w)|(?=\d*+[a-f])[0-9a-f]{65,}+(?!\w)"
+    r"|(?<=(?:password|passwd|pwd|secret|token|api_key)[=:]\s?)[A-Za-z0-9+/_-]{6,}+",
+    "iban": r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}+(?!\w)|" + _PRINTED_IBAN,
     "ip": r"(?<!\.)(?:\d{1,3}\.){3}\d{1,3}+(?!\w|\.\d)",
     "ssn": r"(?<!-)\d{3}-\d{2}-\d{4}(?![\w-])",
-    "date": r"(?<![-./])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w-]|[./]\d)",
+    "date": r"(?<![-./])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})"
+    r"(?=T\d{2}(?::?\d{2}|Z?\b)|(?![\w-]|[./]\d))",
     "card": r"(?:\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4} \d{6} \d{5}|\d{13,19}+)(?![\w-])",
     "phone": r"(?:\+?1[ .-]?)?\(?\d{3}\)?[ .-]?\d{3}[ .-]\d{4}(?!\w)",
-    "international": r"\+\d{8,15}+(?!\w)",
+    "international": r"\+\d{8,15}+(?!\w)|\+\d(?: ?\d){7,14}(?!\w)",
 }
 # Every shape has one of these; most texts have none and are not searched further.
 ANY_SIGN = r"[0-9@]|(?:password|passwd|pwd|secret|token|api_key)[=:]|AKIA[A-Z]{16}|[a-f]{32}"
@@ -120,6 +159,22 @@ def _refill(template: Column, symbols: Column, of: str) -> Column:
     )
 
 
+def _refill_long(template: Column, symbols: Column, of: str, not_of: str) -> Column:
+    """The same for templates of any length, 256 characters at a time."""
+    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
+
+    def add(state: Column, part: Column) -> Column:
+        size = F.length(F.regexp_replace(part, not_of, ""))
+        mine = F.substring(symbols, state["at"], size)
+        return F.struct(
+            F.concat(state["out"], _refill(part, mine, of)).alias("out"),
+            (state["at"] + size).alias("at"),
+        )
+
+    parts = F.regexp_extract_all(template, F.lit("(?s).{1,256}"), F.lit(0))
+    return F.aggregate(parts, start, add, lambda s: s["out"])
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -154,8 +209,9 @@ def _mod97(text: Column) -> Column:
 
 
 def _iban(value: Column, key: str) -> Column:
-    country, account = F.left(value, F.lit(2)), F.substring(value, F.lit(5), F.length(value))
-    valid = _mod97(F.concat(account, F.left(value, F.lit(4)))) == 1
+    plain = F.replace(value, F.lit(" "), F.lit(""))
+    country, account = F.left(plain, F.lit(2)), F.substring(plain, F.lit(5), F.length(plain))
+    valid = _mod97(F.concat(account, F.left(plain, F.lit(4)))) == 1
     moved = _refill(account, permute_symbols(_digits(account), 10, key, "iban"), "[0-9]")
     whole = F.transform(
         F.array(moved),
@@ -165,7 +221,10 @@ def _iban(value: Column, key: str) -> Column:
             m,
         ),
     )[0]
-    return F.when(valid & (_digits(account) != ""), whole)
+    return F.when(
+        valid & (_digits(account) != ""),
+        F.when(value.contains(" "), _refill(value, whole, "[A-Z0-9]")).otherwise(whole),
+    )
 
 
 def _ssn(value: Column, key: str) -> Column:
@@ -183,24 +242,40 @@ def _ssn(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
+    """Permuted inside its class of numbers, so that no two numbers become the same one."""
     digits = _digits(value)
     national = F.right(digits, F.lit(10))
     area, exchange, line = (_long(F.substring(national, i, n)) for i, n in ((1, 3), (4, 3), (7, 4)))
+    low, odd = area < 200, exchange < 200
 
-    def spelled(left: Column, right: Column) -> Column:
+    def spelled(pair: Column) -> Column:
+        left = pair["left"]
+        by_area = F.floor(left / F.when(odd, 200).otherwise(800)).cast("long")
         number = F.format_string(
-            "%03d%03d%04d", F.floor(left / 800).cast("long") + 200, left % 800 + 200, right
+            "%03d%03d%04d",
+            by_area + F.when(odd | low, 0).otherwise(200),
+            F.when(odd, left % 200).otherwise(left % 800 + 200),
+            pair["right"],
         )
         return _refill(value, F.concat(F.left(digits, F.length(digits) - 10), number), "[0-9]")
 
-    left = (area - 200) * 800 + exchange - 200
-    moved = _paired(left, line, 640_000, 10_000, key, "phone", spelled)
-    return F.when((area >= 200) & (exchange >= 200), moved)
+    left = (
+        F.when(odd, area * 200 + exchange)
+        .when(low, area * 800 + exchange - 200)
+        .otherwise((area - 200) * 800 + exchange - 200)
+    )
+    size = F.when(odd, 200_000).when(low, 160_000).otherwise(640_000).cast("long")
+    tweak = F.when(odd, "phone exchange").when(low, "phone area").otherwise("phone")
+    pair = feistel(left, line, size, F.lit(10_000).cast("long"), key, tweak)
+    # Without a + or a bracket, a number with a low exchange may be any other number.
+    return F.when(~odd | value.rlike("[+(]"), F.transform(F.array(pair), spelled)[0])
 
 
 def _international(value: Column, key: str) -> Column:
-    moved = permute_symbols(F.substring(value, F.lit(4), F.length(value)), 10, key, "international")
-    return F.concat(F.left(value, F.lit(3)), moved)
+    digits = _digits(value)
+    rest = F.substring(digits, F.lit(3), F.length(digits))
+    moved = F.concat(F.left(digits, F.lit(2)), permute_symbols(rest, 10, key, "international"))
+    return _refill(value, moved, "[0-9]")
 
 
 def _ip(value: Column, key: str) -> Column:
@@ -256,7 +331,12 @@ def _key(value: Column, key: str) -> Column:
     return (
         F.when(aws, F.concat(F.lit("AKIA"), F.upper(permute_symbols(F.lower(tail), 36, key, "aws"))))
         .when(hexadecimal, permute_symbols(value, 16, key, "hex"))
-        .when(symbols != "", _refill(value, permute_symbols(symbols, 36, key, "key"), "[A-Za-z0-9]"))
+        .when(
+            symbols != "",
+            _refill_long(
+                value, permute_symbols(symbols, 36, key, "key"), "[A-Za-z0-9]", "[^A-Za-z0-9]"
+            ),
+        )
     )
 
 

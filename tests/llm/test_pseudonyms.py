@@ -165,3 +165,30 @@ def test_values_without_digits_are_replaced_and_linked(spark):
     assert [r.n_pseudonyms for r in got] == [1] * 8 + [0] and got[8].text == texts[8]
     for plain, digit, old in zip(got[0:8:2], got[1:8:2], texts[0:8:2], strict=True):
         assert plain.text != old and digit.text == plain.text + " 7"
+
+
+def test_wide_shapes_are_replaced_to_their_end(spark):
+    secret, hexes = "aB3-" * 500 + "end", "0123456789abcdef" * 8
+    values = ["+1 (017) 555-7713", "017-555-7713", "(132) 155-1352", "+44 20 7946 0958", "+442079460958"]
+    values += ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "AT61 1904 3002 3457 3201"]
+    values += [hexes, "1999-12-31"]
+    texts = [f"see {v}, then" for v in values] + [f"token={secret}. 1", "at 1999-12-31T10:00:00Z."]
+    texts += ["AT61 1904 3002 3457 3201 2024 was, +44 20 7946 0958 2024 was"]
+    got = run(spark, texts)
+    new = [t.removeprefix("see ").removesuffix(", then") for t in got[:10]]
+    shape = lambda x: re.sub(r"[A-Za-z0-9]", "x", x)
+    for old, moved in zip(values, new, strict=False):
+        assert moved != old and shape(moved) == shape(old)
+    left, right = feistel(17 * 800 + 355, 7713, 160_000, 10_000, "k", "phone area")
+    assert new[0] == f"+1 ({left // 800:03d}) {left % 800 + 200}-{right:04d}"
+    assert re.sub(r"\D", "", new[1]) == re.sub(r"\D", "", new[0])[1:]
+    left, right = feistel(132 * 200 + 155, 1352, 200_000, 10_000, "k", "phone exchange")
+    assert new[2] == f"({left // 200:03d}) {left % 200:03d}-{right:04d}"
+    assert new[3].replace(" ", "") == new[4] == "+44" + permuted("2079460958", 10, "k", "international")
+    assert new[5].replace(" ", "") == new[6]
+    assert int("".join(str(int(c, 36)) for c in new[6][4:] + new[6][:4])) % 97 == 1
+    assert new[8] == permuted(hexes, 16, "k", "hex")
+    symbols = iter(permuted(secret.replace("-", "").lower(), 36, "k", "key"))
+    assert got[10] == "token=" + "".join("-" if c == "-" else next(symbols) for c in secret) + ". 1"
+    assert got[11] == f"at {new[9]}T10:00:00Z."
+    assert got[12] == f"{new[7]} 2024 was, {new[3]} 2024 was"
