@@ -15,7 +15,7 @@ import zlib
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .numbering import number_rows, prefix_digits, scatter
@@ -100,9 +100,35 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int, keep_ids: bool = False) -> DataFrame:
+def file_positions(docs: DataFrame, out: str) -> DataFrame:
+    """Add `out` to rows read from Parquet files: 0, 1, 2, ... by file name, then row in the file.
+
+    Only a row per file is gathered. A filter after reading leaves gaps, but the order stays.
+    """
+    placed = docs.select(
+        "*",
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.row_index").alias("__index"),
+    )
+    files = placed.groupBy("__file").agg((F.max("__index") + 1).alias("__rows"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select(
+        "__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start")
+    )
+    return (
+        placed.join(F.broadcast(starts), "__file")
+        .withColumn(out, F.col("__start") + F.col("__index"))
+        .drop("__file", "__index", "__start")
+    )
+
+
+def token_pieces(
+    docs: DataFrame, path: str, capacity: int, keep_ids: bool = False, order: str | None = None
+) -> DataFrame:
     """Pieces of every document: doc_id, start, length, ids_crc32, doc_tokens and, if kept, ids.
 
+    `order` names a column of whole numbers that pieces keep as __position.
+
     A null text is an empty one. Every document ends with the token END_OF_TEXT, so an empty
     document is one piece of one token. All pieces but a document's last are `capacity` long.
     """
@@ -112,13 +138,16 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, keep_ids: bool = Fal
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for batch in batches:
-            rows: list[list] = [[] for _ in range(6)]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            rows: list[list] = [[] for _ in range(7)]
+            places = batch.column(2).to_pylist() if order else [None] * batch.num_rows
+            for doc, text, place in zip(
+                batch.column(0).to_pylist(), batch.column(1), places, strict=True
+            ):
                 ids = encoder.encode(text.as_py() or "") + end
                 for at in range(0, len(ids), width):
                     piece = ids[at : at + width]
                     values = (doc, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4)
-                    for column, value in zip(rows, (*values, piece), strict=True):
+                    for column, value in zip(rows, (*values, piece, place), strict=True):
                         column.append(value)
             arrays = [pa.array(rows[0], batch.column(0).type)]
             arrays += [pa.array(column, pa.int64()) for column in rows[1:5]]
@@ -126,13 +155,16 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, keep_ids: bool = Fal
             if keep_ids:
                 arrays.append(pa.array(rows[5], pa.binary()))
                 names.append("ids")
+            if order:
+                arrays.append(pa.array(rows[6], pa.int64()))
+                names.append("__position")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        cut, schema + (", ids binary" if keep_ids else "")
-    )
+    schema += (", ids binary" if keep_ids else "") + (", __position long" if order else "")
+    place = [F.col(order).cast("long")] if order else []
+    return docs.select("doc_id", F.col("text").cast("string"), *place).mapInArrow(cut, schema)
 
 
 def pack_histogram(
@@ -205,7 +237,8 @@ def rank_ranges(patterns: list[tuple[int, list[tuple[int, int]]]]) -> list[tuple
 def place_pieces(pieces: DataFrame, capacity: int, block_rows: int = 50_000) -> DataFrame:
     """Add sequence_id and offset to pieces with doc_id, start and length.
 
-    `pieces` is read several times and should be a written table.
+    Pieces of a length are ranked by a scatter of doc_id and start or, if there is a __position, by
+    it and start. `pieces` is read several times and should be a written table.
     """
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     ranges = rank_ranges(pack_histogram(counts, capacity))
@@ -216,11 +249,14 @@ def place_pieces(pieces: DataFrame, capacity: int, block_rows: int = 50_000) ->
     table = pieces.sparkSession.createDataFrame(
         list(by_length.items()), f"length long, __ranges array<{fields}>"
     )
-    digits = prefix_digits(sum(counts.values()), block_rows)
-    order = scatter(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("start")))
-    keyed = pieces.withColumn("__order", order).withColumn(
-        "__block", F.substring("__order", 1, digits)
-    )
+    if "__position" in pieces.columns:
+        order = F.struct("__position", "start")
+        block = _position_block(pieces, sum(counts.values()), block_rows)
+    else:
+        order = scatter(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("start")))
+        digits = prefix_digits(sum(counts.values()), block_rows)
+        block = F.substring("__order", 1, digits)
+    keyed = pieces.withColumn("__order", order).withColumn("__block", block)
     ranked = number_rows(
         keyed, "__rank", ["length"], "__block", [F.col("__order"), F.col("ids_crc32")]
     )
@@ -239,12 +275,33 @@ def place_pieces(pieces: DataFrame, capacity: int, block_rows: int = 50_000) ->
     )
 
 
+def _position_block(pieces: DataFrame, rows: int, block_rows: int) -> Column:
+    """Ranges of __position that hold about `block_rows` of the `rows` pieces each."""
+    last = pieces.agg(F.max("__position")).first()[0] or 0
+    return F.floor(F.col("__position") / max(1, (last + 1) * block_rows // max(1, rows))).cast("long")
+
+
+def in_given_order(placed: DataFrame, block_rows: int = 2_000) -> DataFrame:
+    """Number the sequences anew by the __position and start of their first, longest piece.
+
+    `placed` is read several times and should be a written table.
+    """
+    firsts = placed.where(F.col("offset") == 0).select("sequence_id", "__position", "start")
+    firsts = firsts.withColumn("__block", _position_block(placed, placed.count(), block_rows))
+    by_place = [F.col("__position"), F.col("start"), F.col("sequence_id")]
+    numbers = number_rows(firsts, "__sequence", [], "__block", by_place)
+    return placed.join(numbers.select("sequence_id", "__sequence"), "sequence_id").withColumn(
+        "sequence_id", F.col("__sequence")
+    )
+
+
 def pack_documents(
     docs: DataFrame,
     path: str | None = None,
     capacity: int = 2048,
     keep_ids: bool = False,
     block_rows: int = 50_000,
+    order: str | None = None,
 ) -> DataFrame:
     """One row per piece of every document, with its sequence and its offset there.
 
@@ -252,7 +309,14 @@ def pack_documents(
     Repeated rows are packed once each. An empty table gives no rows. Columns other than doc_id
     and text are left out. With `keep_ids`, ids holds the piece's little-endian 32-bit token ids;
     ordered by offset, the pieces of one sequence_id are a training sequence, padded to capacity.
+
+    `order` names a column of whole numbers, not null, that tells the order of documents: pieces of
+    a length are then dealt out in that order, and sequences are numbered by their first, longest
+    piece. Without it documents are scattered over the sequences.
     """
-    pieces = cut_lineage(token_pieces(docs, path or vocabulary_path(), capacity, keep_ids))
+    pieces = cut_lineage(token_pieces(docs, path or vocabulary_path(), capacity, keep_ids, order))
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    return place_pieces(pieces, capacity, block_rows).select(*columns, *["ids"] * keep_ids)
+    placed = place_pieces(pieces, capacity, block_rows)
+    if order:
+        placed = in_given_order(cut_lineage(placed))
+    return placed.select(*columns, *["ids"] * keep_ids)

@@ -44,8 +44,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document with its place in the training sequences."""
-    return packing.pack_documents(docs)
+    """One row per piece of a document; sequences follow the order of the rows in `docs`' files."""
+    placed = packing.file_positions(docs.select("doc_id", "text"), "position")
+    return packing.pack_documents(placed, order="position")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -5,6 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from airgrid.llm.mixing import in_mixture_order, mix
 from airgrid.llm.tables import read
 from airgrid.llm.vector_search import hilbert_index, nearest_vectors
 
@@ -106,3 +107,23 @@ def test_run_applies_every_stage(spark):
     got = corpus_pipeline.run(spark, sf)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(got.columns)
     assert got.count() >= 100
+
+
+def test_packing_follows_the_mixture(spark):
+    rows = [(i, f"the text {i % 7} " + "of words " * (i % 90 * 9), "ab"[i % 5 == 0]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def packed(weights):
+        mixed = mix(docs, weights, block_rows=1, law="weights")
+        laid = corpus_pipeline.cut_lineage(in_mixture_order(mixed, 5).select(*docs.columns))
+        got = corpus_pipeline.pack_sequences(spark, laid, "").collect()
+        assert sorted({r.sequence_id for r in got}) == list(range(max(r.sequence_id for r in got) + 1))
+        place = {r.doc_id: r.position for r in mixed.collect()}
+        # Sequences come in the mixture's order of their first pieces.
+        first = sorted((r.sequence_id, place[r.doc_id], r.start) for r in got if r.offset == 0)
+        assert [x[1:] for x in first] == sorted(x[1:] for x in first)
+        return sorted((r.doc_id, r.start, r.sequence_id, r.offset) for r in got)
+
+    plenty = packed({"a": 0.1, "b": 0.9})
+    even = packed({"a": 0.8, "b": 0.2})
+    assert plenty != even and [r[:2] for r in plenty] == [r[:2] for r in even]
