@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    exact_search,
     fingerprints,
     language,
     line_dedup,
@@ -16,6 +17,7 @@ from . import (
     packing,
     pseudonyms,
     sharding,
+    spelling,
     toxicity,
     vector_search,
 )
@@ -199,3 +201,86 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = read(spark, sf_dir, "embeddings")
     return vector_search.nearest_vectors(table, F.col("vec_id") % 50 == 0, k=5)
+
+
+# Checksums byte by byte as above; near words meet where they agree after one deletion or as they
+# are, and are then compared symbol by symbol.
+_SPELLING_SQL = """
+WITH RECURSIVE bits(i, c, k) AS (
+  SELECT CAST(i AS BIGINT), CAST(i AS BIGINT), 0 FROM range(256) AS t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1
+  FROM bits WHERE k < 8),
+lookup AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, run, count(*) AS times FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[a-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY 1, 2),
+sums AS (
+  SELECT run, times, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      list_transform(regexp_extract_all(hex(encode(doc_id || ':' || run)), '..'),
+        lambda b: CAST('0x' || b AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM runs, lookup WHERE len(run) >= 6),
+words AS (
+  SELECT word, sum(times) AS n FROM (
+    SELECT times, CASE WHEN h % 199 = 0
+      THEN left(run, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word FROM sums)
+  WHERE len(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+variants AS (
+  SELECT word, n, word AS variant FROM words
+  UNION
+  SELECT word, n, left(word, p) || substr(word, p + 2)
+  FROM (SELECT word, n, unnest(range(len(word))) AS p FROM words)),
+pairs AS (
+  SELECT DISTINCT a.word, b.word AS near, b.n AS near_n
+  FROM variants a JOIN variants b USING (variant) WHERE a.word <> b.word),
+near AS (
+  SELECT word, near, near_n FROM pairs
+  WHERE (len(word) <> len(near) AND abs(len(word) - len(near)) = 1)
+     OR (len(word) = len(near) AND len(list_filter(range(1, len(word) + 1),
+           lambda p: substr(word, p, 1) <> substr(near, p, 1))) = 1)),
+firsts AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS most,
+         min(near) FILTER (near_n = top) AS first
+  FROM (SELECT *, max(near_n) OVER (PARTITION BY word) AS top FROM near) GROUP BY word),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * n THEN first END AS form,
+         CASE WHEN most >= 5 * n THEN most END AS form_n
+  FROM words LEFT JOIN firsts USING (word)),
+chains AS (
+  SELECT word, word AS root FROM forms WHERE form IS NULL
+  UNION ALL
+  SELECT f.word, c.root FROM forms f JOIN chains c ON f.form = c.word)
+SELECT word, form, root, CAST(n AS BIGINT) AS n, CAST(n_near AS BIGINT) AS n_near,
+       CAST(form_n AS BIGINT) AS form_n
+FROM forms JOIN chains USING (word)
+"""
+
+# Every query row against every other row.
+_PRODUCTS_SQL = """
+WITH usable AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+
+@_query("op11_spelling", _SPELLING_SQL)
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(read(spark, sf_dir, "documents"))
+
+
+@_query("op13_exact_search", _PRODUCTS_SQL)
+def op13_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read(spark, sf_dir, "embeddings")
+    return exact_search.largest_products(table, F.col("vec_id") % 100 == 0, k=10)
