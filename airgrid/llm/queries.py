@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     exact_search,
     fingerprints,
     language,
@@ -280,6 +281,11 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_spellings(read(spark, sf_dir, "documents"))
 
 
+@_query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(read(spark, sf_dir, "documents"))
+
+
 @_query("op13_exact_search", _PRODUCTS_SQL)
 def op13_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = read(spark, sf_dir, "embeddings")
