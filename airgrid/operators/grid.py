@@ -19,6 +19,7 @@ from functools import lru_cache, reduce
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
 
 # Side in metres at resolution 8 (0.74 km²), and the layout of the id.
 SIDE_8 = 533.7
@@ -238,45 +239,185 @@ def explode_disk(
     )
 
 
+@lru_cache
+def _path_table(parity: int, levels: int) -> np.ndarray:
+    """By the residues of ``q`` and ``r``: the child digits of ``levels`` levels as one number in
+    base seven, the digit of the finest level last."""
+    scale = 7 ** (levels // 2)
+    q, r = (v.ravel() for v in np.mgrid[0:scale, 0:scale])
+    path = np.zeros(len(q), dtype="int64")
+    for step in range(levels):
+        path += (q + r * (5 if (parity + step) % 2 == 0 else 3)) % 7 * 7**step
+        up_q, up_r = _up(q, r, parity + step)
+        q, r = (up_q + 3) // 7, (up_r + 3) // 7
+    return path.astype("int32")
+
+
+@lru_cache
+def _descent_tables(parity: int, levels: int) -> tuple[np.ndarray, np.ndarray]:
+    """By path over an even number of ``levels``: offset of the descendant from its ancestor's centre
+    descendant. ``parity`` is that of the finer level (and so of the ancestor's)."""
+    path = np.arange(7**levels)
+    q, r = np.zeros_like(path), np.zeros_like(path)
+    for step in range(levels - 1, -1, -1):
+        digit = path // 7**step % 7
+        odd = (parity + step + 1) % 2 == 1
+        offsets = np.array(CHILD_OF_ODD_PARENT if odd else CHILD_OF_EVEN_PARENT)
+        down_q, down_r = (q * 2 - r, q + r * 3) if odd else (q * 3 + r, r * 2 - q)
+        q, r = down_q + offsets[digit, 0], down_r + offsets[digit, 1]
+    return q.astype("int32"), r.astype("int32")
+
+
+def add_path(df: DataFrame, cell: str, res: int, base: str, path: str) -> DataFrame:
+    """The ancestor at level 0 and the way from it down, as one number in base seven.
+
+    In the order of ``(base, path)`` the descendants of any cell stand together: those of a cell
+    ``k`` levels up have the ``7**k`` numbers from a multiple of ``7**k`` on.
+    """
+    q, r = axial_q(F.col(cell)), axial_r(F.col(cell))
+    parts, level = [], res
+    while level > 0:
+        step = 4 if level >= 4 else 2 if level >= 2 else 1
+        place = 7 ** (res - level)
+        if step == 1:
+            parts.append(_digit(q, r, level) * F.lit(place))
+            up_q, up_r = _up(q, r, level)
+            q, r = _whole(up_q + 3, 7), _whole(up_r + 3, 7)
+        else:
+            scale = 7 ** (step // 2)
+            at = (F.pmod(q, F.lit(scale)) * scale + F.pmod(r, F.lit(scale))).cast("int")
+            table_q, table_r = _offset_tables(level % 2, step)
+            parts.append(F.get(F.lit(_path_table(level % 2, step)), at) * F.lit(place))
+            q = _whole(q - F.get(F.lit(table_q), at), scale)
+            r = _whole(r - F.get(F.lit(table_r), at), scale)
+        level -= step
+    number = reduce(lambda a, b: a + b, parts, F.lit(0)).cast("bigint")
+    return pin(df, "_way", F.struct(pack(q, r, 0).alias("b"), number.alias("p"))).withColumns(
+        {base: F.col("_way.b"), path: F.col("_way.p")}
+    ).drop("_way")
+
+
+def cell_at(base: Column, path: Column, res: int) -> Column:
+    """The cell of resolution ``res`` at the end of a path from a cell at level 0."""
+    q, r = axial_q(base), axial_r(base)
+    level = 0
+    if res % 2:
+        # The top level alone, so that an even number of them is left.
+        digit = F.floor(path / F.lit(7 ** (res - 1))).cast("int")
+        offsets = CHILD_OF_EVEN_PARENT
+        q, r = (
+            q * 3 + r + F.get(F.array(*[F.lit(a) for a, _ in offsets]), digit),
+            r * 2 - q + F.get(F.array(*[F.lit(b) for _, b in offsets]), digit),
+        )
+        level = 1
+    while level < res:
+        step = 4 if res - level >= 4 else 2
+        part = F.pmod(F.floor(path / F.lit(7 ** (res - level - step))), F.lit(7**step)).cast("int")
+        table_q, table_r = _descent_tables((level + step) % 2, step)
+        scale = 7 ** (step // 2)
+        q = q * scale + F.get(F.lit(table_q), part)
+        r = r * scale + F.get(F.lit(table_r), part)
+        level += step
+    return pack(q, r, res)
+
+
 def compact(df: DataFrame, cell: str, res: int) -> DataFrame:
-    """Replace every full set of seven siblings by its parent, level by level.
+    """Replace every full set of seven siblings by its parent, again and again.
 
-    Siblings meet as one row per parent with a seven-bit mask, a hash aggregate that combines before
-    its shuffle and makes duplicates harmless. The number of levels is fixed, so nothing iterates.
+    Cells are numbered along the seven-way path, so a cell's descendants are one range of numbers.
+    Six levels at a time: cells meet by their ancestor six levels up, at most 117,649 of them, in the
+    order of their numbers; each unbroken run of numbers is cut into the fewest whole cells by
+    arithmetic. That is one shuffle; a second one, for full cells of six levels up, moves almost
+    nothing. Repeated and missing cells do no harm.
     """
-    current = df.select(F.col(cell).alias("cell")).where("cell IS NOT NULL")
     kept = []
-    for level in range(res, 0, -1):
-        bit = _digit_bit(level)
-        masks = (
-            add_parent(current, "cell", level, level - 1, "parent")
-            .groupBy("parent")
-            .agg(F.bit_or(bit).alias("mask"))
-        )
-        kept.append(
-            explode_children(masks.where("mask < 127"), "parent", level - 1, level, "cell")
-            .where(F.col("mask").bitwiseAND(_digit_bit(level)) != 0)
-            .select("cell")
-        )
-        current = masks.where("mask = 127").select(F.col("parent").alias("cell"))
-    kept.append(current.distinct() if res == 0 else current)
+    current = df.select(F.col(cell).alias("cell")).where("cell IS NOT NULL")
+    level = res
+    while True:
+        levels = min(level, 6)
+        covers = _compacted(current, level, levels)
+        if level - levels == 0:
+            kept.append(covers.select("cell"))
+            break
+        # Read by both branches, and much smaller than the cells in all but scattered sets.
+        covers = cut_lineage(covers)
+        kept.append(covers.where(F.col("up") < levels).select("cell"))
+        current = covers.where(F.col("up") == levels).select("cell")
+        level -= levels
     return reduce(lambda a, b: a.unionByName(b), kept).select(F.col("cell").alias(cell))
 
 
-def _digit_bit(level: int) -> Column:
-    return F.call_function("shiftleft", F.lit(1), child_digit(F.col("cell"), level))
+def _compacted(cells: DataFrame, res: int, levels: int) -> DataFrame:
+    """``(cell, up)``: cells of one resolution compacted by at most ``levels`` levels."""
+    keyed = add_path(cells, "cell", res, "base", "path")
+    group = ["base", "block"]
+    keyed = keyed.select("base", F.floor(F.col("path") / F.lit(7**levels)).alias("block"), "path")
+    # One exchange: all that follows works on the cells of a block.
+    dealt = keyed.repartition(*group).distinct()
+    order = F.row_number().over(Window.partitionBy(*group).orderBy("path"))
+    runs = (
+        dealt.withColumn("run", F.col("path") - order)
+        .groupBy(*group, "run")
+        .agg(F.min("path").alias("low"), (F.max("path") + 1).alias("high"))
+    )
+    pieces = [_aligned(F.col("low"), F.col("high"), k, levels) for k in range(levels + 1)]
+    listed = runs.select("base", F.explode(F.concat(*pieces)).alias("piece")).select("base", "piece.*")
+    cell = reduce(
+        lambda rest, k: F.when(F.col("up") == k, cell_at(F.col("base"), F.col("place"), res - k)).otherwise(rest),
+        range(levels + 1),
+        F.lit(None).cast("bigint"),
+    )
+    return listed.select(cell.alias("cell"), "up")
+
+
+def _aligned(low: Column, high: Column, k: int, levels: int) -> Column:
+    """The pieces ``(place, up)`` of ``[low, high)`` that are whole cells ``k`` levels up and lie in
+    no whole cell above: at most six at either end of the run."""
+
+    def span(width: int) -> tuple[Column, Column]:
+        return F.ceil(low / F.lit(width)).cast("bigint"), F.floor(high / F.lit(width)).cast("bigint")
+
+    def listed(start: Column, end: Column) -> Column:
+        some = F.transform(
+            F.sequence(start, F.greatest(start, end - 1)),
+            lambda x: F.struct(x.alias("place"), F.lit(k).alias("up")),
+        )
+        return F.filter(some, lambda x: x["place"] < end)
+
+    start, end = span(7**k)
+    if k == levels:
+        return listed(start, end)
+    above, below = span(7 ** (k + 1))
+    any_above = above < below
+    return F.concat(
+        listed(start, F.when(any_above, above * 7).otherwise(end)),
+        listed(F.when(any_above, below * 7).otherwise(end), end),
+    )
 
 
 def uncompact(df: DataFrame, cell: str, res: int) -> DataFrame:
-    """Expand a mixed-resolution set to resolution ``res`` (finer cells are left out)."""
+    """Expand a mixed-resolution set to resolution ``res`` (finer cells are left out).
+
+    A cell's descendants are one range of path numbers. No shuffle.
+    """
     ids = df.select(F.col(cell).alias("cell")).withColumn("res", resolution(F.col("cell")))
-    current = ids.where("res = 0").select("cell")
-    for level in range(res):
-        finer = explode_children(current, "cell", level, level + 1, "child").select(
-            F.col("child").alias("cell")
+    levels = [
+        add_path(ids.where(F.col("res") == level), "cell", level, "base", "path").select(
+            "base",
+            (F.col("path") * 7 ** (res - level)).alias("low"),
+            F.lit(7 ** (res - level)).alias("size"),
         )
-        current = finer.unionByName(ids.where(F.col("res") == level + 1).select("cell"))
-    return current.select(F.col("cell").alias(cell))
+        for level in range(res + 1)
+    ]
+    ranges = reduce(lambda a, b: a.unionByName(b), levels)
+    # Two steps, so that no list is longer than a few thousand numbers.
+    step = 7**4
+    blocks = F.sequence(F.lit(0), F.floor((F.col("size") - 1) / step))
+    ranges = ranges.select("*", F.explode(blocks).alias("block"))
+    first = F.col("low") + F.col("block") * step
+    count = F.least(F.lit(step), F.col("size") - F.col("block") * step)
+    paths = ranges.select("base", F.explode(F.sequence(first, first + count - 1)).alias("path"))
+    return paths.select(cell_at(F.col("base"), F.col("path"), res).alias(cell))
 
 
 def cells_over_box(

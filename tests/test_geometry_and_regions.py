@@ -42,6 +42,32 @@ def test_children_and_ancestors(spark):
     assert grid.compact(fine.select("fine"), "fine", 6).exceptAll(grid.compact(coarse, "cell", 2)).count() == 0
 
 
+def test_paths_number_descendants_in_one_range(spark):
+    _, points = points_table(spark, 40, 2)
+    for res in (0, 3, 8):
+        cells = grid.add_cell(points, "x", "y", res).select("cell").distinct()
+        told = grid.add_path(cells, "cell", res, "base", "path")
+        assert told.where((F.col("path") < 0) | (F.col("path") >= 7**res)).count() == 0
+        assert told.where(grid.cell_at(F.col("base"), F.col("path"), res) != F.col("cell")).count() == 0
+        for up in range(0, res, 3):
+            to = grid.add_parent(told, "cell", res, up, "above").withColumn("_p", F.floor(F.col("path") / 7 ** (res - up)))
+            again = grid.add_path(to, "above", up, "b2", "p2")
+            assert again.where("b2 <> base OR p2 <> _p").count() == 0
+
+
+def test_compacting_over_more_levels_than_one_step(spark):
+    base = spark.sql("SELECT 0 AS x, 0 AS y").select(grid.cell_of(F.col("x"), F.col("y"), 1).alias("cell"))
+    fine = grid.explode_children(base, "cell", 1, 8, "fine").select("fine")
+    assert [r.fine for r in grid.compact(fine, "fine", 8).collect()] == [base.head().cell]
+    path = grid.add_path(fine, "fine", 8, "base", "path")
+    gap = path.where("path % 823543 NOT IN (0, 5000, 700000)").select("fine")
+    small = grid.compact(gap.union(gap.limit(3)), "fine", 8)
+    by_level = {r.res: r["count"] for r in small.groupBy(grid.resolution(F.col("fine")).alias("res")).count().collect()}
+    assert sum(n * 7 ** (8 - res) for res, n in by_level.items()) == 7**7 - 3
+    assert max(by_level.values()) <= 18 and grid.uncompact(small, "fine", 8).exceptAll(gap).count() == 0
+    assert grid.compact(fine.limit(0), "fine", 8).count() == 0
+
+
 def test_missing_point_has_no_cell(spark):
     row = spark.sql("SELECT CAST(NULL AS DOUBLE) AS x, 1D AS y")
     assert grid.add_cell(row, "x", "y", 8).head().cell is None

@@ -118,6 +118,24 @@ def test_exact_quantiles_with_ties_and_hot_group(spark):
         assert got[k] == pytest.approx(want[k])
 
 
+def test_quantiles_of_a_large_group_are_narrowed(spark):
+    """One group of a million distinct values, one of a few, and one NULL group with infinities."""
+    rows = spark.range(1_000_000).select(
+        F.lit("large").alias("k"), (F.col("id") * 7919 % 1_000_003 - 500_000).cast("double").alias("v")
+    )
+    rows = rows.union(spark.range(5).select(F.lit("few"), F.col("id").cast("double")))
+    rows = rows.union(spark.range(9000).select(F.lit(None).cast("string"), F.exp(F.col("id") / 13)))
+    rows = rows.union(spark.range(3000).select(F.lit(None).cast("string"), F.lit(float("inf"))))
+    probs, bound = [0.0, 0.25, 0.5, 0.999, 1.0], 2000
+    got = quantiles.exact_quantiles(rows, ["k"], ["v"], probs, bound).collect()
+    want = {r.k: r.p for r in rows.groupBy("k").agg(F.percentile("v", probs).alias("p")).collect()}
+    assert {r.k: [r[f"q{i}"] for i in range(5)] for r in got} == {k: pytest.approx(v) for k, v in want.items()}
+    weighted = rows.groupBy("k", "v").agg(F.count(F.lit(1)).alias("_w")).withColumnRenamed("v", "_v")
+    large = weighted.groupBy("k").agg(F.sum("_w").alias("n")).where("n > 5")
+    parts = quantiles.narrowed_groups(weighted, large, ["k"], probs, bound).groupBy("k", "_part").count()
+    assert 5 <= parts.count() <= 20 and parts.agg(F.max("count")).first()[0] <= bound
+
+
 def test_box_stats(spark):
     rows = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 4, 100)], "v double").withColumn("g", F.lit(1))
     r = quantiles.box_stats(rows, ["g"], "v").head()
