@@ -8,15 +8,19 @@ storing anything. Splits, bagging and scoring are MLlib's; every fit is a distri
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import use_checkpoints
 from .quantiles import exact_quantiles
 
 # Stand-in for a missing feature value; far outside every real measure.
@@ -50,6 +54,7 @@ class YearForests:
     seed: int
     by: str
     models: dict[int, list[RandomForestRegressionModel]] = field(default_factory=dict)
+    saved: str | None = None  # where node_table finds these models
 
     def save(self, path: str) -> None:
         """Models by year and group, with the description they must be used with."""
@@ -80,38 +85,55 @@ class YearForests:
             ]
             for y in (sorted(groups) if years is None else years)
         }
-        return cls(told["features"], told["cluster"], told["seed"], told["by"], models)
+        return cls(told["features"], told["cluster"], told["seed"], told["by"], models, path)
+
+    def node_table(self, spark: SparkSession) -> DataFrame:
+        """Nodes of all trees: year, grp, tree, node, left, right, feature (-1: a leaf), threshold
+        and value. The models are saved once, to the shared checkpoint folder or by :meth:`save`."""
+        if self.saved is None:
+            self.saved = f"{use_checkpoints(spark)}/forests-{uuid.uuid4().hex}"
+            self.save(self.saved)
+        parts = [
+            saved_nodes(spark, self.saved, year, len(groups)).withColumn("year", F.lit(year))
+            for year, groups in self.models.items()
+        ]
+        return reduce(lambda a, b: a.unionByName(b), parts)
 
-    def score_year(self, df: DataFrame, year: int, oob: bool = False) -> DataFrame:
-        """K2-K4: predictions of one year's rows; narrow, no shuffle.
+    def score(self, df: DataFrame, oob: bool = False, most_bytes: int = 256 << 20) -> DataFrame:
+        """K2-K4, K6: predictions of every row by its year's trees; rows of years without one get
+        NULLs. Narrow, and what lies above is planned and read once for all years.
 
         Adds ``pred`` and ``se`` (all groups) and, with ``oob``, ``pred_oob`` and ``se_oob`` (only
         the groups that did not see the row's cluster; NULL if every group saw it).
+
+        The trees are flattened to arrays of nodes that go to every task, at most ``most_bytes`` at
+        a time: where there are more, further trees walk over the same rows in one more column.
         """
-        scored = with_features(df, self.features)
-        groups = self.models[year]
-        for g, model in enumerate(groups):
-            scored = (
-                model.setFeaturesCol("_features").setPredictionCol(f"_p{g}").transform(scored)
-            )
-        every = [F.col(f"_p{g}") for g in range(len(groups))]
-        scored = scored.withColumns({"pred": _mean(every), "se": _spread(every)})
+        spark = df.sparkSession
+        nodes = self.node_table(spark) if self.models else None
+        walks = _flattened(nodes, most_bytes) if self.models else []
+        features = [F.col(name).cast("double") for name in self.features]
+        width = max([len(groups) for groups in self.models.values()], default=0)
+        scored = df
+        for i, (flat, _) in enumerate(walks):
+            walk = _walker(spark.sparkContext.broadcast(flat), width)
+            scored = scored.withColumn(f"_walk{i}", walk(F.col(self.by).cast("int"), *features))
+        names = [f"_walk{i}" for i in range(len(walks))]
+        fields = ("grp", "mean", "within", "trees")
+        zipped = [F.arrays_zip(*[F.col(n)[f].alias(f) for f in fields]).cast(_GROUPS) for n in names]
+        # Per group: (mean of its trees, mean squared distance of its trees from that, trees).
+        none = F.array().cast(_GROUPS)
+        joined = F.concat(none, *[F.coalesce(z, none) for z in zipped])
+        scored = scored.withColumn("_groups", joined).drop(*names)
+        every = group_estimate(F.col("_groups"))
+        scored = scored.withColumns({"pred": every[0], "se": every[1]})
         if oob:
-            unseen = [
-                F.when(~kept_by_group(F.col(self.cluster), g, self.seed), F.col(f"_p{g}"))
-                for g in range(len(groups))
-            ]
-            scored = scored.withColumns({"pred_oob": _mean(unseen), "se_oob": _spread(unseen)})
-        return scored.drop("_features", *[f"_p{g}" for g in range(len(groups))])
-
-    def score(self, df: DataFrame, oob: bool = False) -> DataFrame:
-        """Every row of a table with its year's model; rows of years without one get NULLs."""
-        parts = [
-            self.score_year(df.where(F.col(self.by) == y), y, oob) for y in sorted(self.models)
-        ]
-        other = ~F.coalesce(F.col(self.by).isin(list(self.models)), F.lit(False))
-        parts.append(df.where(other))
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            cluster = F.col(self.cluster)
+            seen = F.array(*[kept_by_group(cluster, g, self.seed) for g in range(width)])
+            unseen = F.filter("_groups", lambda g: ~F.get(seen, g["grp"]))
+            away = group_estimate(unseen)
+            scored = scored.withColumns({"pred_oob": away[0], "se_oob": away[1]})
+        return scored.drop("_groups")
 
     def missing_years(self, df: DataFrame) -> list[int]:
         """Years of the table that have no model. Starts a job."""
@@ -119,19 +141,147 @@ class YearForests:
         return sorted(r[0] for r in years if r[0] not in self.models)
 
 
-def _mean(values: list[Column]) -> Column:
-    present = sum((F.when(v.isNotNull(), 1).otherwise(0) for v in values), F.lit(0))
-    total = sum((F.coalesce(v, F.lit(0.0)) for v in values), F.lit(0.0))
-    return F.try_divide(total, present)
+_WALKED = "grp array<int>, mean array<double>, within array<double>, trees array<int>"
+_GROUPS = "array<struct<grp:int,mean:double,within:double,trees:int>>"
+
+
+def _flattened(nodes: DataFrame, most_bytes: int) -> list[tuple[dict, int]]:
+    """Trees by year and group as arrays, in portions of at most about ``most_bytes`` (one group's
+    trees at least): a dictionary (year, group) -> (roots, feature, threshold, right, value, depth).
 
+    In MLlib's numbering a left child follows its parent. Only a portion is gathered at a time.
+    """
+    each = 40  # bytes of a node in the arrays below
+    counted = sorted(tuple(r) for r in nodes.groupBy("year", "grp").count().collect())
+    portions: list[list[tuple[int, int]]] = []
+    room = 0
+    for year, group, n in counted:
+        if n * each > room:
+            portions.append([])
+            room = most_bytes
+        portions[-1].append((year, group))
+        room -= n * each
+    out = []
+    for portion in portions:
+        wanted = F.concat_ws("/", "year", "grp").isin([f"{y}/{g}" for y, g in portion])
+        some = nodes.where(wanted).orderBy("year", "grp", "tree", "node")
+        columns = some.select("year", "grp", "node", "right", "feature", "threshold", "value").toArrow()
+        year, grp, node, right, feature, threshold, value = (c.to_numpy() for c in columns.columns)
+        flat, size = {}, 0
+        for y, g in portion:
+            at = np.flatnonzero((year == y) & (grp == g))
+            ids = node[at].astype(np.int64)
+            roots = np.flatnonzero(ids == 0)
+            start = roots[np.cumsum(ids == 0) - 1]
+            leaf = feature[at] < 0
+            own = np.arange(len(at))
+            # A leaf compares as false for ever and stays where it is.
+            flat[y, g] = (
+                roots.astype(np.int32),
+                np.where(leaf, 0, feature[at]).astype(np.int32),
+                np.where(leaf, -np.inf, threshold[at]),
+                np.where(leaf, own, start + right[at]).astype(np.int32),
+                value[at].astype(np.float64),
+                _depth(own, start, ids, right[at], leaf),
+            )
+            size += len(at) * each
+        out.append((flat, size))
+    return out
+
+
+def _depth(own, start, ids, right, leaf) -> int:
+    """Steps from a root to the deepest leaf."""
+    level, depth = own[ids == 0], 0
+    while (level := level[~leaf[level]]).size:
+        level = np.concatenate([level + 1, start[level] + right[level]])
+        depth += 1
+    return depth
+
+
+def _walker(shared, groups: int):
+    """A vectorised function of (year, features...): per row its groups' estimates, field by field."""
+    far = FAR
+
+    def leaves(x, roots, feature, threshold, right, value, depth) -> np.ndarray:
+        """Each tree's value (rows of the result) for each row of x."""
+        rows = np.arange(len(x))
+        out = np.empty((len(roots), len(x)))
+        for i, root in enumerate(roots):
+            node = np.full(len(x), root)
+            for _ in range(depth):
+                node = np.where(x[rows, feature[node]] <= threshold[node], node + 1, right[node])
+            out[i] = value[node]
+        return out
+
+    @F.pandas_udf(_WALKED)
+    def walk(year: pd.Series, *features: pd.Series) -> pd.DataFrame:
+        flat = shared.value
+        values = np.stack([f.to_numpy(np.float64, na_value=np.nan) for f in features], axis=1)
+        # K5: every feature twice, missing as far low and as far high.
+        x = np.empty((len(values), 2 * values.shape[1]))
+        x[:, 0::2] = np.where(np.isnan(values), -far, values)
+        x[:, 1::2] = np.where(np.isnan(values), far, values)
+        out = {name: np.full(len(year), None, dtype=object) for name in ("grp", "mean", "within", "trees")}
+        years = year.to_numpy(np.float64, na_value=np.nan)
+        for y in np.unique(years[~np.isnan(years)]).astype(int):
+            rows = np.flatnonzero(years == y)
+            mine = [g for g in range(groups) if (y, g) in flat]
+            if not mine:
+                continue
+            mean, within = np.empty((len(rows), len(mine))), np.empty((len(rows), len(mine)))
+            for i, g in enumerate(mine):
+                trees = leaves(x[rows], *flat[y, g])
+                mean[:, i] = trees.sum(0) / len(trees)
+                within[:, i] = np.square(trees - mean[:, i]).mean(0)
+            sizes = [len(flat[y, g][0]) for g in mine]
+            for place, row in enumerate(rows):
+                out["grp"][row], out["trees"][row] = mine, sizes
+                out["mean"][row], out["within"][row] = mean[place], within[place]
+        return pd.DataFrame(out)
+
+    return walk
+
+
+def group_estimate(groups: Column) -> tuple[Column, Column]:
+    """K3: mean and standard error from an array of (grp, mean, within, trees).
+
+    The variance is that between the groups' means, less what the scatter of trees within groups
+    adds to it: the mean over groups of within / (trees - 1). It is floored at 0. A standard error
+    needs two groups; a group of one tree has no scatter to take off.
+    """
+    n = F.size(groups)
+
+    def mean_of(value) -> Column:
+        return F.aggregate(groups, F.lit(0.0), lambda total, g: total + value(g)) / n
+
+    mean = F.when(n > 0, mean_of(lambda g: g["mean"]))
+    # E(m^2) - E(m)^2 would lose digits, so distances from the first group's mean are used.
+    first = F.get(groups, F.lit(0))["mean"]
+    shift = mean_of(lambda g: g["mean"] - first)
+    between = mean_of(lambda g: (g["mean"] - first) * (g["mean"] - first)) - shift * shift
+    noise = mean_of(lambda g: g["within"] / F.greatest(g["trees"] - 1, F.lit(1)))
+    return mean, F.when(n >= 2, F.sqrt(F.greatest(between - noise, F.lit(0.0))))
 
-def _spread(values: list[Column]) -> Column:
-    """K3: standard error from the variance between group means; needs two groups."""
-    mean = _mean(values)
-    squares = [(v - mean) * (v - mean) for v in values]
-    variance = _mean(squares)
-    two = sum((F.when(v.isNotNull(), 1).otherwise(0) for v in values), F.lit(0)) >= 2
-    return F.when(two, F.sqrt(F.greatest(variance, F.lit(0.0))))
+
+def tree_estimates(df: DataFrame, by: list[str], group: str, value: str) -> DataFrame:
+    """K2/K3 from a table of single trees' predictions: ``pred``, ``se`` and their two variances.
+
+    ``between`` is the variance of the groups' means, ``noise`` the part of it that trees within
+    groups account for; ``se`` is the root of the difference, floored at 0, NULL for one group.
+    Two aggregations that combine before their shuffles.
+    """
+    per_group = df.where(F.col(value).isNotNull()).groupBy(*by, group).agg(
+        F.avg(value).alias("_m"), F.var_pop(value).alias("_w"), F.count(value).alias("_k")
+    )
+    noise = F.avg(F.col("_w") / F.greatest(F.col("_k") - 1, F.lit(1)))
+    out = per_group.groupBy(*by).agg(
+        F.avg("_m").alias("pred"),
+        F.var_pop("_m").alias("between"),
+        noise.alias("noise"),
+        F.count(F.lit(1)).alias("_g"),
+    )
+    spread = F.sqrt(F.greatest(F.col("between") - F.col("noise"), F.lit(0.0)))
+    return out.select(*by, "pred", F.when(F.col("_g") >= 2, spread).alias("se"), "between", "noise")
 
 
 def cluster_forest(
@@ -240,7 +390,8 @@ def split_importance(
 
 
 def saved_nodes(spark: SparkSession, path: str, year: int, groups: int) -> DataFrame:
-    """Node table of a saved year of forests, in the shape :func:`split_importance` wants."""
+    """Node table of a saved year of forests, in the shape :func:`split_importance` wants, with
+    thresholds and values."""
     parts = []
     for g in range(groups):
         data = spark.read.parquet(f"{path}/year={year}/group={g}/data")
@@ -248,10 +399,13 @@ def saved_nodes(spark: SparkSession, path: str, year: int, groups: int) -> DataF
         parts.append(
             data.select(
                 F.concat_ws("/", F.lit(g), "treeID").alias("tree"),
+                F.lit(g).alias("grp"),
                 n["id"].alias("node"),
                 n["leftChild"].alias("left"),
                 n["rightChild"].alias("right"),
                 n["split"]["featureIndex"].alias("feature"),
+                F.get(n["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+                n["prediction"].alias("value"),
             )
         )
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -3,14 +3,16 @@
 A polygon table has one row per ring: ``(poly_id, ring ARRAY<STRUCT<x, y>>)``, rings not closed.
 Several rings may share a ``poly_id``: parts, or holes (for areas, holes run clockwise).
 
-Tiles turn every spatial question into an equi-join on ``(tx, ty)``. A tile that no edge touches is
-decided once, so points in it need no geometry at all; a tile on a boundary carries only the edges of
-its own row of tiles. Points are therefore never compared with whole polygons.
+Tiles turn every spatial question into an equi-join on ``(tx, ty)``. A tile knows whether its lower
+left corner lies inside and carries only the edges that reach into it. A point is inside if that
+differs an odd number of times along the way from the corner up the left border and across to the
+point, which never leaves the tile. Points are therefore never compared with whole polygons, and a
+tile without edges needs no geometry at all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import grid
 from .joins import keyed_join
@@ -31,41 +33,114 @@ def _span(low: Column, high: Column, tile: float) -> Column:
     return F.sequence(F.floor(low / tile), F.floor(high / tile))
 
 
-def _odd(edges: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule with half-open edges: shared borders belong to exactly one side."""
+# One sign decides on which side of an edge a point lies, both for lines across and for lines
+# upward. Points count as moved a little to the right and far less upward, so that a vertex or an
+# edge on a line lies on exactly one side of it and rounding can never make two answers disagree.
 
-    def crosses(e: Column) -> Column:
-        spans = (e["y1"] <= y) != (e["y2"] <= y)
-        at = (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
-        return F.when(spans, x < at).otherwise(False)
 
-    return F.size(F.filter(edges, crosses)) % 2 == 1
+def _spans_y(e: Column, y: Column) -> Column:
+    return (e["y1"] <= y) != (e["y2"] <= y)
 
 
-def polygon_tiles(polygons: DataFrame, tile: float = TILE, poly_id: str = "poly_id") -> DataFrame:
-    """``(poly_id, tx, ty, edges)``: NULL edges mean the whole tile lies inside."""
-    edges = edges_of(polygons, poly_id).withColumn(
+def _spans_x(e: Column, x: Column) -> Column:
+    return (e["x1"] <= x) != (e["x2"] <= x)
+
+
+def _turn(e: Column, x: Column, y: Column) -> Column:
+    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
+
+
+def _is_left(e: Column, x: Column, y: Column) -> Column:
+    """Does an edge that spans ``y`` cross that line at or left of ``x``?"""
+    by_sign = F.when(e["y2"] > e["y1"], _turn(e, x, y) <= 0).otherwise(_turn(e, x, y) >= 0)
+    return (
+        F.when((e["x1"] <= x) & (e["x2"] <= x), True)
+        .when((e["x1"] > x) & (e["x2"] > x), False)
+        .otherwise(by_sign)
+    )
+
+
+def _is_below(e: Column, x: Column, y: Column) -> Column:
+    """Does an edge that spans ``x`` cross that line at or below ``y``?"""
+    rising = (e["x2"] > e["x1"]) == (e["y2"] > e["y1"])
+    left = F.when(e["y2"] > e["y1"], _turn(e, x, y) <= 0).otherwise(_turn(e, x, y) >= 0)
+    return (
+        F.when((e["y1"] <= y) & (e["y2"] <= y), True)
+        .when((e["y1"] > y) & (e["y2"] > y), False)
+        .otherwise(rising != left)
+    )
+
+
+def _tiled_edges(edges: DataFrame, tile: float) -> DataFrame:
+    """One row per edge and tile that it reaches into; a long slanted edge meets few tiles."""
+    rows = edges.withColumn(
         "ty", F.explode(_span(F.least("y1", "y2"), F.greatest("y1", "y2"), tile))
     )
-    strips = edges.groupBy(poly_id, "ty").agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
-        F.min(F.least("x1", "x2")).alias("_lo"),
-        F.max(F.greatest("x1", "x2")).alias("_hi"),
+    slope = F.try_divide(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    low = F.greatest(F.col("ty") * tile, F.least("y1", "y2"))
+    high = F.least((F.col("ty") + 1) * tile, F.greatest("y1", "y2"))
+    at_low, at_high = (F.col("x1") + slope * (y - F.col("y1")) for y in (low, high))
+    flat = F.col("y1") == F.col("y2")
+    left = F.when(flat, F.least("x1", "x2")).otherwise(F.least(at_low, at_high))
+    right = F.when(flat, F.greatest("x1", "x2")).otherwise(F.greatest(at_low, at_high))
+    # A tile too many does no harm, one too few would.
+    spare = tile * 1e-6
+    return rows.withColumn("tx", F.explode(_span(left - spare, right + spare, tile)))
+
+
+def inside_corners(edges: DataFrame, tile: float, poly_id: str = "poly_id") -> DataFrame:
+    """``(poly_id, tx, ty)`` of the tiles whose lower left corner lies in the polygon.
+
+    On each line of corners, the places where edges cross it come in pairs of entering and leaving.
+    """
+    lines = edges.withColumn(
+        "ty", F.explode(_span(F.least("y1", "y2"), F.greatest("y1", "y2"), tile))
     )
-    touched = (
-        edges.withColumn("tx", F.explode(_span(F.least("x1", "x2"), F.greatest("x1", "x2"), tile)))
-        .select(poly_id, "tx", "ty", F.lit(True).alias("_touched"))
-        .distinct()
+    e = F.struct("x1", "y1", "x2", "y2")
+    y = F.col("ty") * tile
+    lines = lines.where(_spans_y(e, y))
+    at = F.col("x1") + (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1"))
+    near = F.ceil(at / tile)
+    # The first corner right of the crossing, by the same sign that points are judged by.
+    first = (
+        F.when(_is_left(e, (near - 1) * tile, y), near - 1)
+        .when(_is_left(e, near * tile, y), near)
+        .otherwise(near + 1)
     )
-    tiles = strips.withColumn("tx", F.explode(_span(F.col("_lo"), F.col("_hi"), tile))).join(
-        touched, [poly_id, "tx", "ty"], "left"
+    crossings = lines.select(poly_id, "ty", first.alias("first")).groupBy(poly_id, "ty", "first").count()
+    along = Window.partitionBy(poly_id, "ty").orderBy("first")
+    odd = F.sum("count").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)) % 2 == 1
+    runs = crossings.select(poly_id, "ty", "first", F.lead("first").over(along).alias("after"), odd.alias("odd"))
+    # The last of a line's crossings always leaves.
+    runs = runs.where("odd AND after IS NOT NULL")
+    return runs.select(poly_id, "ty", F.explode(F.sequence("first", F.col("after") - 1)).alias("tx"))
+
+
+def polygon_tiles(polygons: DataFrame, tile: float = TILE, poly_id: str = "poly_id") -> DataFrame:
+    """``(poly_id, tx, ty, corner, edges)``: is the lower left corner inside, and the tile's own
+    edges; NULL where there are none and the whole tile lies inside."""
+    edges = edges_of(polygons, poly_id)
+    own = _tiled_edges(edges, tile).groupBy(poly_id, "tx", "ty").agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")
     )
-    inside = _odd(F.col("edges"), (F.col("tx") + 0.5) * tile, (F.col("ty") + 0.5) * tile)
-    return tiles.where(F.col("_touched") | inside).select(
-        poly_id, "tx", "ty", F.when(F.col("_touched"), F.col("edges")).alias("edges")
+    corners = inside_corners(edges, tile, poly_id).withColumn("corner", F.lit(True))
+    return own.join(corners, [poly_id, "tx", "ty"], "full").withColumn(
+        "corner", F.coalesce("corner", F.lit(False))
     )
 
 
+def _inside_tile(corner: Column, edges: Column, x: Column, y: Column, tile: float) -> Column:
+    """From the lower left corner up to the height of the point, then across to it."""
+    left, bottom = F.floor(x / tile) * tile, F.floor(y / tile) * tile
+
+    def passed(e: Column) -> Column:
+        up = _spans_x(e, left) & (_is_below(e, left, bottom) != _is_below(e, left, y))
+        across = _spans_y(e, y) & (_is_left(e, left, y) != _is_left(e, x, y))
+        return up != across
+
+    return corner != (F.size(F.filter(edges, passed)) % 2 == 1)
+
+
 def polygon_hits(
     points: DataFrame,
     polygons: DataFrame,
@@ -81,7 +156,10 @@ def polygon_hits(
     )
     return (
         spots.join(tiles, ["tx", "ty"])
-        .where(F.col("edges").isNull() | _odd(F.col("edges"), F.col(x), F.col(y)))
+        .where(
+            F.col("edges").isNull()
+            | _inside_tile(F.col("corner"), F.col("edges"), F.col(x), F.col(y), tile)
+        )
         .groupBy(x, y)
         .agg(F.min(poly_id).alias(poly_id))
     )
@@ -113,14 +191,16 @@ def cells_touching(
     """Cells whose hexagon shares at least a point with any polygon.
 
     True when a corner lies in a polygon, a polygon vertex lies in the hexagon, or edges cross.
+    Edges meet in tiles about as large as a hexagon, so that few of them share one.
     """
+    small = min(tile, 2 * grid.side(res))
     hexes = cells.select(cell).distinct().withColumn("ring", grid.boundary(F.col(cell), res))
     corners = hexes.select(cell, F.explode("ring").alias("p")).select(cell, "p.x", "p.y")
     by_corner = within_boundary(corners, polygons, tile=tile).select(cell)
     vertices = polygons.select(F.explode("ring").alias("p")).select("p.x", "p.y")
     by_vertex = grid.add_cell(vertices, "x", "y", res, cell).select(cell)
-    ours = _tiled_edges(edges_of(hexes, cell), tile)
-    theirs = _tiled_edges(edges_of(polygons), tile).select(
+    ours = _tiled_edges(edges_of(hexes, cell), small)
+    theirs = _tiled_edges(edges_of(polygons), small).select(
         "tx", "ty", *[F.col(c).alias(f"o{c}") for c in ("x1", "y1", "x2", "y2")]
     )
     by_crossing = ours.join(theirs, ["tx", "ty"]).where(_segments_meet()).select(cell)
@@ -128,12 +208,6 @@ def cells_touching(
     return cells.join(touching, cell, "left_semi")
 
 
-def _tiled_edges(edges: DataFrame, tile: float) -> DataFrame:
-    return edges.withColumn(
-        "tx", F.explode(_span(F.least("x1", "x2"), F.greatest("x1", "x2"), tile))
-    ).withColumn("ty", F.explode(_span(F.least("y1", "y2"), F.greatest("y1", "y2"), tile)))
-
-
 def _segments_meet() -> Column:
     def side(ax, ay, bx, by, px, py):
         a = [F.col(c) for c in (ax, ay, bx, by, px, py)]

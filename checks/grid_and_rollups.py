@@ -300,6 +300,39 @@ def point_in_polygon(spark, sf):
     return polygons.spatial_join_pip(points, rectangle(bind(spark, sf, "county"))).select("site_id", "poly_id")
 
 
+# Five corners per county, one of them a notch; no edge is parallel to an axis.
+_NOTCHED = [
+    ("xmin + 100000", "ymin"), ("xmax", "ymin + 200000"), ("xmax - 150000", "ymax"),
+    ("xmin", "ymax - 120000"), ("xmin + 300000", "ymin + 250000"),
+]
+
+
+def _crossings(x: str, y: str) -> str:
+    """SQL: how many edges of the notched county lie to the right of a point."""
+    terms = []
+    for (ax, ay), (bx, by) in zip(_NOTCHED, _NOTCHED[1:] + _NOTCHED[:1], strict=True):
+        at = f"(({bx}) - ({ax})) * ({y} - ({ay})) / (({by}) - ({ay})) + ({ax})"
+        terms.append(f"CASE WHEN (({ay}) <= {y}) <> (({by}) <= {y}) AND {x} < {at} THEN 1 ELSE 0 END")
+    return " + ".join(terms)
+
+
+def notched(df):
+    ring = F.array(*[F.struct(F.expr(a).alias("x"), F.expr(b).alias("y")) for a, b in _NOTCHED])
+    return df.withColumn("ring", ring)
+
+
+@query(
+    "point_in_slanted_polygon",
+    f"""WITH {ctes('site', 'county')}, s AS (SELECT site_id, x + 777 AS x, y - 333 AS y FROM site)
+        SELECT site_id, poly_id FROM s LEFT JOIN county ON x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax
+          AND ({_crossings('x', 'y')}) % 2 = 1""",
+)
+def point_in_slanted_polygon(spark, sf):
+    """Polygons with slanted edges and a notch."""
+    points = bind(spark, sf, "site").selectExpr("site_id", "x + 777 AS x", "y - 333 AS y")
+    return polygons.spatial_join_pip(points, notched(bind(spark, sf, "county"))).select("site_id", "poly_id")
+
+
 @query(
     "points_within_boundary",
     f"""WITH {ctes('site', 'county')} SELECT site_id FROM (SELECT site_id, x - 700000 AS x, y + 900000 AS y FROM site) s

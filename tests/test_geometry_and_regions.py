@@ -68,6 +68,40 @@ def test_compacting_over_more_levels_than_one_step(spark):
     assert grid.compact(fine.limit(0), "fine", 8).count() == 0
 
 
+def test_tiles_carry_their_own_edges_only(spark):
+    """Many-cornered rings with a hole, corners on tile corners and edges along tile borders."""
+    rnd = random.Random(9)
+    ragged = star(500.0, 500.0, 400, 1)
+    shapes = [
+        ("a", [(500.0 + (x - 500) / 1000, 500.0 + (y - 500) / 1000) for x, y in ragged]),
+        ("b", [(1000.0, 0.0), (1600.0, 0.0), (1600.0, 600.0), (1000.0, 600.0)]),
+        ("b", [(1100.0, 100.0), (1100.0, 500.0), (1500.0, 500.0), (1500.0, 100.0)]),
+        ("c", [(0.0, -900.0), (900.0, 0.0), (0.0, 0.0)]),
+        ("d", [(2000.0, 0.0), (2300.0, 300.0), (2600.0, 0.0), (2300.0, -300.0)]),
+    ]
+    table = spark.createDataFrame([(k, [{"x": x, "y": y} for x, y in r]) for k, r in shapes], "poly_id string, ring array<struct<x:double,y:double>>")
+    places = [(rnd.uniform(-50, 2700), rnd.uniform(-950, 950)) for _ in range(2500)]
+    places += [(100.0 * i, 100.0 * j) for i in range(28) for j in range(-9, 10)]  # tile corners
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], "id long, x double, y double")
+    edges = {k: [] for k, _ in shapes}
+    for k, r in shapes:
+        edges[k] += list(zip(r, r[1:] + r[:1]))
+
+    def holds(k, x, y):
+        odd = False
+        for (ax, ay), (bx, by) in edges[k]:
+            if (ay <= y) != (by <= y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+                odd = not odd
+        return odd
+
+    want = {i: min((k for k in edges if holds(k, x, y)), default=None) for i, (x, y) in enumerate(places)}
+    for tile in (100.0, 37.0, 5000.0):
+        got = {r.id: r.poly_id for r in polygons.spatial_join_pip(points, table, tile=tile).collect()}
+        assert got == want
+    tiles = polygons.polygon_tiles(table, 100.0).where("poly_id = 'a'")
+    assert tiles.agg(F.sum(F.size("edges"))).first()[0] < 3 * 400 and tiles.agg(F.max(F.size("edges"))).first()[0] < 120
+
+
 def test_missing_point_has_no_cell(spark):
     row = spark.sql("SELECT CAST(NULL AS DOUBLE) AS x, 1D AS y")
     assert grid.add_cell(row, "x", "y", 8).head().cell is None
