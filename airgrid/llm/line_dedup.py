@@ -62,7 +62,7 @@ def _half_holes(lines: DataFrame, min_chars: int) -> DataFrame:
         of = size if own else size - 1
         middle = F.floor(of / 2).cast("int")
         for half, (start, end) in enumerate(((F.lit(0), middle), (middle, of))):
-            key = F.when(of >= min_chars, _outside(F.col("line"), of, start, end))
+            key = F.when(of >= max(min_chars, 1), _outside(F.col("line"), of, start, end))
             holes.append(F.struct(key.alias("key"), F.lit(own).alias("own"), F.lit(half).alias("half")))
     return (
         lines.select("id", F.explode(F.array(*holes)).alias("h"))
@@ -165,12 +165,12 @@ def near_earlier(lines: DataFrame, min_chars: int) -> DataFrame:
     return checked.groupBy("id").agg(F.min("kept_at").alias("kept_at"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 0) -> DataFrame:
     """`docs` with repeated lines taken out of text, plus n_lines and n_dropped.
 
     A line goes if an earlier line of the corpus is equal to it apart from white space at its ends
-    or, where the shorter of the two has at least `min_chars` characters, is one inserted, deleted
-    or replaced character away. Earlier means: smaller doc_id (null ids last), then the text's
+    or is one inserted, deleted or replaced character away (with `min_chars`, only where the
+    shorter of the two has at least so many characters). Earlier means: smaller doc_id (null ids last), then the text's
     hash, then the line's place. A line that goes itself still makes later lines go. Blank lines
     always stay. A null text stays null and counts no lines; documents are never removed, a
     document without remaining lines has an empty text. Rows equal in doc_id and text are one

@@ -141,7 +141,7 @@ halves AS (
   SELECT line, place, len(line) = size AS own, size, half,
          CASE half WHEN 0 THEN right(line, size - size // 2) ELSE left(line, size // 2) END AS piece
   FROM (SELECT *, unnest([len(line), len(line) - 1]) AS size FROM firsts), (VALUES (0), (1)) AS h(half)
-  WHERE size >= 16),
+  WHERE size >= 1),
 pairs AS (
   SELECT DISTINCT a.line AS a, a.place AS a_place, b.line AS b, b.place AS b_place, b.own AS same_size
   FROM halves a JOIN halves b USING (size, half, piece) WHERE a.own AND a.line <> b.line),

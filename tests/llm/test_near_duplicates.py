@@ -198,19 +198,23 @@ def test_lines_equal_brute_force(spark):
     rows += [(300, ""), (301, None), (302, "\n\n")]
     docs = spark.createDataFrame(rows, DOCS).repartition(4)
     docs = docs.withColumns({"id": F.lit(1), "at": F.lit("x"), "line": F.lit("y"), "n_lines": F.lit(9)})
-    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in dedup_lines(docs, min_chars=10).collect()}
-    want = brute_lines(rows, range(len(rows)), 10)
-    assert got == {rows[i][0]: w for i, w in want.items()}
+    for least in (0, 10):
+        got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in dedup_lines(docs, min_chars=least).collect()}
+        want = brute_lines(rows, range(len(rows)), least)
+        assert got == {rows[i][0]: w for i, w in want.items()}
 
 
 def test_line_edge_cases(spark):
     assert dedup_lines(spark.createDataFrame([], DOCS)).count() == 0
-    rows = [(5, "one line of text here\nx"), (5, "one line of text here\nx"), (None, "x\ny"), (7, "x")]
+    rows = [(5, "one line of text here\nx"), (5, "one line of text here\nx"), (None, "x\nlong"), (7, "y")]
     got = dedup_lines(spark.createDataFrame(rows, DOCS)).collect()
     # Equal rows are one document, and ids that are null come last.
     assert sorted((repr(r.doc_id), r.text) for r in got) == sorted(
-        [("5", rows[0][1]), ("5", rows[0][1]), ("None", "y"), ("7", "")]
+        [("5", rows[0][1]), ("5", rows[0][1]), ("None", "long"), ("7", "")]
     )
+    short = [(1, "Short heading"), (2, "Short headin"), (3, "Short headingg"), (4, "ab"), (5, "b"), (6, "c")]
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(short, DOCS)).collect()}
+    assert got == {1: "Short heading", 2: "", 3: "", 4: "ab", 5: "", 6: ""}
     long = "\n".join(f"line {i} of a very long document, {'x' * (i % 50)}" for i in range(3000))
     got = dedup_lines(spark.createDataFrame([(1, long), (2, long)], DOCS), min_chars=10**6).collect()
     by_id = {r.doc_id: r for r in got}
