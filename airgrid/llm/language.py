@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import cut_lineage
@@ -69,18 +69,29 @@ def is_held_out(doc_id: Column) -> Column:
 
 def training_sample(docs: DataFrame, sample_rows: int) -> DataFrame:
     """lang and text of at most `sample_rows` documents with an id, a text and a lang that are not
-    held out: those whose ids have the least hashes, among them equal texts of a language once."""
+    held out: of every language those whose ids have the least hashes, as many of each as there are
+    until the sample is full; among them equal texts of a language once."""
     usable = docs.where(
         F.col("doc_id").isNotNull()
         & F.col("lang").isNotNull()
         & F.col("text").isNotNull()
         & ~is_held_out(F.col("doc_id"))
     )
-    # Only numbers are ordered; the texts are fetched by a join with at most sample_rows ids.
+    # Only numbers are ordered; the texts are fetched by a join with at most sample_rows ids. Every
+    # language gives its first rows before any gives its next ones, so small ones are all in.
+    in_lang = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
-        usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+        usable.select("doc_id", "lang")
+        .distinct()
+        .withColumn("place", F.row_number().over(in_lang))
+        .where(F.col("place") <= sample_rows)
+        .orderBy("place", "lang")
+        .limit(sample_rows)
+        .select("doc_id", "lang")
+    )
+    picked = usable.select("doc_id", "lang", "text").join(
+        F.broadcast(chosen), ["doc_id", "lang"], "left_semi"
     )
-    picked = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
     return (
         picked.groupBy("lang", F.xxhash64("text").alias("h"))
         .agg(F.first("text").alias("text"))
@@ -99,7 +110,8 @@ def fit_languages(
     """Count words and n-grams of a bounded sample in Spark and keep the most frequent ones.
 
     The model holds at most `max_words` words and `max_grams` n-grams of every order, whatever the
-    size of the corpus. Without any usable document it knows no language.
+    size of the corpus; each language keeps its own most frequent ones, an equal share of that (ties:
+    the least in code-point order). Without any usable document it knows no language.
     """
     sample = training_sample(docs, sample_rows)
 
@@ -129,7 +141,7 @@ def fit_languages(
     counts = sample.mapInArrow(count, "lang string, n int, gram string, times long")
     by_lang = counts.groupBy("n", "gram", "lang").agg(F.sum("times").alias("times"))
     per_gram = by_lang.groupBy("n", "gram").agg(
-        F.sum("times").alias("all"), F.collect_list(F.struct("lang", "times")).alias("langs")
+        F.collect_list(F.struct("lang", "times")).alias("langs")
     )
     per_gram = cut_lineage(per_gram)
     sums = per_gram.select("n", F.explode("langs").alias("l")).groupBy("n", "l.lang").agg(
@@ -145,10 +157,22 @@ def fit_languages(
         return F.coalesce(mine["times"], F.lit(0)).cast("double")
 
     counted = [times_in(lang).alias(f"_{i}") for i, lang in enumerate(languages)]
+    by_times = Window.partitionBy("n", "lang").orderBy(F.desc("times"), "gram")
+    share = F.when(F.col("n") == 0, max(1, max_words // max(1, len(languages)))).otherwise(
+        max(1, max_grams // max(1, len(languages)))
+    )
+    chosen = (
+        per_gram.select("n", "gram", F.explode("langs").alias("l"))
+        .select("n", "gram", "l.lang", "l.times")
+        .withColumn("place", F.row_number().over(by_times))
+        .where(F.col("place") <= share)
+        .select("n", "gram")
+        .distinct()
+    )
+    per_gram = cut_lineage(per_gram.join(chosen, ["n", "gram"], "left_semi"))
     for n in (0, *orders):
-        top = per_gram.where(F.col("n") == n).orderBy(F.desc("all"), "gram")
         # Columnar, one number per language: a row object for each would be several times as large.
-        kept = top.limit(max_grams if n else max_words).select("gram", *counted).toArrow()
+        kept = per_gram.where(F.col("n") == n).orderBy("gram").select("gram", *counted).toArrow()
         names[n] = kept.column(0).to_pylist()
         times = np.empty((len(names[n]), len(languages)))
         for i in range(len(languages)):

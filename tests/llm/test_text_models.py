@@ -1,8 +1,11 @@
+import math
 import random
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from airgrid.llm import language, toxicity
@@ -139,8 +142,60 @@ def test_unknown_words_fall_back_to_shorter_grams(spark):
         if n == 1:
             rows = [model.scores[1][model.names[1].index(g)] for g in ("^", "b", "$")]
         assert np.allclose(model.word_score(word), np.mean(rows, axis=0)), word
-    counts = Counter({"x": 64, "y": 16})
-    del counts
+
+
+def plain_languages(rows, orders=(5, 4, 3, 2, 1), smooth=0.5):
+    """Languages, and a function from a text to (language, score), from plain dictionaries."""
+    texts = {(lang, text) for i, text, lang in rows if i is not None and text is not None and lang is not None and zlib.crc32(str(i).encode()) % 5}
+    words = lambda text: re.findall(r"[^\W\d_]+", text.lower())
+    grams = lambda word, n: [f"^{word}$"[i : i + n] for i in range(len(word) + 3 - n)]
+    counts = {n: Counter() for n in (0, *orders)}
+    for lang, text in texts:
+        for word in words(text):
+            counts[0][word, lang] += 1
+            for n in orders:
+                counts[n].update((g, lang) for g in grams(word, n))
+    languages = sorted({lang for _, lang in counts[0]})
+    known = {n: {g for g, _ in c} for n, c in counts.items()}
+    size = {(n, lang): sum(v for (_, of), v in c.items() if of == lang) for n, c in counts.items() for lang in languages}
+
+    def logs(n, gram):
+        return [math.log((counts[n][gram, lang] + smooth) / (size[n, lang] + smooth * (len(known[n]) + 1))) for lang in languages]
+
+    def of(text):
+        total, said = [0.0] * len(languages), words(text or "")
+        if not said or not languages:
+            return "und", 0.0
+        for word in said:
+            if word in known[0]:
+                found = [logs(0, word)]
+            else:
+                found = next((x for n in orders if (x := [logs(n, g) for g in grams(word, n) if g in known[n]])), [])
+            for i in range(len(languages) if found else 0):
+                total[i] += sum(f[i] for f in found) / len(found)
+        best = max(range(len(languages)), key=lambda i: (total[i], -i))
+        return languages[best], 1 / sum(math.exp(t - total[best]) for t in total)
+
+    return of
+
+
+def test_predictions_equal_plain_counting(spark):
+    rows = language_corpus(120) + [(900, "aaa zzz", "aa"), (901, "zzz aaa", "bb"), (902, "schugen ing " * 3000, None)]
+    rows += rows[:4] + [(903, "", "cc"), (904, None, "cc"), (905, "Ünd 12", None)]  # repeated rows; a tie; a long text
+    docs = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit("x") for c in ("place", "n", "gram", "times", "held_out")})
+    of = plain_languages(rows)
+    got = predict_language(docs.repartition(3), fit_languages(docs)).collect()
+    assert len(got) == len(rows)
+    texts = {i: text for i, text, _ in rows}
+    for r in got:
+        lang, score = of(texts[r.doc_id])
+        assert r.lang_pred == lang and r.score == pytest.approx(score, rel=1e-6), r
+
+
+def test_small_languages_are_learned(spark):
+    rows = [(i, f"die schule{i % 7}", "de") for i in range(3000)] + [(9000 + i, "école verte", "fr") for i in range(6)]
+    model = fit_languages(spark.createDataFrame(rows, DOCS), sample_rows=20, max_words=4, max_grams=40)
+    assert model.languages == ["de", "fr"] and {"école", "verte"} <= set(model.names[0]) and len(model.names[0]) <= 4
 
 
 def test_language_without_rows(spark):
