@@ -118,5 +118,7 @@ def grid_cover(boundary: DataFrame, coarse: int = 2, fine: int = 8) -> DataFrame
         F.max(F.array_max(ys)).alias("ymax"),
     )
     scan = grid.cells_over_box(box, "xmin", "xmax", "ymin", "ymax", coarse).select("cell")
-    covering = cells_touching(scan, boundary, "cell", coarse)
+    # Few rows here become very many, so they are spread first.
+    parts = int(boundary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    covering = cells_touching(scan, boundary, "cell", coarse).repartition(parts, "cell")
     return grid.compact(grid.explode_children(covering, "cell", coarse, fine, "fine"), "fine", fine)
