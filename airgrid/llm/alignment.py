@@ -16,9 +16,12 @@ to every task; the others are joined by shuffle, where no pair is common enough
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+from array import array
 from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,11 @@ from pyspark.sql import functions as F
 
 from .tables import cut_lineage
 
+# The usual pattern of byte-level vocabularies, a fixed value.
+PATTERN = (
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+)
+
 
 def gallop(ends: Sequence[int], target: int, start: int) -> int:
     """The least index from `start` on at which ends[index] >= target; len(ends) if there is none."""
@@ -46,105 +54,146 @@ def common_ends(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     short, long = (a, b) if len(a) <= len(b) else (b, a)
     out, at = [], 0
     for i, end in enumerate(short):
-        at = gallop(long, end, at)
-        if at == len(long):
-            break
-        if long[at] == end:
+        if long[at] < end:
+            at = gallop(long, end, at + 1)
+        if at < len(long) and long[at] == end:
             at += 1
             out.append((i + 1, at))
+        if at == len(long):
+            break
     return out if short is a else [(y, x) for x, y in out]
 
 
 def linked_ids(a: Sequence[int], b: Sequence[int], width: int) -> tuple[list[int], list[int]]:
-    """Packed pairs `a * width + b` of a group's ids, each once, and how many links each stands for."""
-    if len(a) == 1 == len(b):
-        return [a[0] * width + b[0]], [1]
+    """Packed pairs `a * width + b` of a group's ids and how many links each entry stands for; in
+    a large group every pair has one entry."""
+    if len(a) * len(b) <= 64:
+        pairs = [x * width + y for x in a for y in b]
+        return pairs, [1] * len(pairs)
     a_ids, a_times = np.unique(np.asarray(a, np.int64), return_counts=True)
     b_ids, b_times = np.unique(np.asarray(b, np.int64), return_counts=True)
     pairs = (a_ids[:, None] * width + b_ids).reshape(-1)
     return pairs.tolist(), np.outer(a_times, b_times).reshape(-1).tolist()
 
 
+def byte_level_encoder(path: str) -> tuple[Callable[[str], list[int]], list[bytes]]:
+    """How to encode a text by a byte-level vocabulary file, and the bytes of its entries by id.
+
+    Strings of special tokens are ordinary text. Merges that make entries in the order of their
+    ids, under the usual pattern, are done by the faster of two libraries.
+    """
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    # Byte-level entries show printable bytes as themselves, the rest from 256 on.
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    special = {t["content"] for t in described["added_tokens"]}
+    entries = {e: i for e, i in described["model"]["vocab"].items() if e not in special}
+    spelled = [b""] * (1 + max(entries.values()))
+    for entry, i in entries.items():
+        spelled[i] = bytes(byte_of[c] for c in entry)
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in described["model"]["merges"]]
+    made = [entries["".join(m)] for m in pairs]
+    before, model = described["pre_tokenizer"], described["model"]
+    plain = described["normalizer"] is None and before["type"] == "ByteLevel" and before["use_regex"]
+    plain = plain and not before["add_prefix_space"] and not model.get("ignore_merges")
+    if plain and made == sorted(set(made)) and sorted({*range(256), *made}) == sorted(entries.values()):
+        import tiktoken
+
+        ranks = {spelled[i]: i for i in entries.values()}
+        return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, spelled
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids, spelled
+
+
 class Aligner:
-    """Aligned segments, remembered up to `limit` of them. One per Python worker."""
+    """Aligned segments, remembered up to `limit` of them. One per Python worker.
+
+    A text is cut in front of white space that no piece holds (a space only starts pieces) and
+    between a letter and a mark that no piece holds next to each other; the byte-level vocabulary's
+    pattern starts a new word at all these places too.
+    """
 
-    def __init__(self, byte_level: str, pieces: str, limit: int = 120_000):
+    LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+    MARKS = '.,;:!?)"'  # no apostrophe: the pattern keeps some words with theirs
+
+    def __init__(self, byte_level: str, pieces: str, limit: int = 100_000):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(byte_level)
-        self.a.encode_special_tokens = True  # their strings are ordinary text
+        self.encode_a, self.a_bytes = byte_level_encoder(byte_level)
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        # Byte-level entries show printable bytes as themselves, the rest from 256 on.
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in shown]
-        byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-        self.a_bytes = {
-            i: bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode()
-            for entry, i in self.a.get_vocab(with_added_tokens=False).items()
-        }
         spelled = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        is_byte = [self.b.is_byte(i) for i in range(len(spelled))]
         self.b_bytes = [
-            bytes([int(p[3:5], 16)])
-            if self.b.is_byte(i)
-            else p.replace("▁", " ").encode("utf-8", "surrogatepass")
-            for i, p in enumerate(spelled)
+            bytes([int(p[3:5], 16)]) if byte else p.replace("▁", " ").encode("utf-8", "surrogatepass")
+            for p, byte in zip(spelled, is_byte, strict=True)
         ]
-        self.space = self.b.piece_to_id("▁")
-        self.width = self.b.get_piece_size()
-        # White space inside pieces may join its neighbours, so no cut is made in front of it. A
-        # space (the mark) joins what follows it, never what stands before.
-        inner = {c for p in spelled for c in p if c.isspace()}
-        joined = any("▁" in p.lstrip("▁") for p in spelled)
-        kept = "".join(map(re.escape, sorted(inner | ({" "} if joined else set()))))
-        # ASCII only: both libraries agree on these white spaces.
-        free = "".join(c for c in " \n\t" if c not in kept)
-        # A segment ends where something else than white space stands before a free one.
-        cut = f"(?<=\\S)(?=[{free}])" if free else "(?!)"
-        self.segments = re.compile(cut).split
+        self.a_size = list(map(len, self.a_bytes))
+        self.space, self.width = self.b.piece_to_id("▁"), len(spelled)
+        self.numbers = list(map(str, range(max(self.width, len(self.a_bytes)))))
+        words = [p for p, byte in zip(spelled, is_byte, strict=True) if not byte]
+        held = {c for p in words for c in p if c.isspace()}
+        beside = {(x, y) for p in words for x, y in zip(p, p[1:], strict=False)}
+        # A segment that does not start with a space is encoded behind a newline of its own.
+        cuts = []
+        if "\n" not in held:
+            free = "".join(c for c in "\n\t" if c not in held)
+            if not any(x != "▁" and y == "▁" for x, y in beside):
+                free += " "
+            letter = re.compile(f"[{self.LETTERS}]").fullmatch
+            taken = {y for x, y in beside if letter(x)}
+            marks = "".join(re.escape(c) for c in self.MARKS if c not in taken)
+            cuts = [f"(?<=\\S)(?=[{free}])", *[f"(?<=[{self.LETTERS}])(?=[{marks}])"] * bool(marks)]
+        self.segments = re.compile("|".join(cuts) or "(?!)").split
         self.limit = limit
         self.known: dict[str, tuple | None] = {}
 
-    def _tokens(self, segments: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """The ids of both sides of segments that follow something, as they are inside a text."""
-        first = [e.ids for e in self.a.encode_batch(segments, add_special_tokens=False)]
-        # The piece model writes a space before every text. A segment's own space stands for it;
-        # before other white space, which no piece holds, it becomes a piece of its own.
+    def _pieces(self, segments: list[str]) -> Iterator[list[int]]:
+        """Side B's ids of segments, as they are inside a text: the piece model writes a space
+        before every text, and a segment's own space stands for it."""
         spaced = [s.startswith(" ") for s in segments]
-        second = self.b.encode(
-            [s[1:] if x else s for s, x in zip(segments, spaced, strict=True)], num_threads=1
-        )
-        for segment, ids, more, own in zip(segments, first, second, spaced, strict=True):
-            if own and len(segment) == 1:
-                more = [self.space]
-            elif not own:
-                more = more[1:]
-            yield ids, more
+        each = [s[1:] if x else "\n" + s for s, x in zip(segments, spaced, strict=True)]
+        for segment, ids, own in zip(segments, self.b.encode(each, num_threads=1), spaced, strict=True):
+            yield ([self.space] if len(segment) == 1 else ids) if own else ids[2:]
 
     def learn(self, segments: set[str]) -> None:
-        """Remember segments: n_a, n_b, groups as text, packed pairs and their links as bytes; None
-        where the tokens' bytes are not the segment's."""
+        """Remember segments: n_a, n_b, groups as text, packed pairs as bytes and their links as
+        bytes, or none if all are one; None where the tokens' bytes are not the segment's."""
         new = [s for s in segments if s not in self.known]
         if len(self.known) + len(new) > self.limit:
             self.known.clear()
             new = list(segments)
-        for segment, (ids, more) in zip(new, self._tokens(new), strict=True):
-            self.known[segment] = self._aligned(segment.encode("utf-8", "surrogatepass"), ids, more)
-
-    def _aligned(self, spelled: bytes, ids: list[int], more: list[int]) -> tuple | None:
-        a_bytes, b_bytes = [self.a_bytes[i] for i in ids], [self.b_bytes[i] for i in more]
-        if b"".join(a_bytes) != spelled or b"".join(b_bytes) != spelled:
+        for segment, more in zip(new, self._pieces(new), strict=True):
+            self.known[segment] = self._aligned(segment, self.encode_a(segment), more)
+
+    def _aligned(self, segment: str, ids: list[int], more: list[int]) -> tuple | None:
+        spelled = segment.encode("utf-8", "surrogatepass")
+        b_bytes = [self.b_bytes[i] for i in more]
+        a_ends = list(accumulate([self.a_size[i] for i in ids]))
+        if b"".join(b_bytes) != spelled or a_ends[-1] != len(spelled):
             return None
-        a_ends, b_ends = (np.cumsum([len(x) for x in side]).tolist() for side in (a_bytes, b_bytes))
+        numbers, width, whole = self.numbers, self.width, True
         groups, pairs, times, i, j = [], [], [], 0, 0
-        for to_i, to_j in common_ends(a_ends, b_ends):
-            own, other = ids[i:to_i], more[j:to_j]
-            groups.append(f"{','.join(map(str, own))}|{','.join(map(str, other))}")
-            got = linked_ids(own, other, self.width)
-            pairs += got[0]
-            times += got[1]
+        for to_i, to_j in common_ends(a_ends, list(accumulate(map(len, b_bytes)))):
+            if to_i - i == 1 == to_j - j:
+                groups.append(f"{numbers[ids[i]]}|{numbers[more[j]]}")
+                pairs.append(ids[i] * width + more[j])
+                times.append(1)
+            else:
+                own, other = ids[i:to_i], more[j:to_j]
+                groups.append(
+                    ",".join([numbers[x] for x in own]) + "|" + ",".join([numbers[x] for x in other])
+                )
+                linked, stands_for = linked_ids(own, other, width)
+                whole = whole and len(own) * len(other) <= 64
+                pairs += linked
+                times += stands_for
             i, j = to_i, to_j
-        packed = np.array(pairs, np.int64).tobytes(), np.array(times, np.int64).tobytes()
+        packed = array("q", pairs).tobytes(), b"" if whole else array("q", times).tobytes()
         return len(ids), len(more), len(groups), ";".join(groups), *packed
 
     def align(self, segments: list[str]) -> tuple | None:
@@ -153,11 +202,15 @@ class Aligner:
         if None in parts:
             return None
         n_a, n_b, n_groups, groups, pairs, times = zip(*parts, strict=True)
-        pairs = np.frombuffer(b"".join(pairs), np.int64)
-        times = np.frombuffer(b"".join(times), np.int64)
-        pairs, at = np.unique(pairs, return_inverse=True)
-        links = np.bincount(at, times, len(pairs)).astype(np.int64)  # exact below 2 to the 53rd
-        return sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), pairs, links
+        packed = np.frombuffer(b"".join(pairs), np.int64)
+        if any(times):
+            every = [t or array("q", [1] * (len(p) // 8)).tobytes() for p, t in zip(pairs, times, strict=True)]
+            packed, at = np.unique(packed, return_inverse=True)
+            # Sums of doubles, exact below 2 to the 53rd.
+            links = np.bincount(at, np.frombuffer(b"".join(every), np.int64), len(packed)).astype(np.int64)
+        else:
+            packed, links = np.unique(packed, return_counts=True)
+        return sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), packed, links
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -194,9 +247,9 @@ def aligned_documents(
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(byte_level, pieces)
         for batch in batches:
-            # Some megabytes of text at a time, at least one document.
+            # About half a megabyte of text at a time, at least one document.
             sizes = np.nan_to_num(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
-            upto = np.cumsum(sizes + 64) // (4 << 20)
+            upto = np.cumsum(sizes + 64) // (1 << 19)
             starts = np.flatnonzero(np.diff(upto, prepend=-1))
             for at, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
                 yield of(aligner, batch.slice(at, end - at))
@@ -209,7 +262,7 @@ def aligned_documents(
             found = aligner.align(segments) if segments else None
             n_a, n_b, n_groups, groups, pairs, links = found or (0, 0, 0, "", [], [])
             digest = hashlib.sha256(groups.encode()).hexdigest() if found else ""
-            total = sum(map(int, links))
+            total = sum(links) if not found else int(links.sum())
             values = (n_a, n_b, n_groups, total, digest, pairs, links, groups)
             for column, value in zip(rows, values, strict=True):
                 column.append(value)
