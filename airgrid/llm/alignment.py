@@ -121,7 +121,7 @@ class Aligner:
     LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
     MARKS = '.,;:!?)"'  # no apostrophe: the pattern keeps some words with theirs
 
-    def __init__(self, byte_level: str, pieces: str, limit: int = 100_000):
+    def __init__(self, byte_level: str, pieces: str, limit: int = 140_000):
         import sentencepiece
 
         self.encode_a, self.a_bytes = byte_level_encoder(byte_level)
@@ -151,6 +151,7 @@ class Aligner:
         self.segments = re.compile("|".join(cuts) or "(?!)").split
         self.limit = limit
         self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
 
     def _pieces(self, segments: list[str]) -> Iterator[list[int]]:
         """Side B's ids of segments, as they are inside a text: the piece model writes a space
@@ -164,9 +165,12 @@ class Aligner:
         """Remember segments: n_a, n_b, groups as text, packed pairs as bytes and their links as
         bytes, or none if all are one; None where the tokens' bytes are not the segment's."""
         new = [s for s in segments if s not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = list(segments)
+        if len(self.known) + len(new) > self.limit // 2:
+            # What has been used since the last time stays in reach, the rest is forgotten.
+            self.older, self.known, new = self.known, {}, list(segments)
+        again = self.older.keys() & new
+        self.known.update((s, self.older[s]) for s in again)
+        new = [s for s in new if s not in again]
         for segment, more in zip(new, self._pieces(new), strict=True):
             self.known[segment] = self._aligned(segment, self.encode_a(segment), more)
 
