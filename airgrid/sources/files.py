@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.scalars import lenient_number, name_year, without_comment
 
 BAD = "_bad_record"
+ZONES = "_zones"
 
 
 def read_csv(
@@ -111,13 +112,36 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_sorted(df: DataFrame, keys: list[str], path: str, partitions: int | None = None) -> None:
-    """Range-partitioned and sorted on the keys, so that readers can skip row groups."""
+    """Range-partitioned and sorted on the keys, with a table of zones beside the files: one
+    row per file with its least and greatest first key (see :func:`read_range`)."""
     ranged = (
         df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     )
     ranged.sortWithinPartitions(*keys).write.mode("overwrite").option(
         "compression", "zstd"
     ).parquet(path)
+    # Least and greatest come from the files' own statistics or one column; names that begin with an
+    # underscore are no part of the snapshot.
+    spark, key = df.sparkSession, F.col(keys[0])
+    zones = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("rows")
+    )
+    zones.coalesce(1).write.mode("overwrite").parquet(f"{path}/{ZONES}")
+
+
+def read_range(spark: SparkSession, path: str, key: str, low: Column, high: Column) -> DataFrame:
+    """Rows of a sorted snapshot with ``low <= key <= high``.
+
+    Only files whose zone overlaps the range are opened, and the condition is pushed down to their
+    row groups. One name per such file is collected. Rows with a NULL key are in no range.
+    """
+    zones = spark.read.parquet(f"{path}/{ZONES}")
+    wanted = zones.where((F.col("low") <= high) & (F.col("high") >= low)).select("file").collect()
+    whole = spark.read.parquet(path)
+    if not wanted:
+        return whole.where(F.lit(False))
+    rows = spark.read.schema(whole.schema).parquet(*[r["file"] for r in wanted])
+    return rows.where(F.col(key).between(low, high))
 
 
 def write_partitioned(

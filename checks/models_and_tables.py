@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from airgrid.operators import forest, grid, quantiles, regions
 from airgrid.operators.nearest import split_segments
 from airgrid.plans import inventories, modelling, observations, reports, surfaces, tables
-from airgrid.session import cut_lineage
+from airgrid.session import cut_lineage, use_checkpoints
+from airgrid.sources import files
 
 from . import sqltext as q
 from .bindings import bind, ctes, rectangle, table
@@ -451,6 +455,62 @@ def feature_elimination(spark, sf):
     )
 
 
+@query(
+    "tree_spread",
+    """WITH g AS (SELECT l_suppkey, l_linenumber, avg(l_quantity) AS m, var_pop(l_quantity) AS w, count(l_quantity) AS k
+          FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY 1, 2),
+        v AS (SELECT l_suppkey, avg(m) AS pred, var_pop(m) AS between, avg(w / greatest(k - 1, 1)) AS noise, count(*) AS g FROM g GROUP BY 1)
+        SELECT l_suppkey, round(pred, 6) AS pred, round(between, 6) AS between, round(noise, 6) AS noise,
+        CASE WHEN g >= 2 THEN round(sqrt(greatest(between - noise, 0)), 4) END AS se FROM v""",
+)
+def tree_spread(spark, sf):
+    """K2, K3: mean and standard error of single trees' predictions, by both variance components.
+
+    Suppliers are the rows, line numbers the groups of trees, quantities the predictions."""
+    out = forest.tree_estimates(table(spark, sf, "lineitem"), ["l_suppkey"], "l_linenumber", "l_quantity")
+    return out.select(
+        "l_suppkey", *[F.round(c, 6).alias(c) for c in ("pred", "between", "noise")], F.round("se", 4).alias("se")
+    )
+
+
+@query(
+    "split_importance",
+    """WITH n AS (SELECT p_size % 10 AS tree, p_partkey % 6 AS f, row_number() OVER (PARTITION BY p_size % 10 ORDER BY p_partkey) AS place,
+          count(*) OVER (PARTITION BY p_size % 10) AS size FROM part),
+        s AS (SELECT CAST(floor(log2(place)) AS INT) + 1 AS depth, f // 2 AS i FROM n WHERE 2 * place < size),
+        c AS (SELECT depth, i, count(*) AS n, sum(count(*)) OVER (PARTITION BY depth) AS total FROM s WHERE depth <= 4 GROUP BY 1, 2),
+        w AS (SELECT i, sum(n / total * pow(depth, -2) / (1 + 1e0 / 4 + 1e0 / 9 + 1e0 / 16)) AS score FROM c GROUP BY 1)
+        SELECT variable, round(coalesce(score, 0), 9) AS var_imp
+        FROM (VALUES (0, 'a'), (1, 'b'), (2, 'c'), (3, 'd')) AS t(i, variable) LEFT JOIN w USING (i)""",
+)
+def split_importance(spark, sf):
+    """K8: depth-weighted counts of splits. Parts of a size are the nodes of a tree, in heap order."""
+    tree = Window.partitionBy("tree")
+    nodes = (
+        table(spark, sf, "part")
+        .select((F.col("p_size") % 10).alias("tree"), "p_partkey")
+        .withColumn("node", F.row_number().over(tree.orderBy("p_partkey")) - 1)
+        .withColumn("size", F.count(F.lit(1)).over(tree))
+    )
+    nodes = nodes.withColumns({"left": F.col("node") * 2 + 1, "right": F.col("node") * 2 + 2})
+    splits = F.when(F.col("right") < F.col("size"), F.col("p_partkey") % 6).otherwise(-1)
+    out = forest.split_importance(nodes.withColumn("feature", splits), ["a", "b", "c", "d"])
+    return out.select("variable", F.round("var_imp", 9).alias("var_imp"))
+
+
+@query(
+    "sorted_snapshot_range",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice FROM orders
+       WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-05-31'""",
+)
+def sorted_snapshot_range(spark, sf):
+    """A snapshot sorted by date, read back by a range through its table of file zones."""
+    path = f"{use_checkpoints(spark)}/orders-{uuid.uuid4().hex}"
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date"), "o_totalprice")
+    files.write_sorted(orders, ["o_orderdate"], path, partitions=24)
+    return files.read_range(spark, path, "o_orderdate", F.lit("1996-03-01").cast("date"), F.lit("1996-05-31").cast("date"))
+
+
 @query("scored_regions")
 def scored_regions(spark, sf):
     """Every fine cell and day scored with its year's model."""

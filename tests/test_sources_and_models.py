@@ -98,37 +98,6 @@ def test_forest_out_of_bag_and_scoring(spark, tmp_path):
         modelling.score_regions(spark, later, forests, out, done)
 
 
-def test_flattened_trees_predict_as_the_library_does(spark):
-    train = train_rows(spark).withColumn("b", F.when(F.col("b") != 4, F.col("b")).otherwise(float("nan")))
-    forests, _ = modelling.fit_and_predict(train, ["a", "b"], groups=3, trees=4, depth=6, bins=16)
-    rows = train.withColumn("row", F.monotonically_increasing_id()).cache()
-    # One portion for all trees, and one for every group of every year.
-    for most_bytes in (256 << 20, 1):
-        got = {r.row: r for r in forests.score(rows, oob=True, most_bytes=most_bytes).collect()}
-        assert len(got) == rows.count()
-        for year in (2019, 2020):
-            mine = forest.with_features(rows.where(F.col("year") == year), ["a", "b"])
-            trees = [[t.setFeaturesCol("_features").setPredictionCol(f"p{g}_{i}") for i, t in enumerate(m.trees)] for g, m in enumerate(forests.models[year])]
-            for group in trees:
-                for tree in group:
-                    mine = tree.transform(mine)
-            seen = [forest.kept_by_group(F.col("cell"), g, 224).alias(f"seen{g}") for g in range(3)]
-            for r in mine.select("*", *seen).collect():
-                every = [[r[f"p{g}_{i}"] for i in range(4)] for g in range(3)]
-                away = [v for g, v in enumerate(every) if not r[f"seen{g}"]]
-                for name, values in (("", every), ("_oob", away)):
-                    means = [sum(v) / 4 for v in values]
-                    pred = sum(means) / len(means) if means else None
-                    assert got[r.row][f"pred{name}"] == (pred if pred is None else pytest.approx(pred, abs=1e-12))
-                    if len(means) > 1:
-                        between = sum((m - pred) ** 2 for m in means) / len(means)
-                        noise = sum(sum((x - m) ** 2 for x in v) / 4 / 3 for v, m in zip(values, means)) / len(means)
-                        assert got[r.row][f"se{name}"] == pytest.approx(max(between - noise, 0.0) ** 0.5, abs=1e-6)
-                    else:
-                        assert got[r.row][f"se{name}"] is None
-    assert len({r.se for r in got.values()}) > 2 and 0.0 in {r.se for r in got.values()}
-
-
 def test_tree_estimates_take_off_the_scatter_within_groups(spark):
     rows = [("a", 0, 1.0), ("a", 0, 3.0), ("a", 1, 6.0), ("a", 1, 8.0), ("b", 0, 1.0), ("b", 0, 9.0), ("b", 1, 5.0), ("c", 0, 2.0), ("a", 1, None)]
     got = {r.k: r for r in forest.tree_estimates(spark.createDataFrame(rows, "k string, g int, v double"), ["k"], "g", "v").collect()}
@@ -136,6 +105,17 @@ def test_tree_estimates_take_off_the_scatter_within_groups(spark):
     assert (got["b"].between, got["b"].se, got["c"].se, got["c"].pred) == (0.0, 0.0, None, 2.0)
 
 
+def test_ranges_open_only_the_files_they_need(spark, tmp_path):
+    path = str(tmp_path / "sorted")
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"), "id").union(spark.sql("SELECT NULL, -1"))
+    files.write_sorted(rows, ["k"], path, partitions=20)
+    assert spark.read.parquet(path).count() == 5001
+    some = files.read_range(spark, path, "k", F.lit(1000), F.lit(1300))
+    assert some.exceptAll(rows.where("k BETWEEN 1000 AND 1300")).count() == 0 and some.count() == rows.where("k BETWEEN 1000 AND 1300").count()
+    assert 1 <= len(some.inputFiles()) <= 4 and len(spark.read.parquet(path).inputFiles()) >= 18
+    assert files.read_range(spark, path, "k", F.lit(9000), F.lit(9001)).count() == 0
+
+
 def test_two_ways_to_match_observations(spark):
     predicted = spark.sql("SELECT 2019 AS year, 1 AS cell, DATE '2019-01-01' AS date, 1D AS pred_oob, 1D AS se_oob, 2D AS pred_inbag, 1D AS se_inbag")
     predicted = predicted.union(predicted)
