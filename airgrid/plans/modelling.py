@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import significant
 from ..operators.forest import YearForests, cluster_forest
-from ..operators.joins import pending
+from ..session import cut_lineage
 from ..sources.files import write_partitioned
+from ..sources.worklog import finished, record_finished, unfinished
+
+# What one folder of predictions holds.
+PAIR = ["region", "year"]
 
 # The predictors kept after elimination.
 PREDICTORS = ["nearby_pm", "x", "doy", "air_2m", "nei_event", "hpbl", "y", "vwnd_10m"]
@@ -56,20 +62,30 @@ def predictions(grid_rows: DataFrame, forests: YearForests, digits: int = 8) ->
 
 def score_regions(
     spark: SparkSession,
-    grid_rows: DataFrame,
+    wanted: DataFrame,
+    grid_of: Callable[[DataFrame], DataFrame],
     forests: YearForests,
     path: str,
-    done: DataFrame,
     force: bool = False,
-) -> None:
-    """Score the unfinished (region, year) pairs and write one folder per pair.
+) -> DataFrame:
+    """Score the unfinished ones of the ``wanted`` (region, year) pairs, one folder per pair.
+
+    What is finished is read from the manifest beside the output. ``grid_of`` gets the pairs that
+    are left and returns their grid rows, so the grid of finished pairs is never built; the manifest
+    grows only after the pairs' folders are complete. Returns the pairs scored by this call.
 
-    ``done`` is the table of finished pairs. Output is spread by month as well, so that one very large
-    region is written by many tasks. Folders of other pairs are not touched. A year without a model
-    is an error, as its folders would otherwise look finished or stay missing without a word.
+    Output is spread by month as well, so that one very large region is written by many tasks.
+    Folders of other pairs are not touched. Years without a model are an error before any grid is
+    built, as their folders would otherwise look finished or stay missing without a word.
     """
-    todo = pending(grid_rows, done, ["region", "year"], force)
-    if missing := forests.missing_years(todo):
+    done = finished(spark, path, PAIR, "region string, year int")
+    pairs = wanted.select(F.col("region").cast("string"), F.col("year").cast("int")).distinct()
+    left = cut_lineage(unfinished(pairs, done, PAIR, force))
+    if missing := forests.missing_years(left):
         raise ValueError(f"no model for {missing}")
-    out = predictions(todo, forests).withColumn("month", F.month("date"))
-    write_partitioned(out, path, ["region", "year"], spread=["month"])
+    if left.isEmpty():
+        return left
+    rows = predictions(grid_of(left), forests)
+    write_partitioned(rows.withColumn("month", F.month("date")), path, PAIR, spread=["month"])
+    record_finished(left, path, PAIR)
+    return left

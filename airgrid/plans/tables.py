@@ -215,3 +215,30 @@ def prediction_table(
     return out.withColumn("nei_event", event).drop(
         "cell3", "_wx", "_vintage", *[f"_event_{v}" for v in vintages]
     )
+
+
+def pending_grid(
+    left: DataFrame,
+    regions: DataFrame,
+    counties: DataFrame,
+    nearby: DataFrame,
+    county_emissions: DataFrame,
+    weather: DataFrame,
+    weather_cols: list[str],
+    region_res: int = 3,
+    res: int = 8,
+    frame: RasterFrame = WEATHER_FRAME,
+    vintages: dict[int, tuple[int, int]] = EMISSION_VINTAGES,
+) -> DataFrame:
+    """``prediction_table`` of the (region, year) pairs in ``left`` only.
+
+    ``regions`` is ``(region, cell)``. Regions are reduced before their cells are made, and the days
+    of each region cell to the years that are left, so rows of other pairs never come to be.
+    """
+    cells = regions.join(left.select("region").distinct(), "region", "left_semi")
+    years = regions.join(left.select("region", "year").distinct(), "region").select("cell", "year")
+    days = nearby.withColumn("year", F.year("date")).join(years, ["cell", "year"], "left_semi")
+    spots = prediction_cells(cells, counties, region_res, res, frame)
+    return prediction_table(
+        spots, days.drop("year"), county_emissions, weather, weather_cols, vintages
+    )

@@ -523,6 +523,43 @@ def scored_regions(spark, sf):
     )
 
 
+@query(
+    "resumed_scoring",
+    f"""WITH {_PRED}, up AS (SELECT cell3, {q.parent_items('cell3', 3, 1, 'up')} FROM c3),
+        ids AS (SELECT up, string_agg(CAST(cell3 AS VARCHAR), '-' ORDER BY cell3) AS region FROM up GROUP BY 1),
+        days AS (SELECT region, cell3, date, CAST(year(date) AS INT) AS year FROM near JOIN up USING (cell3) JOIN ids USING (up)),
+        runs AS (SELECT region, year, CAST(CASE WHEN year <= 1996 THEN 1 ELSE 2 END AS INT) AS run FROM days WHERE year BETWEEN 1995 AND 1998 GROUP BY ALL)
+        SELECT region, year, run, count(*) AS n, count(DISTINCT cell) AS n_cells, count(*) AS n_scored
+        FROM days JOIN runs USING (region, year) JOIN p4 USING (cell3) GROUP BY ALL""",
+)
+def resumed_scoring(spark, sf):
+    """Two runs of the scoring job over one output; the second does what the first left.
+
+    Rows per region and year as written, with the run that wrote them. The models are small here."""
+    out = f"{use_checkpoints(spark)}/scores-{uuid.uuid4().hex}"
+    train = training_rows(spark, sf).where("pm25 IS NOT NULL AND year BETWEEN 1995 AND 1998")
+    features = ["nearby_pm", "doy", "air_2m", "nei_event", "hpbl"]
+    forests = forest.cluster_forest(train, features, "pm25", "cell", **{**_SMALL, "groups": 2})
+    cells = regions.region_cells(_regions(spark, sf)).withColumn("cell", F.col("cell").cast("bigint"))
+    counties = rectangle(bind(spark, sf, "county")).withColumnRenamed("poly_id", "county_fips")
+    nearby = cut_lineage(neighbor_exposure_rows(spark, sf))
+    inventory, weather = _inventory(spark, sf), _weather_rows(spark, sf)
+    days = nearby.select("cell", F.year("date").alias("year")).distinct().where("year BETWEEN 1995 AND 1998")
+    wanted = cells.join(days, "cell").select("region", "year")
+
+    def grid_of(left):
+        return tables.pending_grid(
+            left, cells, counties, nearby, inventory, weather, ["hpbl", "air_2m"], res=4, vintages=VINTAGES
+        )
+
+    first = modelling.score_regions(spark, wanted.where("year <= 1996"), grid_of, forests, out)
+    second = modelling.score_regions(spark, wanted, grid_of, forests, out)
+    runs = first.withColumn("run", F.lit(1)).union(second.withColumn("run", F.lit(2)))
+    return spark.read.parquet(out).join(runs, ["region", "year"]).groupBy("region", "year", "run").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("cell").alias("n_cells"), F.count("pm_pred").alias("n_scored")
+    )
+
+
 @query("merged_regions")
 def merged_regions(spark, sf):
     """L1: merge to a threshold (checked against the one-at-a-time process in a test)."""

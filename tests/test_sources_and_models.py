@@ -82,20 +82,38 @@ def test_forest_out_of_bag_and_scoring(spark, tmp_path):
 
     grid_rows = train.select(F.concat(F.lit("r"), F.col("cell") % 2).alias("region"), "cell", "date", "year", "a", "b")
     out, keys = str(tmp_path / "pred"), "region string, year int"
-    done = worklog.finished(spark, out, ["region", "year"], keys)
-    assert done.count() == 0
-    modelling.score_regions(spark, grid_rows.where("region = 'r0'"), forests, out, done)
+    built = []
+
+    def grid_of(left):
+        built.append(sorted((r.region, r.year) for r in left.collect()))
+        return grid_rows.join(left, ["region", "year"], "left_semi")
+
+    assert worklog.finished(spark, out, ["region", "year"], keys).count() == 0
+    modelling.score_regions(spark, grid_rows.where("region = 'r0'"), grid_of, forests, out)
     done = worklog.finished(spark, out, ["region", "year"], keys)
     assert sorted((r.region, r.year) for r in done.collect()) == [("r0", 2019), ("r0", 2020)]
     left = worklog.unfinished(grid_rows, done, ["region", "year"])
     assert left.where("region = 'r0'").count() == 0 and left.count() == grid_rows.where("region = 'r1'").count()
-    modelling.score_regions(spark, grid_rows, forests, out, done)
+    before = {f for f in spark.read.parquet(out).inputFiles()}
+    modelling.score_regions(spark, grid_rows, grid_of, forests, out)
+    assert spark.read.parquet(out).count() == train.count()
+    assert before <= set(spark.read.parquet(out).inputFiles())
+    assert built == [[("r0", 2019), ("r0", 2020)], [("r1", 2019), ("r1", 2020)]]
+    # Only the manifest is read to find what is finished, and nothing is built when all is.
+    names = worklog.finished(spark, out, ["region", "year"], keys).inputFiles()
+    assert names and all("/_finished/" in name for name in names)
+    assert modelling.score_regions(spark, grid_rows, grid_of, forests, out).count() == 0 and len(built) == 2
+    assert modelling.score_regions(spark, grid_rows, grid_of, forests, out, force=True).count() == 4
     assert spark.read.parquet(out).count() == train.count()
+    # Output whose job did not end has no entry and is written again.
+    half = str(tmp_path / "half")
+    spark.createDataFrame([("r0", 2019, 1.0)], "region string, year int, pm_pred double").write.partitionBy("region", "year").parquet(half)
+    assert worklog.finished(spark, half, ["region", "year"], keys).count() == 0
     # Years without a model stay, without a prediction, and are refused when regions are written.
     later = grid_rows.limit(5).withColumn("year", F.lit(2050))
     assert [r.pred for r in forests.score(grid_rows.limit(3).unionByName(later)).where("year = 2050").collect()] == [None] * 5
     with pytest.raises(ValueError, match="2050"):
-        modelling.score_regions(spark, later, forests, out, done)
+        modelling.score_regions(spark, later, grid_of, forests, out)
 
 
 def test_tree_estimates_take_off_the_scatter_within_groups(spark):
