@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from airgrid.functions import aggregates as agg, projection
@@ -17,7 +19,9 @@ from airgrid.operators import (
     windows,
 )
 from airgrid.plans import exposure, reports
+from airgrid.session import use_checkpoints
 from airgrid.sources import lookups
+from airgrid.streaming import daily
 
 from . import sqltext as q
 from .bindings import bind, ctes, rectangle, table
@@ -447,6 +451,30 @@ def cell_day_mean(spark, sf):
     return out.select("cell", "date", F.round("pm25", 4).alias("pm25"))
 
 
+@query(
+    "streamed_cell_days",
+    """SELECT user_id % 500 AS cell, CAST(ts AS DATE) AS date, round(avg(CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END), 4) AS value,
+       count(CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""",
+)
+def streamed_cell_days(spark, sf):
+    """D2 as a stream: events arrive in several files, and daily means are kept up to date."""
+    at = f"{use_checkpoints(spark)}/stream-{uuid.uuid4().hex}"
+    # The clock times of the table are UTC, whatever the session's zone.
+    ts = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
+    readings = table(spark, sf, "events").select(
+        (F.col("user_id") % 500).alias("cell"), ts.alias("ts"), F.when(F.col("event_id") % 11 != 0, F.col("value")).alias("value")
+    )
+    # Several files, so that days are opened, changed and closed over several batches.
+    readings.repartitionByRange(12, "ts").write.parquet(f"{at}/in")
+    arriving = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 4).parquet(f"{at}/in")
+    # Files of one folder come in any order, so nothing may count as late here.
+    means = daily.daily_means(arriving, "cell", "ts", "value", late="36500 days")
+    running = daily.keep_updated(means, f"{at}/out", f"{at}/state", availableNow=True)
+    running.awaitTermination()
+    out = daily.latest(spark, f"{at}/out", "cell long, date date, value double, n long", ["cell", "date"])
+    return out.select("cell", "date", F.round("value", 4).alias("value"), "n")
+
+
 _IDW = f"""{_OBS3}, m AS (SELECT cell, date, avg(pm25) AS v FROM o3 GROUP BY 1, 2 HAVING count(pm25) > 0),
     w AS (SELECT {q.pack(f"{q.q_of('cell')} + dq", f"{q.r_of('cell')} + dr", 3)} AS cell, date, v,
       CASE WHEN d = 0 THEN 100e0 ELSE 1.0e0 / (d * d) END AS w FROM m, ({q.disk(5)})),
