@@ -1,8 +1,11 @@
-"""Distance to the nearest feature by branch and bound over a tile pyramid (C11).
-
-Every pyramid node keeps the box of the features below it and one of those features. Points walk
-down from the root; a node whose box is further away than a feature already met is dropped. What is
-left at the bottom is a handful of small tiles per point, and only their features are measured.
+"""Distance to the nearest feature by branch and bound over runs of features (C11).
+
+Features are laid out along a z-order curve and numbered; a leaf is a run of at most 64 of them,
+whatever their distribution, and a node above is a run of 16 nodes. Every node keeps the box of its
+features and one of those features. Points walk down from the root; a node whose box is further
+away than a feature already met is dropped. What is left at the bottom is a handful of leaves per
+point, and only their features are measured. The depth follows the number of features, so a small
+table is searched in one or two steps, and a crowded place is split as finely as it is crowded.
 The answer is exact for any distribution: nothing is capped, and no group is compared all-to-all.
 """
 
@@ -10,11 +13,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# The root tile covers a plane of 8,388,608 m around the origin; four-way splits.
-ROOT = float(1 << 23)
-SPLIT_BITS = 2
-SALTED_LEVELS = 3
-SALTS = 64
+from ..session import cut_lineage
+
+# The curve covers a plane of 8,388,608 m around the origin in steps of 1/4 m.
+ROOT_BITS = 23
+CURVE_BITS = 25
+LEAF_BITS = 6
+FAN_BITS = 4
+SALTS = 64  # copies of nodes that all points share, near the root
+LOW_SALTS = 8  # copies of the others
 
 
 def segment_distance2(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
@@ -49,29 +56,29 @@ def nearest_join(
     x: str = "x",
     y: str = "y",
     feature_id: str = "feature_id",
-    levels: int = 7,
+    leaf_bits: int = LEAF_BITS,
     distance: str = "distance",
 ) -> DataFrame:
     """C11: add the distance to, and id of, the nearest feature with equal ``by`` values.
 
     ``features`` has ``(feature_id, x1, y1, x2, y2, *by)``; points have ``x1 = x2, y1 = y2``. Of
-    equally near features the lowest id is named. Points without any feature get NULL. The bottom
-    tile is ``ROOT / 4**levels`` metres wide (512 m for the default).
+    equally near features the lowest id is named. Points without any feature get NULL; features
+    without all coordinates are nowhere. Leaves hold at most ``2**leaf_bits`` features. Starts a job that writes the features in order.
     """
     by = by or []
     # Features that coincide are one feature; equal point locations are asked about once.
-    shapes = features.groupBy(*by, "x1", "y1", "x2", "y2").agg(
-        F.min(feature_id).alias("_fid")
+    placed = features.dropna(subset=["x1", "y1", "x2", "y2"])
+    shapes, bits = _ordered(
+        placed.groupBy(*by, "x1", "y1", "x2", "y2").agg(F.min(feature_id).alias("_fid")), by
     )
-    shapes = _tile_of(shapes, levels)
-    nodes = _pyramid(shapes, by, levels)
     spots = points.select(*by, x, y).where(
         F.col(x).isNotNull() & F.col(y).isNotNull()
     ).distinct()
-    found = _descend(spots, nodes, by, x, y, levels)
-    leaf = found.join(
-        shapes.withColumnsRenamed({"_i": "_ci", "_j": "_cj"}), [*by, "_ci", "_cj"]
-    ).withColumn("_d2", segment_distance2(F.col(x), F.col(y), *_ends(F.col)))
+    found = _descend(spots, shapes, by, x, y, bits, leaf_bits)
+    leaves = shapes.withColumn("_node", F.shiftright("_at", leaf_bits)).drop("_at")
+    leaf = found.join(leaves, [*by, "_node"]).withColumn(
+        "_d2", segment_distance2(F.col(x), F.col(y), *_ends(F.col))
+    )
     best = leaf.groupBy(*by, x, y).agg(F.min(F.struct("_d2", "_fid")).alias("_best"))
     return points.join(
         best.select(
@@ -90,61 +97,73 @@ def _ends(make) -> list[Column]:
     return [make(c) for c in ("x1", "y1", "x2", "y2")]
 
 
-def _tile_of(shapes: DataFrame, levels: int) -> DataFrame:
-    """Bottom tile of the middle of each feature; features off the plane go to the rim tiles."""
-    tiles = 1 << (SPLIT_BITS * levels)
-    size = ROOT / tiles
+def _z_order(shapes: DataFrame) -> Column:
+    """Place of the middle of a feature on the curve; features off the plane go to its rim."""
 
-    def index(a: str, b: str) -> Column:
-        middle = (F.col(a) + F.col(b)) / 2
-        raw = F.floor((middle + ROOT / 2) / size)
-        return F.greatest(F.lit(0), F.least(F.lit(tiles - 1), raw)).cast("bigint")
+    def spread(a: str, b: str) -> Column:
+        """Bits of a coordinate, each followed by a gap."""
+        middle = (F.col(a) + F.col(b)) / 2 + float(1 << (ROOT_BITS - 1))
+        step = F.floor(middle * float(1 << (CURVE_BITS - ROOT_BITS))).cast("bigint")
+        bits = F.greatest(F.lit(0), F.least(F.lit((1 << CURVE_BITS) - 1), step)).cast("bigint")
+        width = 16
+        while width:
+            # Move the upper half of every group of 2 * width bits up by width.
+            group = sum(((1 << width) - 1) << at for at in range(0, 64 - width, 2 * width))
+            bits = bits.bitwiseOR(F.shiftleft(bits, width)).bitwiseAND(F.lit(group))
+            width //= 2
+        return bits
 
-    return shapes.withColumns({"_i": index("x1", "x2"), "_j": index("y1", "y2")})
+    return spread("x1", "x2").bitwiseOR(F.shiftleft(spread("y1", "y2"), 1))
 
 
-def _pyramid(shapes: DataFrame, by: list[str], levels: int) -> DataFrame:
-    """One row per (level, tile): box, one feature, and the parent tile. One shuffle in all."""
-    ups = F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))
-    placed = shapes.withColumn("_up", ups).withColumns(
-        {
-            "_ci": F.expr(f"shiftright(_i, {SPLIT_BITS} * _up)"),
-            "_cj": F.expr(f"shiftright(_j, {SPLIT_BITS} * _up)"),
-        }
-    )
-    return placed.groupBy(*by, "_up", "_ci", "_cj").agg(
+def _ordered(shapes: DataFrame, by: list[str]) -> tuple[DataFrame, int]:
+    """Shapes with their place ``_at`` in the order of (``by``, curve), and the bits of the places.
+
+    Places grow along ranges of the order; the gaps between ranges are whole runs. The rows are
+    written once, so every later reading sees the same places.
+    """
+    spread = shapes.withColumn("_z", _z_order(shapes))
+    ranged = spread.repartitionByRange(*by, "_z", "x1", "y1").sortWithinPartitions(*by, "_z")
+    # Number of the range, and place in the range below 33 bits.
+    numbered = cut_lineage(ranged.drop("_z").withColumn("_id", F.monotonically_increasing_id()))
+    inside = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    ranges, rows = numbered.agg(F.max(F.shiftright("_id", 33)), F.max(inside)).first()
+    width = (rows or 0).bit_length()
+    at = F.shiftleft(F.shiftright("_id", 33), width) + inside
+    return numbered.withColumn("_at", at).drop("_id"), width + (ranges or 0).bit_length()
+
+
+def _nodes(shapes: DataFrame, by: list[str], shift: int) -> DataFrame:
+    """One row per run of ``2**shift`` places: its box, one of its features, and the run above."""
+    boxes = shapes.groupBy(*by, F.shiftright("_at", shift).alias("_child")).agg(
         F.min(F.least("x1", "x2")).alias("_bx1"),
         F.max(F.greatest("x1", "x2")).alias("_bx2"),
         F.min(F.least("y1", "y2")).alias("_by1"),
         F.max(F.greatest("y1", "y2")).alias("_by2"),
         *[F.min_by(c, "_fid").alias(f"_r{c}") for c in ("x1", "y1", "x2", "y2")],
-    ).withColumns(
-        {
-            "_pi": F.shiftright("_ci", SPLIT_BITS),
-            "_pj": F.shiftright("_cj", SPLIT_BITS),
-        }
     )
+    return boxes.withColumn("_node", F.shiftright("_child", FAN_BITS))
 
 
 def _descend(
-    spots: DataFrame, nodes: DataFrame, by: list[str], x: str, y: str, levels: int
+    spots: DataFrame, shapes: DataFrame, by: list[str], x: str, y: str, bits: int, leaf_bits: int
 ) -> DataFrame:
+    """The leaves that may hold the nearest feature of each point: ``(*by, x, y, _node)``."""
     zero = F.lit(0).cast("bigint")
-    walk = spots.withColumns({"_pi": zero, "_pj": zero, "_bound": F.lit(float("inf"))})
+    walk = spots.withColumns({"_node": zero, "_bound": F.lit(float("inf"))})
     px, py = F.col(x), F.col(y)
     out_x = F.greatest(F.col("_bx1") - px, px - F.col("_bx2"), F.lit(0.0))
     out_y = F.greatest(F.col("_by1") - py, py - F.col("_by2"), F.lit(0.0))
     per_point = Window.partitionBy(*by, x, y)
-    for step in range(levels):
-        children = nodes.where(F.col("_up") == levels - 1 - step).drop("_up")
-        keys = [*by, "_pi", "_pj"]
-        if step < SALTED_LEVELS:
-            # Near the root all points share a few tiles: spread them over copies of those tiles.
-            salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-            children = children.withColumn("_salt", salts)
-            walk = walk.withColumn("_salt", F.pmod(F.hash(x, y), F.lit(SALTS)))
-            keys = [*keys, "_salt"]
-        met = walk.join(children, keys).withColumns(
+    steps = max(0, -(-(bits - leaf_bits) // FAN_BITS))
+    for step in range(steps):
+        # Many points share a node, near the root all of them: spread them over copies of it.
+        copies = SALTS if step < 2 else LOW_SALTS
+        salts = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+        shift = leaf_bits + FAN_BITS * (steps - 1 - step)
+        children = _nodes(shapes, by, shift).withColumn("_salt", salts)
+        salted = walk.withColumn("_salt", F.pmod(F.hash(x, y), F.lit(copies)))
+        met = salted.join(children, [*by, "_node", "_salt"]).withColumns(
             {
                 "_low": out_x * out_x + out_y * out_y,
                 "_high": segment_distance2(px, py, *_ends(lambda c: F.col(f"_r{c}"))),
@@ -154,9 +173,9 @@ def _descend(
             "_bound", F.least(F.col("_bound"), F.min("_high").over(per_point))
         )
         walk = met.where(F.col("_low") <= _slack(F.col("_bound"))).select(
-            *by, x, y, F.col("_ci").alias("_pi"), F.col("_cj").alias("_pj"), "_bound"
+            *by, x, y, F.col("_child").alias("_node"), "_bound"
         )
-    return walk.select(*by, x, y, F.col("_pi").alias("_ci"), F.col("_pj").alias("_cj"))
+    return walk.drop("_bound")
 
 
 def _slack(bound: Column) -> Column:

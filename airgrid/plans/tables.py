@@ -29,13 +29,13 @@ def locations(
     return spatial_join_pip(spots, counties, poly_id="county_fips", how="inner")
 
 
-def road_distances(spots: DataFrame, roads: DataFrame, levels: int = 5) -> DataFrame:
+def road_distances(spots: DataFrame, roads: DataFrame) -> DataFrame:
     """C11: distance of each location to the nearest road."""
-    found = nearest_join(spots, roads, feature_id="road_id", levels=levels, distance="s1100_dist")
+    found = nearest_join(spots, roads, feature_id="road_id", distance="s1100_dist")
     return found.drop("road_id")
 
 
-def facility_distances(spots: DataFrame, facilities: DataFrame, levels: int = 5) -> DataFrame:
+def facility_distances(spots: DataFrame, facilities: DataFrame) -> DataFrame:
     """C11 by inventory year, kept long: ``(cell, nei_year, nei_dist)``.
 
     Inventory years are a handful, so they are the broadcast side.
@@ -43,7 +43,7 @@ def facility_distances(spots: DataFrame, facilities: DataFrame, levels: int = 5)
     years = facilities.select("nei_year").distinct()
     asked = spots.select("cell", "x", "y").crossJoin(F.broadcast(years))
     found = nearest_join(
-        asked, facilities, ["nei_year"], feature_id="site_id", levels=levels, distance="nei_dist"
+        asked, facilities, ["nei_year"], feature_id="site_id", distance="nei_dist"
     )
     return found.select("cell", "nei_year", "nei_dist")
 

@@ -373,10 +373,27 @@ def cells_touching_boundary(spark, sf):
 def nearest_road(spark, sf):
     """C11: distance to the nearest line."""
     roads = nearest.split_segments(bind(spark, sf, "road"), 50_000.0)
-    out = nearest.nearest_join(bind(spark, sf, "site"), roads, feature_id="road_id", levels=5)
+    out = nearest.nearest_join(bind(spark, sf, "site"), roads, feature_id="road_id")
     return out.select("site_id", F.round("distance", 4).alias("distance"))
 
 
+@query(
+    "nearest_slanted_road",
+    f"""WITH {ctes('site', 'stn')}, r AS (SELECT station, x AS x1, y AS y1, (station * 7919 % 601 - 300) * 1e3 AS dx, (station * 104729 % 401 - 200) * 1e3 AS dy FROM stn),
+        t AS (SELECT site_id, s.x - x1 AS px, s.y - y1 AS py, dx, dy, greatest(0e0, least(1e0, ((s.x - x1) * dx + (s.y - y1) * dy) / (dx * dx + dy * dy))) AS t
+          FROM site s, r WHERE dx <> 0 OR dy <> 0)
+        SELECT site_id, round(min(sqrt((px - dx * t) * (px - dx * t) + (py - dy * t) * (py - dy * t))), 3) AS distance FROM t GROUP BY 1""",
+)
+def nearest_slanted_road(spark, sf):
+    """C11: distance to the nearest of many lines in all directions, cut into pieces for the search."""
+    dx, dy = (F.col("station") * 7919 % 601 - 300) * 1e3, (F.col("station") * 104729 % 401 - 200) * 1e3
+    roads = bind(spark, sf, "stn").select(
+        F.col("station").alias("road_id"), F.col("x").alias("x1"), F.col("y").alias("y1"), (F.col("x") + dx).alias("x2"), (F.col("y") + dy).alias("y2")
+    ).where("x1 <> x2 OR y1 <> y2")
+    out = nearest.nearest_join(bind(spark, sf, "site"), nearest.split_segments(roads, 50_000.0), feature_id="road_id")
+    return out.select("site_id", F.round("distance", 3).alias("distance"))
+
+
 @query(
     "nearest_site_by_year",
     f"""WITH {ctes('stn', 'site')} SELECT station, nei_year, round(min(sqrt((t.x - s.x) * (t.x - s.x) + (t.y - s.y) * (t.y - s.y))), 4) AS distance
@@ -387,7 +404,7 @@ def nearest_site_by_year(spark, sf):
     site = bind(spark, sf, "site").selectExpr("site_id", "nei_year", "x AS x1", "y AS y1", "x AS x2", "y AS y2")
     years = site.select("nei_year").distinct()
     asked = bind(spark, sf, "stn").join(F.broadcast(years))
-    out = nearest.nearest_join(asked, site, ["nei_year"], feature_id="site_id", levels=5)
+    out = nearest.nearest_join(asked, site, ["nei_year"], feature_id="site_id")
     return out.select("station", "nei_year", F.round("distance", 4).alias("distance"))
 
 

@@ -169,8 +169,8 @@ def test_cells_touching_and_population(spark):
     assert density == pytest.approx(1e6, rel=1e-9)
 
 
-@pytest.mark.parametrize("levels", [3, 6])
-def test_nearest_against_brute_force(spark, levels):
+@pytest.mark.parametrize("leaf_bits", [0, 3, 6])
+def test_nearest_against_brute_force(spark, leaf_bits):
     rnd = random.Random(5)
     rows, points = points_table(spark, 200, 6)
     feats = []
@@ -178,9 +178,10 @@ def test_nearest_against_brute_force(spark, levels):
         dense = i < 60
         x, y = (rnd.gauss(1e5, 500), rnd.gauss(9e5, 500)) if dense else (rnd.uniform(-2e6, 2e6), rnd.uniform(3e5, 2.3e6))
         feats.append((i, i % 2, x, y, x + rnd.choice([0, 30_000]), y))
-    features = spark.createDataFrame(feats, "feature_id int, g int, x1 double, y1 double, x2 double, y2 double")
+    lost = [(500, 0, None, 1.0, 2.0, 3.0), (501, None, 1.0, 1.0, 1.0, 1.0)]
+    features = spark.createDataFrame(feats + lost, "feature_id int, g int, x1 double, y1 double, x2 double, y2 double")
     asked = points.withColumn("g", F.col("id") % 3)
-    got = {r.id: (r.distance, r.feature_id) for r in nearest.nearest_join(asked, features, ["g"], levels=levels).collect()}
+    got = {r.id: (r.distance, r.feature_id) for r in nearest.nearest_join(asked, features, ["g"], leaf_bits=leaf_bits).collect()}
 
     def dist(x, y, f):
         _, _, x1, y1, x2, y2 = f
@@ -194,6 +195,31 @@ def test_nearest_against_brute_force(spark, levels):
             assert got[i][0] == pytest.approx(best[0], abs=1e-6) and got[i][1] == best[1]
 
 
+def test_crowded_features_are_measured_by_leaves(spark):
+    rnd = random.Random(9)
+    feats = [(i, rnd.uniform(0, 500), rnd.uniform(0, 500)) for i in range(20_000)]
+    feats += [(20_000 + i, rnd.uniform(-4e6, 4e6), rnd.uniform(-4e6, 4e6)) for i in range(500)]
+    spots = [(i, rnd.uniform(0, 500), rnd.uniform(0, 500)) for i in range(300)] + [(300 + i, 1e9 * i, -5e6) for i in range(3)]
+    features = spark.createDataFrame(feats, "feature_id int, x1 double, y1 double").selectExpr("*", "x1 AS x2", "y1 AS y2")
+    points = spark.createDataFrame(spots, "id int, x double, y double")
+    got = {r.id: r for r in nearest.nearest_join(points, features).collect()}
+    for i, x, y in spots:
+        best = min((math.hypot(x - a, y - b), f) for f, a, b in feats)
+        assert (got[i].distance, got[i].feature_id) == (pytest.approx(best[0], rel=1e-12), best[1])
+    # All in one place, yet a point looks into a few leaves of 64.
+    shapes, bits = nearest._ordered(features.withColumnRenamed("feature_id", "_fid"), [])
+    sizes = shapes.groupBy(F.shiftright("_at", 6)).count()
+    assert shapes.count() == len(feats) and sizes.agg(F.max("count")).first()[0] <= 64
+    visits = nearest._descend(points, shapes, [], "x", "y", bits, 6)
+    assert visits.count() <= 10 * len(spots)
+
+
+def test_nearest_of_nothing(spark):
+    none = spark.createDataFrame([], "feature_id int, x1 double, y1 double, x2 double, y2 double")
+    points = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 1.0)], "id int, x double, y double")
+    assert {(r.id, r.distance, r.feature_id) for r in nearest.nearest_join(points, none).collect()} == {(1, None, None), (2, None, None)}
+
+
 def one_at_a_time(sizes, edges, threshold, order):
     """The plain sequential process."""
     rows = [(k, sizes[k], {k}) for k in sorted(sizes, key=order)]
