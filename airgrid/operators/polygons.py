@@ -12,6 +12,8 @@ tile without edges needs no geometry at all.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import grid
@@ -296,10 +298,111 @@ def _boxes(df: DataFrame, prefix: str, ring: str) -> DataFrame:
     )
 
 
-def _tiled_boxes(df: DataFrame, prefix: str, tile: float) -> DataFrame:
-    return df.withColumn(
-        "tx", F.explode(_span(F.col(f"{prefix}x1"), F.col(f"{prefix}x2"), tile))
-    ).withColumn("ty", F.explode(_span(F.col(f"{prefix}y1"), F.col(f"{prefix}y2"), tile)))
+def _unrepeated(ring: Column) -> Column:
+    """Without corners that equal the one before."""
+
+    def differs(p: Column, k: Column) -> Column:
+        before = F.get(ring, (k - 1 + F.size(ring)) % F.size(ring))
+        return (p["x"] != before["x"]) | (p["y"] != before["y"])
+
+    return F.filter(ring, differs)
+
+
+def _unbent(ring: Column) -> Column:
+    """Without corners in the middle of a run along one grid line; the signed area stays."""
+
+    def bends(p: Column, k: Column) -> Column:
+        before = F.get(ring, (k - 1 + F.size(ring)) % F.size(ring))
+        after = F.get(ring, (k + 1) % F.size(ring))
+        return ((p["x"] != before["x"]) | (p["x"] != after["x"])) & (
+            (p["y"] != before["y"]) | (p["y"] != after["y"])
+        )
+
+    return F.filter(ring, bends)
+
+
+def _halves(ring: Column, axis: str, size: Column, wanted: Column) -> Column:
+    """A wanted ring that reaches across the nearest multiple of ``size`` in two parts, others alone.
+
+    The new corners lie exactly on the line, so the parts fill the ring and no part reaches over.
+    """
+    other = "y" if axis == "x" else "x"
+    ends = F.transform(ring, lambda p: p[axis])
+
+    def line(e: Column) -> Column:
+        at = F.round((e["low"] + e["high"]) / 2 / size) * size
+        return F.struct(F.when(wanted & (e["low"] < at) & (at < e["high"]), at).alias("at"))
+
+    def parts(e: Column) -> Column:
+        def part(sign: float) -> Column:
+            def step(p: Column, k: Column) -> Column:
+                before = F.get(ring, (k - 1 + F.size(ring)) % F.size(ring))
+                here, there = (p[axis] - e["at"]) * sign, (before[axis] - e["at"]) * sign
+                across = before[other] + (p[other] - before[other]) * (there / (there - here))
+                meet = {axis: e["at"], other: across}
+                border = F.struct(meet["x"].alias("x"), meet["y"].alias("y"))
+                stay = F.struct(p["x"].alias("x"), p["y"].alias("y"))
+                return (
+                    F.when((here > 0) & (there < 0), F.array(border, stay))
+                    .when((here < 0) & (there > 0), F.array(border))
+                    .when(here >= 0, F.array(stay))
+                    .otherwise(F.slice(F.array(stay), 1, 0))
+                )
+
+            return F.flatten(F.transform(ring, step))
+
+        cut = F.transform(F.transform(F.array(part(-1.0), part(1.0)), _unrepeated), _unbent)
+        return F.when(e["at"].isNotNull(), cut).otherwise(F.array(ring))
+
+    # One-element arrays hold what the steps below read once per corner.
+    span = F.array(F.struct(F.array_min(ends).alias("low"), F.array_max(ends).alias("high")))
+    return F.flatten(F.transform(F.transform(span, line), parts))
+
+
+def cut_to_tiles(
+    df: DataFrame, ring: str, tile: float, extent: float, corners: int = 0, max_corners: int = 64
+) -> DataFrame:
+    """Rings cut at tile borders: every row has its part of the ring and that part's ``tx``, ``ty``.
+
+    Areas add up to the ring's signed area. Halving starts at the power of two of ``tile`` that
+    covers ``extent`` (the widest ring), so a ring is handed on in parts and never copied whole to
+    its tiles. Parts with more than ``max_corners`` corners are quartered further; ``corners`` is the
+    largest number of corners in the table and bounds how often. One column expression, no shuffle.
+    Parts without an area may occur; rows without a ring go.
+    """
+    coarse = math.ceil(math.log2(max(extent, tile) / tile))
+    finer = math.ceil(math.log(corners / max_corners, 4)) + 3 if corners > max_corners else 0
+    steps = F.array(
+        *[
+            F.struct(F.lit(tile * 2.0**level).alias("size"), F.lit(0 if level >= 0 else max_corners).alias("above"))
+            for level in range(coarse, -finer - 1, -1)
+        ]
+    )
+
+    def quarter(parts: Column, h: Column) -> Column:
+        def cut(axis: str):
+            return lambda r: _halves(r, axis, h["size"], F.size(r) > h["above"])
+
+        return F.flatten(F.transform(F.flatten(F.transform(parts, cut("x"))), cut("y")))
+
+    def place(axis: str) -> Column:
+        ends = F.transform(ring, lambda p: p[axis])
+        return F.floor((F.array_min(ends) + F.array_max(ends)) / 2 / tile)
+
+    corner = "array<array<struct<x:double,y:double>>>"
+    parts = F.aggregate(steps, F.array(F.col(ring)).cast(corner), quarter)
+    cut = df.select(*[c for c in df.columns if c != ring], F.explode(parts).alias(ring))
+    return cut.withColumns({"tx": place("x"), "ty": place("y")}).where("tx IS NOT NULL AND ty IS NOT NULL")
+
+
+def _reach(df: DataFrame, ring: str) -> tuple[float, int]:
+    """The widest extent and the largest number of corners of the rings: one row."""
+    row = (
+        _boxes(df.select(ring), "", ring)
+        .agg(F.max(F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))), F.max(F.size(ring)))
+        .head()
+    )
+    return float(row[0] or 0.0), int(row[1] or 0)
 
 
 def areal_interpolate(
@@ -309,26 +412,23 @@ def areal_interpolate(
     dst_key: str,
     src_key: str = "poly_id",
     tile: float = TILE,
+    max_corners: int = 64,
 ) -> DataFrame:
     """Spread each source polygon's total over convex targets by shared area.
 
     ``src`` is ``(src_key, ring, value)``, ``dst`` is ``(dst_key, ring)``. Every target keeps a row;
-    one that no source reaches gets NULL. A pair sharing several tiles is met only in the tile of
-    the lower-left corner of the shared box, so no pair has to be de-duplicated.
+    one that no source reaches gets NULL. Both sides are cut at tile borders first, so a part meets
+    only parts of its own tile, and the shared areas of all tiles add up without a pair counted twice.
     """
     rings = src.select(src_key, value, "ring").withColumn("_area", ring_area(F.col("ring")))
     whole = rings.groupBy(src_key).agg(F.abs(F.sum("_area")).alias("_total"))
-    rings = rings.join(whole, src_key)
-    ours = _tiled_boxes(_boxes(rings, "s", "ring"), "s", tile)
-    theirs = _tiled_boxes(
-        _boxes(dst.select(dst_key, F.col("ring").alias("_hex")), "d", "_hex"), "d", tile
-    )
-    corner_x = F.floor(F.greatest("sx1", "dx1") / tile)
-    corner_y = F.floor(F.greatest("sy1", "dy1") / tile)
-    pairs = ours.join(theirs, ["tx", "ty"]).where(
-        (F.col("tx") == corner_x)
-        & (F.col("ty") == corner_y)
-        & (F.col("sx1") <= F.col("dx2"))
+    targets = dst.select(dst_key, F.col("ring").alias("_hex"))
+    extent, corners = _reach(src.select("ring").union(dst.select("ring")), "ring")
+    ours = cut_to_tiles(rings.drop("_area"), "ring", tile, extent, corners, max_corners)
+    theirs = cut_to_tiles(targets, "_hex", tile, extent)
+    theirs = theirs.where(ring_area(F.col("_hex")) > 0)
+    pairs = _boxes(ours, "s", "ring").join(_boxes(theirs, "d", "_hex"), ["tx", "ty"]).where(
+        (F.col("sx1") <= F.col("dx2"))
         & (F.col("dx1") <= F.col("sx2"))
         & (F.col("sy1") <= F.col("dy2"))
         & (F.col("dy1") <= F.col("sy2"))
@@ -337,11 +437,9 @@ def areal_interpolate(
     clipped = grid.pin(pairs, "_cut", clip_to_convex(F.col("ring"), F.col("_hex")))
     shared = grid.pin(clipped, "_part", ring_area(F.col("_cut"))).where("_part <> 0")
     per_pair = shared.groupBy(dst_key, src_key).agg(
-        F.abs(F.sum("_part")).alias("_part"),
-        F.max("_total").alias("_total"),
-        F.max(value).alias(value),
+        F.abs(F.sum("_part")).alias("_part"), F.max(value).alias(value)
     )
-    given = per_pair.groupBy(dst_key).agg(
+    given = per_pair.join(whole, src_key).groupBy(dst_key).agg(
         F.sum(F.try_divide("_part", "_total") * F.col(value)).alias(value)
     )
     return keyed_join(dst.select(dst_key), given, [dst_key], "left")

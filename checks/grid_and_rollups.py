@@ -408,26 +408,44 @@ def nearest_site_by_year(spark, sf):
     return out.select("station", "nei_year", F.round("distance", 4).alias("distance"))
 
 
-@query(
-    "areal_interpolation",
-    f"""WITH {ctes('county')}, t AS (SELECT site_id, x - 200000 AS x1, x + 200000 AS x2, y - 150000 AS y1, y + 150000 AS y2
+_SHARED_AREA_SQL = f"""WITH {ctes('county')}, t AS (SELECT site_id, x - 200000 AS x1, x + 200000 AS x2, y - 150000 AS y1, y + 150000 AS y2
         FROM ({ctes('site').split('AS (', 1)[1][:-1]}))
         SELECT site_id, round(sum((least(x2, xmax) - greatest(x1, xmin)) * (least(y2, ymax) - greatest(y1, ymin))
         / (920000e0 * 580000e0) * (CAST(poly_id AS INT) + 1) * 1000), 4) AS value
-        FROM t LEFT JOIN county ON x1 < xmax AND x2 > xmin AND y1 < ymax AND y2 > ymin GROUP BY 1""",
-)
-def areal_interpolation(spark, sf):
-    """Totals spread by shared area."""
+        FROM t LEFT JOIN county ON x1 < xmax AND x2 > xmin AND y1 < ymax AND y2 > ymin GROUP BY 1"""
+
+
+def _interpolation_sides(spark, sf):
     src = rectangle(bind(spark, sf, "county")).withColumn("value", (F.col("poly_id").cast("int") + 1) * 1000.0)
     dst = rectangle(
         bind(spark, sf, "site").selectExpr(
             "site_id", "x - 200000 AS xmin", "x + 200000 AS xmax", "y - 150000 AS ymin", "y + 150000 AS ymax"
         )
     )
+    return src, dst
+
+
+@query("areal_interpolation", _SHARED_AREA_SQL)
+def areal_interpolation(spark, sf):
+    """Totals spread by shared area."""
+    src, dst = _interpolation_sides(spark, sf)
     out = polygons.areal_interpolate(src, dst, "value", "site_id", tile=250_000.0)
     return out.select("site_id", F.round("value", 4).alias("value"))
 
 
+@query("areal_interpolation_slanted", _SHARED_AREA_SQL)
+def areal_interpolation_slanted(spark, sf):
+    """D24 on parallelograms: a map of determinant one slants all sides and leaves every shared area as it is."""
+
+    def slant(df):
+        corner = lambda p: F.struct((p["x"] + p["y"] * 0.5).alias("x"), (p["x"] * 0.25 + p["y"] * 1.125).alias("y"))
+        return df.withColumn("ring", F.transform("ring", corner))
+
+    src, dst = (slant(df) for df in _interpolation_sides(spark, sf))
+    out = polygons.areal_interpolate(src, dst, "value", "site_id", tile=100_000.0)
+    return out.select("site_id", F.round("value", 4).alias("value"))
+
+
 @query(
     "cell_population",
     f"""WITH {ctes('site')}, c AS (SELECT {q.cell_items('x', 'y', 5, 'cell')}, population FROM site)

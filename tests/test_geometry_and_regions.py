@@ -169,6 +169,39 @@ def test_cells_touching_and_population(spark):
     assert density == pytest.approx(1e6, rel=1e-9)
 
 
+def test_rings_cut_to_tiles_keep_their_area(spark):
+    ring = "poly_id int, ring array<struct<x:double,y:double>>, value double"
+    # Spikes around a centre: rings that never cross themselves.
+    spiky = lambda cx, cy, n: [(cx + (150_000 + k * 7919 % 200_000) * math.cos(2 * math.pi * k / n), cy + (150_000 + k * 7919 % 200_000) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    rings = [spiky(100_000, 900_000, 1_500), spiky(-400_000, 1_200_000, 9), [(0.0, 0.0), (50_000.0, 0.0), (50_000.0, 50_000.0)]]
+    rows = [(i, [{"x": x, "y": y} for x, y in r], 1e3) for i, r in enumerate(rings)]
+    shapes = spark.createDataFrame(rows + [(7, None, 1.0), (8, [], 1.0)], ring)
+    extent, corners = polygons._reach(shapes, "ring")
+    assert corners == 1_500
+    parts = polygons.cut_to_tiles(shapes, "ring", 50_000.0, extent, corners, 64)
+    parts = parts.withColumn("area", polygons.ring_area(F.col("ring"))).collect()
+    for i, r in enumerate(rings):
+        area = sum(x1 * y2 - x2 * y1 for (x1, y1), (x2, y2) in zip(r, r[1:] + r[:1])) / 2
+        assert sum(p.area for p in parts if p.poly_id == i) == pytest.approx(area, rel=1e-9)
+    assert {p.poly_id for p in parts} == {0, 1, 2}
+    for p in parts:
+        assert len(p.ring) <= 64
+        assert all(p.tx * 5e4 <= c.x <= (p.tx + 1) * 5e4 and p.ty * 5e4 <= c.y <= (p.ty + 1) * 5e4 for c in p.ring)
+    # Shares do not depend on how the rings were cut: one tile around everything cuts none.
+    box = spark.sql("SELECT -900000D AS xmin, 1100000D AS xmax, 0D AS ymin, 2100000D AS ymax")
+    cells = grid.cells_over_box(box, "xmin", "xmax", "ymin", "ymax", 4).select("cell")
+    hexes = cells.withColumn("ring", grid.boundary(F.col("cell"), 4))
+    moved = lambda df: df.withColumn("ring", F.transform("ring", lambda p: F.struct((p["x"] + 2e6).alias("x"), (p["y"] + 1e5).alias("y"))))
+    whole = polygons.areal_interpolate(moved(shapes), moved(hexes), "value", "cell", tile=1e8, max_corners=10_000)
+    cut = polygons.areal_interpolate(shapes, hexes, "value", "cell", tile=50_000.0)
+    want = {r.cell: r.value for r in whole.collect()}
+    got = {r.cell: r.value for r in cut.collect()}
+    assert set(got) == set(want) and len(got) == cells.count()
+    for c in got:
+        assert (got[c] or 0) == pytest.approx(want[c] or 0, abs=1e-5)
+    assert sum(v or 0 for v in got.values()) == pytest.approx(3e3, rel=1e-9)
+
+
 @pytest.mark.parametrize("leaf_bits", [0, 3, 6])
 def test_nearest_against_brute_force(spark, leaf_bits):
     rnd = random.Random(5)
