@@ -8,14 +8,15 @@ ones; without the key the values cannot be told back. Column expressions only, n
 | kind | check | what is permuted |
 |---|---|---|
 | card | check digit (Luhn) | all digits between the first and the check digit, which is set anew |
-| iban | remainder 1 modulo 97, also in printed groups of four | the digits of the account; the check digits are set anew |
+| iban | remainder 1 modulo 97, also in printed groups of four or in small letters | the digits of the account; the check digits are set anew |
 | ssn | no 000, 666 or 9xx area, no 00 group, no 0000 serial | the whole number among valid ones |
 | phone | exchange starts with 2 to 9, or the number has a + or a bracket | the ten national digits among those of its class: area and exchange from 200, only the area below, exchange below |
 | international | + and 8 to 15 digits, also in groups | all digits but the first two |
 | ip | four numbers up to 255 | the 32-bit address |
-| date | a day between 1900 and 2099 | the day among those 73,049 |
-| email | name, @, domain | letters and digits of the name; the domain stays |
-| key | AWS-style id, 32 or more hex digits, value after `password=` and the like | its letters and digits |
+| ip6 | eight groups, or fewer around `::` | its hexadecimal digits as written, so two spellings of an address are two values |
+| date | a day between 1900 and 2099, with or without leading zeros | the day among those 73,049 |
+| email | name, @, domain, letters of any script | letters and digits of the name, other letters as four of them; the domain stays |
+| key | AWS-style id, 32 or more hex digits, value after `password=`, `"Token": "`, `Bearer` and the like | its letters and digits |
 """
 
 from __future__ import annotations
@@ -65,37 +66,46 @@ def _printed_iban() -> str:
 
 _PRINTED_IBAN = _printed_iban()
 
+# Words before a secret, and what may stand between the word and the secret.
+_SECRET_WORDS = "(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
+_GIVEN = _SECRET_WORDS + r"""["']?\s{0,2}[=:]\s{0,2}["']?"""
+_BEARER = r"(?i:bearer)\s"
+
 # The shapes of values, tried in this order at every place that does not follow a
 # letter, a digit or an underscore.
 SHAPES = {
-    "email": r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}+(?!\w)",
+    "email": r"[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}](?:[\p{L}\p{N}-]*\.)+\p{L}{2,}+(?![\w\p{L}])",
     # Runs of more than 64 digits without a letter are numbers, not keys.
-    "key": r"AKIA[0-9A-Z]{16}(?!\w)|[0-9a-f]{32,64}+(?!\w)|(?=\d*+[a-f])[0-9a-f]{65,}+(?!\w)"
-    r"|(?<=(?:password|passwd|pwd|secret|token|api_key)[=:]\s?)[A-Za-z0-9+/_-]{6,}+",
-    "iban": r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}+(?!\w)|" + _PRINTED_IBAN,
+    "key": r"AKIA[0-9A-Z]{16}(?!\w)|[0-9a-f]{32,64}+(?!\w)|(?=\d*+[a-f])[0-9a-f]{65,}+(?!\w)",
+    # Right after = three symbols will do; after a blank or a colon a short word is more likely prose.
+    "secret": rf"(?<={_GIVEN})(?:[A-Za-z0-9+/_-]{{6,}}+|(?<==[\"']?)[A-Za-z0-9+/_-]{{3,}}+)"
+    rf"|(?<={_BEARER})(?=[A-Za-z+/._~-]*+\d|[\w.~+/-]{{20}})[A-Za-z0-9+/_~-]{{3,}}+(?:\.[A-Za-z0-9+/_~-]++)*+",
+    "iban": r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}+(?!\w)|[a-z]{2}\d{2}[a-z0-9]{11,30}+(?!\w)|" + _PRINTED_IBAN,
     "ip": r"(?<!\.)(?:\d{1,3}\.){3}\d{1,3}+(?!\w|\.\d)",
+    "ip6": r"(?<!:)(?=[A-Fa-f:]*+\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])",
     "ssn": r"(?<!-)\d{3}-\d{2}-\d{4}(?![\w-])",
-    "date": r"(?<![-./])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})"
+    "date": r"(?<![-./])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})"
     r"(?=T\d{2}(?::?\d{2}|Z?\b)|(?![\w-]|[./]\d))",
     "card": r"(?:\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4} \d{6} \d{5}|\d{13,19}+)(?![\w-])",
     "phone": r"(?:\+?1[ .-]?)?\(?\d{3}\)?[ .-]?\d{3}[ .-]\d{4}(?!\w)",
     "international": r"\+\d{8,15}+(?!\w)|\+\d(?: ?\d){7,14}(?!\w)",
 }
 # Every shape has one of these; most texts have none and are not searched further.
-ANY_SIGN = r"[0-9@]|(?:password|passwd|pwd|secret|token|api_key)[=:]|AKIA[A-Z]{16}|[a-f]{32}"
-ANY_SHAPE = r"(?<!\w)(?:" + "|".join(SHAPES.values()) + ")"
+ANY_SIGN = rf"[0-9@]|{_GIVEN}|{_BEARER}|AKIA[A-Z]{{16}}|[a-f]{{32}}"
+ANY_SHAPE = r"(?<![\w\p{L}])(?:" + "|".join(SHAPES.values()) + ")"
 
 
 def _long(text: Column, base: int = 10) -> Column:
     return F.conv(text, base, 10).cast("long")
 
 
-def feistel(left: Column, right: Column, a: Column, b: Column, key: str, tweak: Column) -> Column:
+def feistel(left: Column, right: Column, a: Column, b: Column, key: Column, tweak: Column) -> Column:
     """A keyed permutation of the pairs (left < a, right < b), as a struct with left and right."""
 
     def round_(state: Column, i: Column) -> Column:
         def noise(half: Column, below: Column) -> Column:
-            text = F.concat_ws("|", F.lit(key), tweak, i.cast("string"), half.cast("string"))
+            text = F.concat_ws("|", key, tweak, i.cast("string"), half.cast("string"))
             return _long(F.substring(F.sha2(text, 256), 1, 15), 16) % below
 
         even = i % 2 == 0
@@ -112,13 +122,13 @@ def feistel(left: Column, right: Column, a: Column, b: Column, key: str, tweak:
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, round_)
 
 
-def _paired(left, right, a: int, b: int, key: str, kind: str, use: Callable) -> Column:
+def _paired(left, right, a: int, b: int, key: Column, kind: str, use: Callable) -> Column:
     """`use(left, right)` of the permuted pair, which is computed once."""
     pair = feistel(left, right, F.lit(a).cast("long"), F.lit(b).cast("long"), key, F.lit(kind))
     return F.transform(F.array(pair), lambda p: use(p["left"], p["right"]))[0]
 
 
-def permute_symbols(symbols: Column, radix: int, key: str, kind: str) -> Column:
+def permute_symbols(symbols: Column, radix: int, key: Column, kind: str) -> Column:
     """Permute a string of base-`radix` digits among those of its length, 18 digits at a time."""
 
     def part(text: Column, i: Column) -> Column:
@@ -183,7 +193,7 @@ def _luhn(digits: Column) -> Column:
     return F.call_function("luhn_check", digits)
 
 
-def _card(value: Column, key: str) -> Column:
+def _card(value: Column, key: Column) -> Column:
     digits = _digits(value)
     middle = F.substring(digits, F.lit(2), F.length(digits) - 2)
     body = F.concat(F.left(digits, F.lit(1)), permute_symbols(middle, 10, key, "card"))
@@ -208,8 +218,8 @@ def _mod97(text: Column) -> Column:
     )
 
 
-def _iban(value: Column, key: str) -> Column:
-    plain = F.replace(value, F.lit(" "), F.lit(""))
+def _iban(value: Column, key: Column) -> Column:
+    plain = F.upper(F.replace(value, F.lit(" "), F.lit("")))
     country, account = F.left(plain, F.lit(2)), F.substring(plain, F.lit(5), F.length(plain))
     valid = _mod97(F.concat(account, F.left(plain, F.lit(4)))) == 1
     moved = _refill(account, permute_symbols(_digits(account), 10, key, "iban"), "[0-9]")
@@ -223,11 +233,13 @@ def _iban(value: Column, key: str) -> Column:
     )[0]
     return F.when(
         valid & (_digits(account) != ""),
-        F.when(value.contains(" "), _refill(value, whole, "[A-Z0-9]")).otherwise(whole),
+        F.when(value.contains(" "), _refill(value, whole, "[A-Z0-9]"))
+        .when(value == F.lower(value), F.lower(whole))
+        .otherwise(whole),
     )
 
 
-def _ssn(value: Column, key: str) -> Column:
+def _ssn(value: Column, key: Column) -> Column:
     area, group, serial = (_long(F.substring(value, i, n)) for i, n in ((1, 3), (5, 2), (8, 4)))
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     index = area - 1 - F.when(area > 666, 1).otherwise(0)
@@ -241,7 +253,7 @@ def _ssn(value: Column, key: str) -> Column:
     return F.when(valid, moved)
 
 
-def _phone(value: Column, key: str) -> Column:
+def _phone(value: Column, key: Column) -> Column:
     """Permuted inside its class of numbers, so that no two numbers become the same one."""
     digits = _digits(value)
     national = F.right(digits, F.lit(10))
@@ -271,14 +283,14 @@ def _phone(value: Column, key: str) -> Column:
     return F.when(~odd | value.rlike("[+(]"), F.transform(F.array(pair), spelled)[0])
 
 
-def _international(value: Column, key: str) -> Column:
+def _international(value: Column, key: Column) -> Column:
     digits = _digits(value)
     rest = F.substring(digits, F.lit(3), F.length(digits))
     moved = F.concat(F.left(digits, F.lit(2)), permute_symbols(rest, 10, key, "international"))
     return _refill(value, moved, "[0-9]")
 
 
-def _ip(value: Column, key: str) -> Column:
+def _ip(value: Column, key: Column) -> Column:
     part = F.transform(F.split(value, "\\."), lambda x: _long(x))
     valid = F.forall(part, lambda x: x <= 255)
     moved = _paired(
@@ -296,34 +308,74 @@ def _ip(value: Column, key: str) -> Column:
     return F.when(valid, moved)
 
 
-def _date(value: Column, key: str) -> Column:
+def _ip6(value: Column, key: Column) -> Column:
+    symbols = F.lower(F.regexp_replace(value, "[^0-9A-Fa-f]", ""))
+    groups = F.size(F.filter(F.split(value, ":"), lambda g: g != ""))
+    return F.when(
+        (groups < 8) | ~value.contains("::"),
+        _refill(value, permute_symbols(symbols, 16, key, "ip6"), "[0-9A-Fa-f]"),
+    )
+
+
+# Patterns of dates and the forms they are tried for, in this order.
+_DATES = {
+    "yyyy-MM-dd": r"^\d{4}-",
+    "yyyy/MM/dd": r"^\d{4}/\d{2}/\d{2}$",
+    "yyyy/M/d": r"^\d{4}/",
+    "dd.MM.yyyy": r"^\d{2}\.\d{2}\.",
+    "d.M.yyyy": r"^\d{1,2}\.",
+    "MM/dd/yyyy": r"^\d{2}/\d{2}/",
+    "dd/MM/yyyy": r"^\d{2}/\d{2}/",
+    "M/d/yyyy": r"^\d{1,2}/",
+    "d/M/yyyy": r"^\d{1,2}/",
+}
+
+
+def _date(value: Column, key: Column) -> Column:
     """Month/day/year where that is a date, else day/month/year, for dates with slashes."""
     first = F.lit(_FIRST_DAY).cast("date")
-    moved = None
-    for pattern in ("yyyy-MM-dd", "dd.MM.yyyy", "MM/dd/yyyy", "dd/MM/yyyy"):
+
+    def read(pattern: str, form: str) -> Column:
         day = F.datediff(F.try_to_timestamp(value, F.lit(pattern)).cast("date"), first)
-        new = _paired(
-            F.floor(day / 4297),
-            day % 4297,
-            17,
-            4297,
-            key,
-            "date",
-            lambda l, r, p=pattern: F.date_format(F.date_add(first, (l * 4297 + r).cast("int")), p),
-        )
-        new = F.when((day >= 0) & (day < _DAYS), new)
-        moved = new if moved is None else F.coalesce(moved, new)
-    return moved
+        known = F.when(value.rlike(form) & day.between(0, _DAYS - 1), day)
+        return F.when(known.isNotNull(), F.struct(known.alias("day"), F.lit(pattern).alias("pattern")))
+
+    def moved(found: Column) -> Column:
+        day, pattern = found["day"], found["pattern"]
 
+        def spelled(left: Column, right: Column) -> Column:
+            new = F.date_add(first, (left * 4297 + right).cast("int"))
+            return F.call_function("date_format", new, pattern)
 
-def _email(value: Column, key: str) -> Column:
+        pair = _paired(F.floor(day / 4297), day % 4297, 17, 4297, key, "date", spelled)
+        return F.when(found.isNotNull(), pair)
+
+    found = F.coalesce(*[read(pattern, form) for pattern, form in _DATES.items()])
+    return F.transform(F.array(found), moved)[0]
+
+
+def _email(value: Column, key: Column) -> Column:
+    """Letters beyond ASCII are spelled in four symbols first, under a tweak of their own."""
     name = F.lower(F.substring_index(value, "@", 1))
-    symbols = F.regexp_replace(name, "[^a-z0-9]", "")
-    moved = _refill(name, permute_symbols(symbols, 36, key, "email"), "[a-z0-9]")
-    return F.when(symbols != "", F.concat(moved, F.lit("@"), F.substring_index(value, "@", -1)))
+    spelled = F.array_join(
+        F.transform(
+            F.split(name, ""),
+            lambda c: F.when(
+                c.rlike(r"[^\x00-\x7F]"), F.lower(F.lpad(F.conv(F.ascii(c).cast("string"), 10, 36), 4, "0"))
+            ).otherwise(c),
+        ),
+        "",
+    )
+
+    def moved(plain: Column, kind: str) -> Column:
+        symbols = F.regexp_replace(plain, "[^a-z0-9]", "")
+        new = _refill(plain, permute_symbols(symbols, 36, key, kind), "[a-z0-9]")
+        return F.when(symbols != "", F.concat(new, F.lit("@"), F.substring_index(value, "@", -1)))
+
+    return F.when(name.rlike(r"[^\x00-\x7F]"), moved(spelled, "email wide")).otherwise(moved(name, "email"))
 
 
-def _key(value: Column, key: str) -> Column:
+def _key(value: Column, key: Column) -> Column:
     hexadecimal = value.rlike("^[0-9a-f]+$")
     aws = value.rlike("^AKIA[0-9A-Z]{16}$")
     tail = F.substring(value, F.lit(5), F.lit(16))
@@ -345,6 +397,7 @@ _MAKERS = {
     "key": _key,
     "iban": _iban,
     "ip": _ip,
+    "ip6": _ip6,
     "ssn": _ssn,
     "date": _date,
     "card": _card,
@@ -353,28 +406,37 @@ _MAKERS = {
 }
 
 
-def pseudonym(value: Column, key: str, also_secret: Column) -> Column:
+def pseudonym(value: Column, key: Column, also_secret: Column) -> Column:
     """The pseudonym of one matched value, or null if it fails the check of every kind it looks like.
 
     `also_secret` tells that the value follows a word such as `password=`.
     """
     chosen = F.when(also_secret, _key(value, key))
     for kind, make in _MAKERS.items():
-        shape = SHAPES[kind].split("|(?<=(?:password")[0]
-        looks = value.rlike(f"^(?:{shape})$")
+        looks = value.rlike(f"^(?:{SHAPES[kind]})$")
         chosen = F.coalesce(chosen, F.when(looks, make(value, key)))
     return chosen
 
 
+def _unused(name: str, columns: list[str]) -> str:
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def pseudonymise(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
     """`docs` with every valid value in `column` replaced, and n_pseudonyms, the number replaced.
 
     A null text stays null with 0 pseudonyms; a text without valid values stays as it is. Repeated
     rows get equal results. Other columns pass through; an n_pseudonyms of the input is replaced.
+    The key comes from a table of one row, so that no plan, log or page shows it.
     """
-    text = F.col(column)
-    split = docs.drop("n_pseudonyms").withColumn(
-        "__cut",
+    docs = docs.drop("n_pseudonyms")
+    cut_, new_, key_ = (_unused(name, docs.columns) for name in ("__cut", "__new", "__key"))
+    text, cut = F.col(column), F.col(cut_)
+    keys = docs.sparkSession.createDataFrame([(key,)], f"{key_} string")
+    split = docs.join(F.broadcast(keys)).withColumn(
+        cut_,
         F.when(
             text.rlike(ANY_SIGN),
             F.struct(
@@ -383,27 +445,27 @@ def pseudonymise(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
             ),
         ),
     )
-    secret = r"(?:password|passwd|pwd|secret|token|api_key)[=:]\s?$"
+    secret = f"{_GIVEN}$|{_BEARER}$"
     new = F.transform(
-        F.col("__cut.values"),
+        cut["values"],
         lambda v, i: F.struct(
             v.alias("old"),
-            pseudonym(v, key, F.get(F.col("__cut.between"), i).rlike(secret)).alias("new"),
+            pseudonym(v, F.col(key_), F.get(cut["between"], i).rlike(secret)).alias("new"),
         ),
     )
-    named = split.withColumn("__new", F.when(F.size("__cut.values") > 0, new))
+    named = split.withColumn(new_, F.when(F.size(cut["values"]) > 0, new))
     joined = F.array_join(
         F.zip_with(
-            F.col("__cut.between"),
-            F.transform("__new", lambda v: F.coalesce(v["new"], v["old"])),
+            cut["between"],
+            F.transform(new_, lambda v: F.coalesce(v["new"], v["old"])),
             lambda between, value: F.concat(between, F.coalesce(value, F.lit(""))),
         ),
         "",
     )
-    replaced = F.size(F.filter("__new", lambda v: v["new"].isNotNull()))
+    replaced = F.size(F.filter(new_, lambda v: v["new"].isNotNull()))
     return named.withColumns(
         {
-            column: F.when(F.col("__new").isNull(), text).otherwise(joined),
-            "n_pseudonyms": F.when(F.col("__new").isNull(), 0).otherwise(replaced).cast("int"),
+            column: F.when(F.col(new_).isNull(), text).otherwise(joined),
+            "n_pseudonyms": F.when(F.col(new_).isNull(), 0).otherwise(replaced).cast("int"),
         }
-    ).drop("__cut", "__new")
+    ).drop(cut_, new_, key_)
