@@ -57,7 +57,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack_sequences),
 ]
 
-# Tokenizing, a fitted model and signatures are beyond SQL; the tests hold it against brute force.
+# Tokenizing, a fitted model and signatures are beyond SQL. The tests hold the operators against brute
+# force, and the stages' columns, row counts and effects; not yet every row of run().
 ORACLE_SQL = None
 
 
