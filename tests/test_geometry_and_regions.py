@@ -285,3 +285,26 @@ def test_merge_equals_the_one_at_a_time_process(spark):
     assert got == one_at_a_time(sizes, edges, 10.0, rank.get)
     assert [r.region for r in out.where("unmet").collect()] == ["alone"]
     assert regions.region_cells(out).count() == len(names)
+
+
+def test_shared_areas_of_whole_tiles_holes_and_slanted_targets(spark):
+    schema = "poly_id int, ring array<struct<x:double,y:double>>, value double"
+    box = lambda a, b, c, d: [{"x": x, "y": y} for x, y in ((a, b), (c, b), (c, d), (a, d))]
+    outer, hole = box(0.0, 0.0, 100.0, 100.0), box(40.0, 40.0, 60.0, 60.0)[::-1]
+    lost = [(2, None, 5.0), (3, [], 5.0), (4, [{"x": 1.0, "y": None}, *outer[1:]], 5.0)]
+    src = spark.createDataFrame([(1, outer, 960.0), (1, hole, 960.0), *lost], schema)
+    slanted = [{"x": x, "y": y} for x, y in ((10.0, 10.0), (30.0, 10.0), (40.0, 30.0), (20.0, 30.0))]
+    rings = {0: outer, 1: box(30.0, 30.0, 70.0, 70.0), 2: slanted, 3: box(-5.0, -5.0, 5.0, 5.0), 4: box(45.0, 45.0, 55.0, 55.0), 5: box(200.0, 0.0, 210.0, 5.0), 6: None}
+    dst = spark.createDataFrame([(k, r) for k, r in rings.items()], "cell int, ring array<struct<x:double,y:double>>")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("interpolation", "")
+    found = polygons.areal_interpolate(src, dst, "value", "cell", tile=10.0)
+    # Nothing is measured beforehand, and rings are cut and clipped in bundles, not corner by corner.
+    assert jobs.getJobIdsForGroup("interpolation") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for tile in (10.0, 7.0, 1000.0):
+        got = {r.cell: r.value for r in polygons.areal_interpolate(src, dst, "value", "cell", tile=tile).collect()}
+        want = {0: 960.0, 1: 120.0, 2: 40.0, 3: 2.5}
+        assert {k: v for k, v in got.items() if k in want} == pytest.approx(want, rel=1e-12)
+        assert (got[4] or 0) == pytest.approx(0, abs=1e-9) and got[5] is None and got[6] is None
+    assert found.count() == 7
