@@ -308,3 +308,15 @@ def test_shared_areas_of_whole_tiles_holes_and_slanted_targets(spark):
         assert {k: v for k, v in got.items() if k in want} == pytest.approx(want, rel=1e-12)
         assert (got[4] or 0) == pytest.approx(0, abs=1e-9) and got[5] is None and got[6] is None
     assert found.count() == 7
+
+
+def test_rings_of_one_small_file_are_dealt_over_tasks(spark):
+    ring = F.expr("array(named_struct('x', 0D, 'y', 0D), named_struct('x', 9D, 'y', 0D), named_struct('x', 9D, 'y', 9D))")
+    targets = spark.range(1000).select(F.col("id").alias("cell"), ring.alias("ring")).coalesce(1)
+    src = spark.range(1).select(F.col("id").alias("poly_id"), ring.alias("ring"), F.lit(2.0).alias("value")).coalesce(1)
+    dealt = polygons._dealt(targets)
+    sizes = [r.n for r in dealt.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 4 * spark.sparkContext.defaultParallelism and max(sizes) < 3 * min(sizes)
+    found = polygons.areal_interpolate(src, targets, "value", "cell", tile=4.0)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Repartition") >= 2
+    assert {round(r.value, 9) for r in found.collect()} == {2.0}
