@@ -151,3 +151,22 @@ def test_report_tables(spark):
     report = reports.accuracy_report(rows)
     assert {r.oob: r.mae for r in report["overall"].collect()} == {"oob": 0.5, "inbag": 0.5}
     assert report["by_time"].count() == 10 and report["by_year"].count() == 1
+
+
+def test_regions_with_long_names_are_written_and_resumed(spark, tmp_path):
+    train = train_rows(spark).where("year = 2019").cache()
+    forests = forest.cluster_forest(train, ["a", "b"], "pm25", "cell", groups=2, trees=1, depth=2, bins=8)
+    # As many cells as there are under an ancestor two levels up, and one whose name is a number.
+    merged = "-".join(str(864691128455135232 + k) for k in range(49))
+    region = F.when(F.col("cell") % 2 == 0, F.lit(merged)).otherwise(F.lit("0864691128455135232"))
+    rows = train.select(region.alias("region"), "cell", "date", "year", "a", "b")
+    out = str(tmp_path / "long")
+    grid_of = lambda left: rows.join(left, ["region", "year"], "left_semi")
+    assert modelling.score_regions(spark, rows.where("cell % 2 = 0"), grid_of, forests, out).count() == 1
+    assert modelling.score_regions(spark, rows, grid_of, forests, out).count() == 1
+    back = spark.read.parquet(out)
+    want = {r.region: r["count"] for r in rows.groupBy("region").count().collect()}
+    assert {r.region: r["count"] for r in back.groupBy("region").count().collect()} == want
+    one = back.where(F.col(modelling.FOLDER) == F.sha2(F.lit(merged), 256))
+    assert one.count() == want[merged] and one.where(F.col(modelling.FOLDER) != modelling.folder_key()).count() == 0
+    assert modelling.score_regions(spark, rows, grid_of, forests, out).count() == 0
