@@ -170,3 +170,21 @@ def test_regions_with_long_names_are_written_and_resumed(spark, tmp_path):
     one = back.where(F.col(modelling.FOLDER) == F.sha2(F.lit(merged), 256))
     assert one.count() == want[merged] and one.where(F.col(modelling.FOLDER) != modelling.folder_key()).count() == 0
     assert modelling.score_regions(spark, rows, grid_of, forests, out).count() == 0
+
+
+def test_a_fit_reads_the_rows_of_its_year_only(spark, monkeypatch):
+    opened = []
+
+    class Learner(forest.RandomForestRegressor):
+        def fit(self, rows):
+            years = [r.year for r in rows.select("year").distinct().collect()]
+            opened.append((years, rows.select(F.input_file_name().alias("f")).distinct().collect()))
+            return super().fit(rows)
+
+    monkeypatch.setattr(forest, "RandomForestRegressor", Learner)
+    train = train_rows(spark)
+    forests = forest.cluster_forest(train, ["a", "b"], "pm25", "cell", groups=2, trees=1, depth=2, bins=8)
+    assert sorted(forests.models) == [2019, 2020] and len(opened) == 4
+    for years, names in opened:
+        assert len(years) == 1 and names and all(f"/year={years[0]}/" in r.f for r in names)
+    assert forests.score(train).where("pred IS NULL").count() == 0
